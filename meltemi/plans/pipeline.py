@@ -1,0 +1,145 @@
+"""The daily jobs: Bronze partitions to Silver, Silver window to Gold, checks, metrics."""
+
+from __future__ import annotations
+
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meltemi import settings as S
+from meltemi.operators import anomaly, contracts, gold, monitoring, quality, silver, sinks
+from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_WEATHER
+from meltemi.sources import tables
+
+
+@dataclass(frozen=True)
+class Lake:
+    """Where the tables live."""
+
+    root: str
+
+    def bronze(self, source: str) -> str:
+        name = "weather" if source == S.WEATHER_SOURCE else "air_quality"
+        return f"{self.root}/bronze/{source}/{name}"
+
+    def silver(self, name: str) -> str:
+        return f"{self.root}/silver/{name}"
+
+    def gold(self, name: str) -> str:
+        return f"{self.root}/gold/{name}"
+
+    @property
+    def run_metrics(self) -> str:
+        return f"{self.root}/run_metrics"
+
+
+def pending(spark: SparkSession, bronze: str, silver_path: str, source: str) -> list[str]:
+    """Bronze dates Silver lacks for one source, from directory names alone."""
+    have = sinks.partition_days(sinks.list_partitions(spark, bronze))
+    held = sinks.list_partitions(spark, silver_path, sinks.DAY_SOURCE)
+    done = sinks.partition_days([p for p in held if p.endswith(f"/source={source}")])
+    return sorted(set(have) - set(done))
+
+
+def ingest(spark: SparkSession, lake: Lake, source: str, df: DataFrame) -> sinks.Written:
+    """Append a Bronze batch; dates the table already holds are skipped."""
+    path = lake.bronze(source)
+    held = sinks.partition_days(sinks.list_partitions(spark, path))
+    rows = df.filter(~F.col("partition_date").isin(held)) if held else df
+    return sinks.append(rows, path, sinks.DAY)
+
+
+def run_silver_air(spark: SparkSession, lake: Lake, grid: DataFrame, run_ts: str) -> int:
+    """All pending partitions of all sources in one job and one commit."""
+    target = lake.silver("air_quality")
+    frames = {}
+    for source in S.AIR_SOURCES:
+        dates = pending(spark, lake.bronze(source), target, source)
+        if dates:
+            path = lake.bronze(source)
+            frames[source] = tables.read_table(spark, path, F.col("partition_date").isin(dates))
+    if not frames:
+        return 0
+    return sinks.append(silver.union_sources(frames, grid, run_ts), target, sinks.DAY_SOURCE).rows
+
+
+def run_silver_weather(spark: SparkSession, lake: Lake, run_ts: str, rebuild: bool = False) -> int:
+    source, target = S.WEATHER_SOURCE, lake.silver("weather")
+    path = lake.bronze(source)
+    if rebuild:
+        built = silver.build_weather(tables.read_table(spark, path), run_ts)
+        return sinks.overwrite(built, target, sinks.DAY_SOURCE).rows
+    dates = pending(spark, path, target, source)
+    if not dates:
+        return 0
+    rows = tables.read_table(spark, path, F.col("partition_date").isin(dates))
+    return sinks.append(silver.build_weather(rows, run_ts), target, sinks.DAY_SOURCE).rows
+
+
+def run_gold(
+    spark: SparkSession, lake: Lake, as_of: str, run_ts: str,
+    window_days: int | None = S.WINDOW_DAYS, refresh_days: int | None = S.REFRESH_DAYS,
+    with_anomalies: bool = True,
+) -> dict[str, sinks.Written]:
+    """Refresh the four Gold tables from one pruned window of Silver.
+
+    Missing weather costs its own table only; weather that exists but cannot be read raises.
+    """
+    air = tables.in_window(tables.read_table(spark, lake.silver("air_quality")), as_of, window_days)
+    if air.isEmpty():
+        raise RuntimeError("Silver is empty in the window; Gold cannot be produced")
+    weather = tables.read_or_empty(spark, lake.silver("weather"), SILVER_WEATHER)
+    weather = tables.in_window(weather, as_of, window_days)
+
+    built = {
+        "daily_country_summary": gold.daily_country_summary(air),
+        "wildfire_risk_index": gold.wildfire_risk_index(air),
+    }
+    if not weather.isEmpty():
+        built["daily_country_weather"] = gold.daily_country_weather(weather)
+    if with_anomalies:
+        built["anomaly_alerts"] = anomaly.anomaly_alerts(air)
+    return {
+        name: sinks.refresh(
+            gold.with_gold_ts(df, run_ts), lake.gold(name), as_of, refresh_days, window_days
+        )
+        for name, df in built.items()
+    }
+
+
+def run_quality(
+    spark: SparkSession, lake: Lake, as_of: str, lookback: int = 1, dates: list[str] | None = None
+) -> DataFrame:
+    """All suites over recent or named partitions; a missing table counts as no data."""
+
+    def recent(path: str, ddl: str) -> DataFrame:
+        return tables.recent_or_named(tables.read_or_empty(spark, path, ddl), as_of, lookback, dates)
+
+    return quality.all_suites(
+        {s: recent(lake.bronze(s), BRONZE_AIR) for s in S.AIR_SOURCES},
+        recent(lake.silver("air_quality"), BRONZE_AIR),
+        recent(lake.bronze(S.WEATHER_SOURCE), SILVER_WEATHER),
+        recent(lake.silver("weather"), SILVER_WEATHER),
+        dates,
+    )
+
+
+def run_contracts(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
+    readers = {
+        name: (lambda name=name: tables.read_table(spark, lake.gold(name))) for name in contracts.CONTRACTS
+    }
+    return contracts.verify_gold(spark, readers, dates)
+
+
+def record(
+    spark: SparkSession, lake: Lake, stage: str, run_ts: str, rows: int, started: float, failures: int = 0
+) -> None:
+    """Append one run to the metrics table."""
+    row = monitoring.metrics_row(spark, stage, run_ts, rows, time.monotonic() - started, failures)
+    row.write.mode("append").parquet(lake.run_metrics)
+
+
+def alerts(spark: SparkSession, lake: Lake, as_of: str) -> DataFrame:
+    return monitoring.run_alerts(tables.read_or_empty(spark, lake.run_metrics, RUN_METRICS), as_of)
