@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meltemi import settings as S
 from meltemi.functions.labels import risk_level, worst
 from meltemi.functions.numeric import clip, round_even
-from meltemi.operators.series import trailing_quantile, with_streak
+from meltemi.operators.series import with_streak, with_trailing_quantiles
 
 
 def with_country(df: DataFrame) -> DataFrame:
@@ -62,12 +62,11 @@ def flag_heat_events(weather: DataFrame) -> DataFrame:
     series = Window.partitionBy("station_id").orderBy("partition_date")
     hot_bar = clip("heat_baseline_c", low=S.HEAT_FLOOR_C)
     cold_bar = clip("cold_baseline_c", high=S.COLD_CEILING_C)
-    flagged = weather.withColumns(
-        {
-            "heat_baseline_c": trailing_quantile(F.col("temp_max_c"), series, S.HEAT_QUANTILE),
-            "cold_baseline_c": trailing_quantile(F.col("temp_min_c"), series, S.COLD_QUANTILE),
-        }
-    ).withColumns(
+    baselines = {
+        "heat_baseline_c": ("temp_max_c", S.HEAT_QUANTILE),
+        "cold_baseline_c": ("temp_min_c", S.COLD_QUANTILE),
+    }
+    flagged = with_trailing_quantiles(weather, series, baselines).withColumns(
         {
             "is_hot_day": F.coalesce(F.col("temp_max_c") > hot_bar, F.lit(False)),
             "is_cold_day": F.coalesce(F.col("temp_min_c") < cold_bar, F.lit(False)),

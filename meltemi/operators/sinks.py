@@ -60,7 +60,9 @@ def _tracked(df: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, Observation
     for i, c in enumerate(by):
         parts += [F.lit(f"{'/' if i else ''}{c}="), F.col(c).cast("string")]
     seen = Observation()
-    tracked = df.observe(
+    # Rebalancing gathers each partition's rows into few files; AQE splits a partition that
+    # holds most of the rows and merges the tiny ones.
+    tracked = df.hint("rebalance", *by).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.concat(*parts)).alias("partitions")
     )
     return tracked, seen

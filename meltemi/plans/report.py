@@ -184,7 +184,7 @@ def who_exceed_by_country(summary: DataFrame) -> DataFrame:
 
 def risk_distribution(risk: DataFrame) -> DataFrame:
     """Station-days per risk level and their share of the country's total."""
-    counts = _pivot(risk, "country_code", "risk_level", S.RISK_LEVELS, F.count("*")).fillna(
+    counts = _pivot(risk, "country_code", "risk_level", S.RISK_LEVELS, F.count(F.lit(1))).fillna(
         0, subset=list(S.RISK_LEVELS)
     )
     total = sum((F.col(level) for level in S.RISK_LEVELS), F.lit(0))

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from meltemi.functions.numeric import to_double
 
 # --- fixed values: canonical column order -------------------------------------------
 BRONZE_AIR = """station_id string, station_name string, city string, country_code string,
@@ -58,17 +55,16 @@ def canonical(df: DataFrame, ddl: str, fill: dict[str, int] | None = None) -> Da
     """
     fill = fill or {}
     columns = []
-    for field in [part.split() for part in ddl.replace("\n", " ").split(",")]:
-        name, kind = field
+    for name, kind in (part.split() for part in ddl.split(",")):
         if name not in df.columns:
-            out = F.lit(None).cast(kind)
+            out = f"cast(null as {kind})"
         elif kind == "double":
-            out = to_double(name)
+            out = f"nanvl(try_cast({name} as double), cast(null as double))"
         elif kind == "long":
-            out = F.col(name).try_cast("bigint")
+            out = f"try_cast({name} as bigint)"
         else:
-            out = F.col(name).cast(kind)
+            out = f"cast({name} as {kind})"
         if name in fill:
-            out = F.coalesce(out, F.lit(fill[name]).cast(kind))
-        columns.append(out.alias(name))
-    return df.select(*columns)
+            out = f"coalesce({out}, cast({fill[name]} as {kind}))"
+        columns.append(f"{out} as {name}")
+    return df.selectExpr(*columns)
