@@ -12,9 +12,8 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from meltemi import settings as S
 from meltemi.functions.numeric import round_even
@@ -23,6 +22,8 @@ from meltemi.session import scratch_path
 
 POOL_ROWS = S.TREE_SAMPLE * 256
 OVERDRAW = 4
+VALUE_SPAN = (0.0, max(S.POLLUTANT_MAX[f] for f in S.ANOMALY_FEATURES))
+SCORE_SPAN = (-1.0, 0.0)
 FEATURES = list(S.ANOMALY_FEATURES)
 FILLED = [f"_{f}" for f in FEATURES]
 KEY = ["station_id", "date", "source", *FILLED]
@@ -52,7 +53,7 @@ def established_rows(features: DataFrame) -> DataFrame:
 def feature_medians(features: DataFrame) -> DataFrame:
     """Median of each feature as (feature, median): exact, and spread over many tasks."""
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])
-    return group_quantiles(features.select(F.inline(pairs)), ["feature"], "value", 0.5, "median")
+    return group_quantiles(features.select(F.inline(pairs)), ["feature"], "value", 0.5, "median", *VALUE_SPAN)
 
 
 def impute(features: DataFrame) -> DataFrame:
@@ -79,8 +80,9 @@ def draw_pool(rows: DataFrame, n: int, seed: int = S.MODEL_SEED, pool_rows: int
     """
     rate = min(1.0, pool_rows / n)
     copies = rows.groupBy(*KEY).agg(F.count("*").alias("_copies"))
-    taken = F.floor(F.col("_copies") * rate + _uniform(F.lit(seed), *KEY)).cast("int") if rate < 1 else F.col("_copies").cast("int")
-    return copies.withColumn("_taken", taken).filter("_taken > 0").select(
+    share = F.col("_copies") * rate
+    taken = F.floor(share + _uniform(F.lit(seed), *KEY)) if rate < 1 else F.col("_copies")
+    return copies.withColumn("_taken", taken.cast("int")).filter("_taken > 0").select(
         *KEY, F.explode(F.sequence(F.lit(1), F.col("_taken"))).alias("_copy")
     )
 
@@ -227,7 +229,7 @@ def anomaly_alerts(
     scored_path = scratch_path(spark, "anomaly-scores")
     score(prepared, model, min(sample, pool_size)).write.parquet(scored_path)
     scored = spark.read.parquet(scored_path)
-    bar = group_quantiles(scored, [], "_score", contamination, "bar").scalar()
+    bar = group_quantiles(scored, [], "_score", contamination, "bar", *SCORE_SPAN).scalar()
     return scored.select(
         *OUTPUT,
         round_even(F.col("_score"), 6).alias("anomaly_score"),

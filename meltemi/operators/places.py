@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.functions.geo import haversine_km
 from meltemi.functions.numeric import to_double
 
 
@@ -19,23 +20,42 @@ def near_known_city(
 
     The anchor list is a short constant, so the semi-join on distance is an expression of the
     row alone: no shuffle, and a country with most of the rows is no different from another.
+    A distance is at most max_km exactly when the cosine of its angle is at least that of
+    max_km. The n-th anchors of all countries share one test, with the country picking the
+    constants, so the expression grows with the anchors per country and not with their sum.
     """
     code = F.upper(F.coalesce(country, F.lit("")))
-    lat, lon = to_double(lat), to_double(lon)
-    chain = None
-    for name, points in anchors.items():
-        close = F.lit(False)
-        for a_lat, a_lon in points:
-            close = close | (haversine_km(lat, lon, F.lit(a_lat), F.lit(a_lon)) <= max_km)
-        here = F.coalesce(close, F.lit(False))
-        chain = F.when(code == name, here) if chain is None else chain.when(code == name, here)
-    return F.lit(True) if chain is None else chain.otherwise(True)
+    phi, lam = F.radians(lat), F.radians(lon)
+    least_cosine = math.cos(max_km / S.EARTH_RADIUS_KM)
+    near = F.lit(False)
+    for n in range(max(map(len, anchors.values()), default=0)):
+        nth = {name: tuple(map(math.radians, points[n])) for name, points in anchors.items() if len(points) > n}
+
+        def constant(pick) -> Column:
+            chain = F.lit(None).cast("double")
+            for name, point in nth.items():
+                chain = F.when(code == name, pick(point)).otherwise(chain)
+            return chain
+
+        cosine = F.sin(phi) * constant(lambda p: math.sin(p[0])) + F.cos(phi) * constant(
+            lambda p: math.cos(p[0])
+        ) * F.cos(lam - constant(lambda p: p[1]))
+        # NaN compares above every number, so an upper bound keeps it out.
+        near = near | F.coalesce(cosine.between(least_cosine, 2.0), F.lit(False))
+    return F.when(code.isin(*anchors), near).otherwise(True) if anchors else F.lit(True)
+
+
+def _near(df: DataFrame, max_km: float = S.ANCHOR_MAX_KM) -> Column:
+    """The same over a frame's own columns; coordinates that are no numbers count as missing."""
+    place = [
+        F.col(c) if df.schema[c].dataType.typeName() == "double" else to_double(c)
+        for c in ("latitude", "longitude")
+    ]
+    return near_known_city(*place, F.col("country_code"), max_km=max_km)
 
 
 def keep_near_cities(df: DataFrame, max_km: float = S.ANCHOR_MAX_KM) -> DataFrame:
-    return df.filter(
-        near_known_city(F.col("latitude"), F.col("longitude"), F.col("country_code"), max_km=max_km)
-    )
+    return df.filter(_near(df, max_km))
 
 
 def report_countries(df: DataFrame, excluded: tuple[str, ...] = S.EXCLUDED_COUNTRIES) -> DataFrame:
@@ -48,6 +68,5 @@ def report_countries(df: DataFrame, excluded: tuple[str, ...] = S.EXCLUDED_COUNT
         return df
     out = df.filter(F.coalesce(~F.col("country_code").isin(*excluded), F.lit(True)))
     if {"latitude", "longitude", "source"} <= set(df.columns):
-        near = near_known_city(F.col("latitude"), F.col("longitude"), F.col("country_code"))
-        out = out.filter(~F.col("source").eqNullSafe("waqi") | near)
+        out = out.filter(~F.col("source").eqNullSafe("waqi") | _near(df))
     return out

@@ -14,53 +14,47 @@ CELLS = 4096
 
 
 def group_quantiles(
-    df: DataFrame, keys: list[str], value: str, q: float, name: str, cells: int = CELLS
+    df: DataFrame, keys: list[str], value: str, q: float, name: str,
+    low: float, high: float, cells: int = CELLS,
 ) -> DataFrame:
     """Quantile q of a column per group, null values left out; linear interpolation.
 
+    low and high say where most values lie. They only shape the cells: values beyond them
+    fall in the first or last cell and the result stays exact.
+
     1. count rows per (group, value): partial counts absorb copies before the shuffle;
-    2. place values in equal-width cells between the group's minimum and maximum and add up
-       the cell counts: at most `cells` rows per group from here on;
-    3. order only the values of the one or two cells that hold the two neighbouring ranks.
+    2. add the counts up per cell, at most `cells` rows per group, and find the one or two
+       cells that hold the two neighbouring ranks;
+    3. order only the distinct values inside those cells.
     """
-    keyed = df.filter(F.col(value).isNotNull()).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_v")
-    )
-    ks = [f"_k{i}" for i in range(len(keys))]
-    if not ks:
-        keyed, ks = keyed.withColumn("_k0", F.lit(0)), ["_k0"]
-
-    counts = keyed.groupBy(*ks, "_v").agg(F.count("*").alias("_n"))
-    span = counts.groupBy(*ks).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
+    ks = [f"_k{i}" for i in range(len(keys))] or ["_k0"]
+    key_columns = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)] or [F.lit(0).alias("_k0")]
+    place = F.floor((F.col("_v") - low) / (high - low) * cells)
+    counts = (
+        df.filter(F.col(value).isNotNull())
+        .select(*key_columns, F.col(value).alias("_v"))
+        .groupBy(*ks, "_v")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_cell", F.greatest(F.least(place, F.lit(cells - 1)), F.lit(0)).cast("int"))
     )
-    spread = _join_null_safe(counts, span, ks)
-    width = F.col("_hi") - F.col("_lo")
-    cell = F.when(
-        width > 0,
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * cells), F.lit(cells - 1)),
-    ).otherwise(F.lit(0))
-    spread = spread.withColumn("_cell", cell.cast("int")).drop("_lo", "_hi")
 
-    before = Window.partitionBy(*ks).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.lit(q) * (F.col("_total") - 1)
-    by_cell = spread.groupBy(*ks, "_cell").agg(
-        F.sum("_n").alias("_in_cell"), F.max("_total").alias("_total")
-    )
-    by_cell = by_cell.select(
+    group = Window.partitionBy(*ks)
+    before = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.lit(q) * (F.sum("_in_cell").over(group) - 1)
+    by_cell = counts.groupBy(*ks, "_cell").agg(F.sum("_n").alias("_in_cell")).select(
         *ks, "_cell", "_in_cell",
         F.coalesce(F.sum("_in_cell").over(before), F.lit(0)).alias("_before"),
         F.floor(rank).alias("_low_rank"),
         F.ceil(rank).alias("_high_rank"),
         (rank - F.floor(rank)).alias("_fraction"),
     )
-    end = F.col("_before") + F.col("_in_cell")
+    last = F.col("_before") + F.col("_in_cell") - 1
     wanted = by_cell.filter(
-        F.col("_low_rank").between(F.col("_before"), end - 1)
-        | F.col("_high_rank").between(F.col("_before"), end - 1)
+        F.col("_low_rank").between(F.col("_before"), last)
+        | F.col("_high_rank").between(F.col("_before"), last)
     ).drop("_in_cell")
 
-    inside = _join_null_safe(spread.drop("_total"), wanted, [*ks, "_cell"])
+    inside = _join_null_safe(counts, wanted, [*ks, "_cell"])
     upto = Window.partitionBy(*ks, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_stop", F.col("_before") + F.sum("_n").over(upto)).withColumn(
         "_start", F.col("_stop") - F.col("_n")
@@ -70,8 +64,8 @@ def group_quantiles(
         held = F.col(rank_column).between(F.col("_start"), F.col("_stop") - 1)
         return F.max(F.when(held, F.col("_v")))
 
-    low, high = value_at("_low_rank"), value_at("_high_rank")
-    out = ranked.groupBy(*ks).agg((low + (high - low) * F.max("_fraction")).alias(name))
+    below, above = value_at("_low_rank"), value_at("_high_rank")
+    out = ranked.groupBy(*ks).agg((below + (above - below) * F.max("_fraction")).alias(name))
     return out.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], name)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meltemi import settings as S
 from meltemi.functions.numeric import round_even
+from meltemi.operators.anomaly import VALUE_SPAN
 from meltemi.operators.quantiles import group_quantiles
 from meltemi.plans.report import latest_rows
 from meltemi.plans.season import focus_for, rank_countries
@@ -126,7 +127,7 @@ def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame) -> DataFrame:
     features = list(S.ANOMALY_FEATURES)
     top = day.orderBy("anomaly_score", "station_id", "source").limit(1)
     pairs = F.array(*[F.struct(F.lit(f).alias("pollutant"), F.col(f).alias("value")) for f in features])
-    medians = group_quantiles(day.select(F.inline(pairs)), ["pollutant"], "value", 0.5, "median")
+    medians = group_quantiles(day.select(F.inline(pairs)), ["pollutant"], "value", 0.5, "median", *VALUE_SPAN)
     median_row = medians.agg(
         *[round_even(F.max(F.when(F.col("pollutant") == f, F.col("median"))), 1).alias(f"median_{f}") for f in features]
     )

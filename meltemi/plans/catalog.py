@@ -65,22 +65,6 @@ def flagged(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def report_summary(spark: SparkSession, d: str) -> DataFrame:
-    return places.report_countries(summary(spark, d))
-
-
-def report_weather(spark: SparkSession, d: str) -> DataFrame:
-    return places.report_countries(country_weather(spark, d))
-
-
-def report_risk(spark: SparkSession, d: str) -> DataFrame:
-    return places.report_countries(gold.wildfire_risk_index(air(spark, d)))
-
-
-def report_anomalies(spark: SparkSession, d: str) -> DataFrame:
-    return report.model_sources(places.report_countries(flagged(spark, d)))
-
-
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
@@ -94,6 +78,31 @@ def stored(spark: SparkSession, d: str, name: str, build: Query, by: tuple[str,
     return _WRITTEN[key]
 
 
+def _gold(spark: SparkSession, d: str, name: str, build: Query) -> DataFrame:
+    """A Gold table as the report reads it: stored once, partitioned by date."""
+    return tables.read_table(spark, stored(spark, d, f"gold-{name}", build, sinks.DAY))
+
+
+def report_summary(spark: SparkSession, d: str) -> DataFrame:
+    return places.report_countries(_gold(spark, d, "summary", summary))
+
+
+def report_weather(spark: SparkSession, d: str) -> DataFrame:
+    return places.report_countries(_gold(spark, d, "weather", country_weather))
+
+
+def risk(spark: SparkSession, d: str) -> DataFrame:
+    return gold.wildfire_risk_index(air(spark, d))
+
+
+def report_risk(spark: SparkSession, d: str) -> DataFrame:
+    return places.report_countries(_gold(spark, d, "risk", risk))
+
+
+def report_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    return report.model_sources(places.report_countries(_gold(spark, d, "anomalies", flagged)))
+
+
 def stored_silver(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_table(spark, stored(spark, d, "silver-air", air, sinks.DAY_SOURCE))
 
@@ -309,7 +318,7 @@ def daily_country_summary(spark, d):
 
 @query
 def wildfire_risk_index(spark, d):
-    return gold.wildfire_risk_index(air(spark, d))
+    return risk(spark, d)
 
 
 @query
@@ -716,7 +725,7 @@ def contract_checks(spark, d):
     faulty_summary = summary(spark, d).withColumn(
         "mean_pm2_5", F.when(F.col("country_code") == "TN", -F.col("mean_pm2_5")).otherwise(F.col("mean_pm2_5"))
     ).drop("mean_o3")
-    faulty_risk = gold.wildfire_risk_index(air(spark, d)).withColumns(
+    faulty_risk = risk(spark, d).withColumns(
         {
             "risk_index": F.col("risk_index") * 2,
             "risk_level": F.when(F.col("pm2_5").isNull(), "unset").otherwise(F.col("risk_level")),
