@@ -23,7 +23,8 @@ def stamp_date(stamp: Column) -> Column:
 
 def season_of(day: Column) -> Column:
     names = F.array(*[F.lit(name) for name in SEASONS])
-    return F.element_at(names, F.floor(F.month(day) % 12 / 3).cast("int") + 1)
+    place = F.floor(F.month(day) % 12 / 3).cast("int") + 1
+    return F.when(day.isNotNull(), F.element_at(names, F.coalesce(place, F.lit(1))))
 
 
 def parse_dates(raw: str) -> list[str]:

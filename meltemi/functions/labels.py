@@ -65,5 +65,7 @@ def worst(label: Column, order: Sequence[str]) -> Column:
     A max over an integer rank combines map-side, where a Python aggregate would not.
     """
     names = F.array(*[F.lit(name) for name in order])
-    top = F.max(severity_rank(label, order))
-    return F.coalesce(F.element_at(names, top + 1), F.lit("unknown"))
+    # 'unknown' comes first in every order. The index must not be null: Spark takes an element
+    # of a null-free array for non-null whatever its index is.
+    top = F.coalesce(F.max(severity_rank(label, order)), F.lit(0))
+    return F.element_at(names, top + 1)

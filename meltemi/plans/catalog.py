@@ -356,7 +356,7 @@ def daily_country_weather(spark, d):
 
 @query
 def anomaly_features(spark, d):
-    rows = anomaly.established_rows(anomaly.feature_rows(air(spark, d)).select(*anomaly.OUTPUT))
+    rows = anomaly.established_rows(anomaly.feature_rows(stored_silver(spark, d)).select(*anomaly.OUTPUT))
     return anomaly.impute(rows).select(
         "station_id", "source", "date", *[round_even(f, 6).alias(f"model{f}") for f in anomaly.FILLED]
     )
