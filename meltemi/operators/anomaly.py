@@ -77,14 +77,20 @@ def draw_pool(rows: DataFrame, n: int, seed: int = S.MODEL_SEED, pool_rows: int
     Equal rows are counted before they are drawn, and a group of c copies yields its expected
     share of the pool with the fraction settled by hash. A single row is thus drawn with the
     plain probability, and a group holding a third of the table cannot flood one task.
+
+    Only hashes and counts are shuffled for the draw. The drawn hashes, about pool_rows of
+    them, are broadcast to fetch their rows, whose copies collapse before the shuffle.
     """
+    keyed = rows.select(*KEY, F.xxhash64(F.lit(seed), *KEY).alias("_hash"))
+    copies = keyed.groupBy("_hash").agg(F.count("*").alias("_copies"))
     rate = min(1.0, pool_rows / n)
-    copies = rows.groupBy(*KEY).agg(F.count("*").alias("_copies"))
-    share = F.col("_copies") * rate
-    taken = F.floor(share + _uniform(F.lit(seed), *KEY)) if rate < 1 else F.col("_copies")
-    return copies.withColumn("_taken", taken.cast("int")).filter("_taken > 0").select(
-        *KEY, F.explode(F.sequence(F.lit(1), F.col("_taken"))).alias("_copy")
-    )
+    if rate == 1:
+        taken = F.col("_copies")
+    else:
+        taken = F.floor(F.col("_copies") * rate + _uniform(F.lit(seed), F.col("_hash")))
+    drawn = copies.withColumn("_taken", taken.cast("int")).filter("_taken > 0")
+    found = keyed.join(F.broadcast(drawn.select("_hash", "_taken")), "_hash").dropDuplicates(["_hash"])
+    return found.select(*KEY, F.explode(F.sequence(F.lit(1), F.col("_taken"))).alias("_copy"))
 
 
 def draw_trees(

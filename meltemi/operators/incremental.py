@@ -26,8 +26,8 @@ def missing_dates(spark: SparkSession, present: DataFrame, start: str, end: str)
 
 
 def keep_missing(df: DataFrame, missing: DataFrame) -> DataFrame:
-    """Rows of the dates still missing from the target."""
-    return df.join(missing.select("partition_date"), "partition_date", "left_semi")
+    """Rows of the dates still missing from the target; one row per calendar date is broadcast."""
+    return df.join(F.broadcast(missing.select("partition_date")), "partition_date", "left_semi")
 
 
 def merge_refreshed(existing: DataFrame | None, fresh: DataFrame, cutoff: str | None) -> DataFrame:

@@ -104,7 +104,8 @@ def report_anomalies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stored_silver(spark: SparkSession, d: str) -> DataFrame:
-    return tables.read_table(spark, stored(spark, d, "silver-air", air, sinks.DAY_SOURCE))
+    path = stored(spark, d, "silver-air", air, sinks.DAY_SOURCE)
+    return tables.read_table(spark, path, ddl=schemas.SILVER_AIR)
 
 
 # --- sources --------------------------------------------------------------------------
@@ -181,8 +182,11 @@ def topk_per_key(spark, d):
 
 @query
 def openaq_pivot(spark, d):
-    long = landing.readings(spark, d).join(landing.stations(spark, d), "user_id")
-    return bronze.pivot_measurements(long)
+    """Readings are pivoted under their station's number first; its attributes join after."""
+    long = landing.readings(spark, d).withColumn("station_id", F.col("user_id"))
+    wide = bronze.pivot_measurements(long, keys=("station_id", "date"))
+    stations = landing.stations(spark, d).drop("source")
+    return wide.withColumnRenamed("station_id", "user_id").join(stations, "user_id").drop("user_id")
 
 
 @query
@@ -395,7 +399,7 @@ def sink_append_roundtrip(spark, d):
     rows = landing.bronze_air(spark, d).drop("ingestion_ts")
     sinks.append(rows.filter("source = 'openmeteo'").drop("city"), path)
     sinks.append(rows.filter("source <> 'openmeteo'"), path)
-    return tables.read_table(spark, path)
+    return tables.read_table(spark, path, merge=True)
 
 
 @query

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meltemi import settings as S
 from meltemi.operators import anomaly, contracts, gold, monitoring, quality, silver, sinks
-from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_WEATHER
+from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_AIR, SILVER_WEATHER
 from meltemi.sources import tables
 
 
@@ -58,8 +58,8 @@ def run_silver_air(spark: SparkSession, lake: Lake, grid: DataFrame, run_ts: str
     for source in S.AIR_SOURCES:
         dates = pending(spark, lake.bronze(source), target, source)
         if dates:
-            path = lake.bronze(source)
-            frames[source] = tables.read_table(spark, path, F.col("partition_date").isin(dates))
+            folders = [f"partition_date={d}" for d in dates]
+            frames[source] = tables.read_days(spark, lake.bronze(source), folders, BRONZE_AIR)
     if not frames:
         return 0
     return sinks.append(silver.union_sources(frames, grid, run_ts), target, sinks.DAY_SOURCE).rows
@@ -74,10 +74,20 @@ def run_silver_weather(spark: SparkSession, lake: Lake, run_ts: str, rebuild: bo
     dates = pending(spark, path, target, source)
     if not dates:
         return 0
-    rows = tables.read_table(spark, path, F.col("partition_date").isin(dates))
+    rows = tables.read_days(spark, path, [f"partition_date={d}" for d in dates])
     return sinks.append(silver.build_weather(rows, run_ts), target, sinks.DAY_SOURCE).rows
 
 
+def read_window(
+    spark: SparkSession, path: str, as_of: str, days: int | None, ddl: str
+) -> DataFrame | None:
+    """The Silver partitions inside the window; None when there are none."""
+    first = tables.cutoff(as_of, days)
+    held = sinks.list_partitions(spark, path, sinks.DAY_SOURCE)
+    wanted = [p for p in held if first is None or p.split("/")[0].split("=", 1)[1] >= first]
+    return tables.read_days(spark, path, wanted, ddl) if wanted else None
+
+
 def run_gold(
     spark: SparkSession, lake: Lake, as_of: str, run_ts: str,
     window_days: int | None = S.WINDOW_DAYS, refresh_days: int | None = S.REFRESH_DAYS,
@@ -87,17 +97,16 @@ def run_gold(
 
     Missing weather costs its own table only; weather that exists but cannot be read raises.
     """
-    air = tables.in_window(tables.read_table(spark, lake.silver("air_quality")), as_of, window_days)
-    if air.isEmpty():
+    air = read_window(spark, lake.silver("air_quality"), as_of, window_days, SILVER_AIR)
+    if air is None or air.isEmpty():
         raise RuntimeError("Silver is empty in the window; Gold cannot be produced")
-    weather = tables.read_or_empty(spark, lake.silver("weather"), SILVER_WEATHER)
-    weather = tables.in_window(weather, as_of, window_days)
+    weather = read_window(spark, lake.silver("weather"), as_of, window_days, SILVER_WEATHER)
 
     built = {
         "daily_country_summary": gold.daily_country_summary(air),
         "wildfire_risk_index": gold.wildfire_risk_index(air),
     }
-    if not weather.isEmpty():
+    if weather is not None and not weather.isEmpty():
         built["daily_country_weather"] = gold.daily_country_weather(weather)
     if with_anomalies:
         built["anomaly_alerts"] = anomaly.anomaly_alerts(air)
@@ -119,7 +128,7 @@ def run_quality(
 
     return quality.all_suites(
         {s: recent(lake.bronze(s), BRONZE_AIR) for s in S.AIR_SOURCES},
-        recent(lake.silver("air_quality"), BRONZE_AIR),
+        recent(lake.silver("air_quality"), SILVER_AIR),
         recent(lake.bronze(S.WEATHER_SOURCE), SILVER_WEATHER),
         recent(lake.silver("weather"), SILVER_WEATHER),
         dates,

@@ -60,8 +60,9 @@ def latest_reporting_dates(summary: DataFrame, n: int = S.DISPLAY_DATES) -> Data
 
 
 def on_dates(df: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rows on the given dates: one row per date on the right side."""
-    return df.join(dates.select("partition_date"), "partition_date", "left_semi")
+    """Rows on the given dates. The right side has one row per calendar date, so it is safe to
+    broadcast, and the scan of a table partitioned by date is pruned by it."""
+    return df.join(F.broadcast(dates.select("partition_date")), "partition_date", "left_semi")
 
 
 def readiness_diagnostics(summary: DataFrame, anomalies: DataFrame) -> DataFrame:
@@ -114,24 +115,24 @@ def most_anomalous(anomalies: DataFrame, k: int = 5) -> DataFrame:
 def histogram(df: DataFrame, keys: list[str], value: str, bins: Column) -> DataFrame:
     """Equal-width counts per group between its own minimum and maximum.
 
-    Two passes of partial aggregates; the bounds are one row per group. A group with a
-    single value is one unit wide, and the maximum falls in the last bin.
+    Two passes of partial aggregates. The keys have a handful of values, so all bounds fit one
+    scalar and the rows are binned where they lie, with no join on a key that is always hot.
+    A group with a single value is one unit wide, and the maximum falls in the last bin.
     """
     valued = df.filter(F.col(value).isNotNull())
+    low, high, key = F.min(value), F.max(value), F.concat_ws("/", *keys)
+    flat = low == high
     bounds = valued.groupBy(*keys).agg(
-        F.min(value).alias("_min"), F.max(value).alias("_max"), F.count("*").alias("n")
+        F.when(flat, low - 0.5).otherwise(low).alias("low"),
+        F.when(flat, high + 0.5).otherwise(high).alias("high"),
+        F.count("*").alias("n"),
     )
-    flat = F.col("_min") == F.col("_max")
-    bounds = bounds.select(
-        *keys,
-        F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("low"),
-        F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("high"),
-        bins.cast("long").alias("bins"),
-    )
-    place = F.floor((F.col(value) - F.col("low")) / (F.col("high") - F.col("low")) * F.col("bins"))
+    per_group = F.struct("low", "high", bins.cast("long").alias("bins"))
+    known = bounds.agg(F.map_from_entries(F.collect_list(F.struct(key, per_group)))).scalar()
+    place = F.floor((F.col(value) - F.col("_b.low")) / (F.col("_b.high") - F.col("_b.low")) * F.col("_b.bins"))
     return (
-        valued.join(bounds, keys)
-        .withColumn("bin", F.least(place, F.col("bins") - 1).cast("long"))
+        valued.withColumn("_b", known[key])
+        .select(*keys, F.col("_b.bins").alias("bins"), F.least(place, F.col("_b.bins") - 1).cast("long").alias("bin"))
         .groupBy(*keys, "bins", "bin")
         .agg(F.count("*").alias("rows"))
     )

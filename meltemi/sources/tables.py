@@ -16,23 +16,44 @@ def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_table(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
-    """Union-by-name scan of a partitioned dataset; partition values stay strings."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+def read_table(
+    spark: SparkSession, path: str, where: Column | None = None, ddl: str | None = None,
+    merge: bool = False,
+) -> DataFrame:
+    """Scan of a partitioned dataset, columns matched by name; partition values stay strings.
+
+    With a declared schema no footer is opened to plan the scan, and a column an older file
+    lacks reads as null. merge finds the union of all files' columns instead, at the price of
+    opening every footer.
+    """
+    reader = spark.read.option("mergeSchema", str(merge).lower())
+    df = (reader.schema(ddl) if ddl else reader).parquet(path)
     return df if where is None else df.filter(where)
 
 
 def read_or_empty(spark: SparkSession, path: str, ddl: str, where: Column | None = None) -> DataFrame:
     """A missing table reads as an empty frame; any other error still raises."""
     try:
-        return read_table(spark, path, where)
+        return read_table(spark, path, where, ddl)
     except AnalysisException as error:
         if not is_missing(error):
             raise
         return spark.createDataFrame([], ddl)
 
 
+def read_days(
+    spark: SparkSession, path: str, partitions: list[str], ddl: str | None = None
+) -> DataFrame:
+    """Scan of named partition folders only.
+
+    Planning lists the files of these folders and of no others, so the cost of a window read
+    stays flat while the history behind it grows.
+    """
+    folders = [f"{path.rstrip('/')}/{p}" for p in partitions]
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(ddl) if ddl else reader).parquet(*folders)
+
+
 def read_non_empty(spark: SparkSession, path: str) -> DataFrame:
     """Gold read for publishing: an empty table is refused."""
     df = read_table(spark, path)

@@ -81,7 +81,7 @@ def test_a_missing_table_is_not_an_unreadable_one(spark, frame, tmp_path):
     spoiled.mkdir(parents=True)
     (spoiled / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
-        tables.read_or_empty(spark, str(tmp_path / "spoiled"), GOLD)
+        tables.read_or_empty(spark, str(tmp_path / "spoiled"), GOLD).count()
     with pytest.raises(RuntimeError, match="empty"):
         path = str(tmp_path / "hollow")
         frame(GOLD, []).write.parquet(path)
@@ -187,3 +187,13 @@ def test_streamed_silver_adds_each_partition_once(spark, tmp_path):
     whole = silver.build_air(rows, grid, landing.RUN_TS)
     assert first == whole.filter("partition_date <= '2024-01-15'").count()
     assert rows_of(got, "station_id", "date", "source") == rows_of(whole, "station_id", "date", "source")
+
+
+def test_a_window_read_lists_only_its_own_partitions(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "silver"), "partition_date string, source string, v int"
+    sinks.append(frame(ddl, [(f"2024-01-{d:02d}", s, d) for d in range(1, 21) for s in ("a", "b")]), path)
+    got = pipeline.read_window(spark, path, "2024-01-20", 3, ddl)
+    assert all(f"partition_date=2024-01-{d}" in " ".join(got.inputFiles()) for d in (17, 18, 19, 20))
+    assert len(got.inputFiles()) == 8 and got.count() == 8
+    assert pipeline.read_window(spark, path, "2025-01-01", 3, ddl) is None
+    assert pipeline.read_window(spark, path, "2024-01-20", None, ddl).count() == 40
