@@ -63,7 +63,11 @@ def impute(features: DataFrame) -> DataFrame:
     """
     medians = feature_medians(features)
     by_name = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median")))).scalar()
-    return features.withColumns({f"_{f}": F.coalesce(F.col(f), by_name[f]) for f in FEATURES})
+    return (
+        features.withColumn("_medians", by_name)
+        .withColumns({f"_{f}": F.coalesce(F.col(f), F.col("_medians")[f]) for f in FEATURES})
+        .drop("_medians")
+    )
 
 
 def _uniform(*parts: Column | str) -> Column:

@@ -81,6 +81,12 @@ def search_stations(hits: DataFrame, k: int = S.SEARCH_HITS) -> DataFrame:
     ).select("uid", "first.query_order", "first.position", "first.country_code")
 
 
+def locations_per_country(locations: DataFrame, k: int = S.LOCATIONS_PER_COUNTRY) -> DataFrame:
+    """First k locations of each country, by station number."""
+    number = F.col("station_id").try_cast("bigint")
+    return first_per_key(locations, ["country_code"], [number.asc_nulls_last(), F.col("station_id").asc()], k)
+
+
 def station_gaps(received: DataFrame, expected: DataFrame) -> DataFrame:
     """Stations expected but absent, or received but not expected."""
     have, want = received.select("station_id").distinct(), expected.select("station_id").distinct()

@@ -9,7 +9,7 @@ from meltemi import settings as S
 from meltemi.functions.numeric import round_even
 from meltemi.operators.anomaly import VALUE_SPAN
 from meltemi.operators.quantiles import group_quantiles
-from meltemi.plans.report import latest_rows
+from meltemi.plans.report import attach, latest_rows
 from meltemi.plans.season import focus_for, rank_countries
 
 # --- fixed values: weather fields of a fact record, in reading order ------------------
@@ -145,10 +145,7 @@ def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame) -> DataFrame:
     )
     newest = anomalies.agg(F.max("partition_date")).scalar()
     today = weather_facts(weather.filter(F.col("partition_date") == newest))
-    joined = facts.join(today, "country_code", "left").withColumn("_one", F.lit(1))
-    for part in (median_row, below):
-        joined = joined.join(part.withColumn("_one", F.lit(1)), "_one")
-    return joined.drop("_one")
+    return attach(facts.join(today, "country_code", "left"), median_row, below)
 
 
 def spotlight(history: DataFrame, day: str) -> DataFrame:

@@ -180,6 +180,11 @@ def topk_per_key(spark, d):
     return bronze.search_stations(src_station_search(spark, d))
 
 
+@query
+def locations_per_country(spark, d):
+    return bronze.locations_per_country(src_locations(spark, d)).select("country_code", "station_id")
+
+
 @query
 def openaq_pivot(spark, d):
     """Readings are pivoted under their station's number first; its attributes join after."""

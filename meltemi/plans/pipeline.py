@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.operators import anomaly, contracts, gold, monitoring, quality, silver, sinks
+from meltemi.operators import anomaly, bronze, contracts, gold, monitoring, quality, silver, sinks
 from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_AIR, SILVER_WEATHER
 from meltemi.sources import tables
 
@@ -51,6 +51,28 @@ def ingest(spark: SparkSession, lake: Lake, source: str, df: DataFrame) -> sinks
     return sinks.append(rows, path, sinks.DAY)
 
 
+def ingest_weather_range(
+    spark: SparkSession, lake: Lake, df: DataFrame, expected: DataFrame, start: str, end: str,
+    rebuild: bool = False,
+) -> sinks.Written | None:
+    """Backfill a closed date range: only its missing dates, or all of them on a rebuild.
+
+    Every expected station or none: a range written without one of them would count as done.
+    None means there was nothing to write.
+    """
+    path = lake.bronze(S.WEATHER_SOURCE)
+    days = df.filter(F.col("partition_date").between(start, end))
+    if not rebuild:
+        held = sinks.partition_days(sinks.list_partitions(spark, path))
+        days = days.filter(~F.col("partition_date").isin(held)) if held else days
+    if days.isEmpty():
+        return None
+    bronze.require_complete(days, expected)
+    if rebuild:
+        return sinks.replace_range(days, path, start, end, sinks.DAY)
+    return sinks.append(days, path, sinks.DAY)
+
+
 def run_silver_air(spark: SparkSession, lake: Lake, grid: DataFrame, run_ts: str) -> int:
     """All pending partitions of all sources in one job and one commit."""
     target = lake.silver("air_quality")

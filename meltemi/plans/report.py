@@ -243,6 +243,13 @@ def focus_pivot(weather: DataFrame, dates: DataFrame, focus: Focus, countries: t
 
 
 # --- run summary ----------------------------------------------------------------------
+def attach(df: DataFrame, *figures: DataFrame) -> DataFrame:
+    """Add the columns of one-row frames, each as one scalar subquery: no join."""
+    kept = df.columns
+    rows = {f"_row{i}": part.select(F.struct(*part.columns)).scalar() for i, part in enumerate(figures)}
+    return df.withColumns(rows).select(*kept, *[f"{name}.*" for name in rows])
+
+
 def _leader(df: DataFrame, value: Column, name: str, lowest: bool = False) -> DataFrame:
     """Country with the highest (or lowest) aggregate; ties go to the first country code."""
     means = df.filter(F.col("country_code").isNotNull()).groupBy("country_code").agg(value.alias("v"))
@@ -293,8 +300,4 @@ def report_kpis(
         _leader(weather, F.min("temp_min_c"), "coldest_country", lowest=True),
         _leader(summary, round_even(F.avg("who_pm25_exceed_pct"), 4), "highest_exceedance_country"),
     ]
-    # Every part is one row, so the parts meet on a constant key.
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    return attach(parts[0], *parts[1:])

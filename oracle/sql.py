@@ -371,6 +371,9 @@ SELECT uid, query_order, position, country_code FROM (
   SELECT *, row_number() OVER (PARTITION BY uid ORDER BY query_order, position, country_code) AS first
   FROM (SELECT *, row_number() OVER (PARTITION BY query_order ORDER BY position, uid) AS hit FROM hits)
   WHERE hit <= 3) WHERE first = 1""")
+add("locations_per_country", """
+SELECT country_code, station_id FROM (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY c_custkey) AS n
+  FROM locations) WHERE n <= 50""")
 add("openaq_pivot", f"""
 SELECT station_id, station_name, city, country_code, latitude, longitude, date, {_MEANS}
 FROM readings JOIN stations USING (user_id) WHERE value >= 0 GROUP BY ALL""")

@@ -197,3 +197,27 @@ def test_a_window_read_lists_only_its_own_partitions(spark, frame, tmp_path):
     assert len(got.inputFiles()) == 8 and got.count() == 8
     assert pipeline.read_window(spark, path, "2025-01-01", 3, ddl) is None
     assert pipeline.read_window(spark, path, "2024-01-20", None, ddl).count() == 40
+
+
+def test_weather_backfill_is_complete_or_refused(spark, frame, tmp_path):
+    lake = pipeline.Lake(str(tmp_path / "lake"))
+    ddl = "station_id string, partition_date string, temp_max_c double"
+    expected = frame("station_id string", [("a",), ("b",)])
+
+    def days(values, *dates):
+        return frame(ddl, [(s, d, v) for d in dates for s, v in zip("ab", values)])
+
+    def held():
+        return rows_of(tables.read_table(spark, lake.bronze("openmeteo_weather")), "partition_date", "station_id", "temp_max_c")
+
+    def load(df, **kw):
+        return pipeline.ingest_weather_range(spark, lake, df, expected, "2024-01-01", "2024-01-02", **kw)
+
+    with pytest.raises(RuntimeError, match="incomplete"):
+        load(frame(ddl, [("a", "2024-01-01", 1.0)]))
+    assert load(days((1.0, 2.0), "2024-01-01")).rows == 2
+    assert load(days((9.0, 9.0), "2024-01-01")) is None
+    assert load(days((5.0, 6.0), "2024-01-01", "2024-01-02", "2024-01-03")).rows == 2
+    assert held() == [("2024-01-01", "a", 1.0), ("2024-01-01", "b", 2.0), ("2024-01-02", "a", 5.0), ("2024-01-02", "b", 6.0)]
+    assert load(days((7.0, 8.0), "2024-01-02"), rebuild=True).removed == ["partition_date=2024-01-01"]
+    assert held() == [("2024-01-02", "a", 7.0), ("2024-01-02", "b", 8.0)]

@@ -105,3 +105,24 @@ def test_events_and_ranking(frame):
     assert [(r.country_code, r.value) for r in ranked] == [("TN", 9.95)]
     assert [r.country_code for r in season.rank_countries(df, season.FOCI["cold"], "2026-10-06").collect()] == ["GR", "TN"]
     assert season.FOCI["rain"].measure == "highest average daily rain over the last 10 days"
+
+
+def test_written_diagnostics_and_brief(spark, frame, tmp_path):
+    summary = frame(SUMMARY, [("2026-06-01", "TN", "openaq", 5), ("2026-06-02", "TN", "waqi", 6)])
+    anomalies = frame("partition_date string, source string, is_anomaly long", [("2026-06-01", "openaq", 1)])
+    report.write_diagnostics(report.readiness_diagnostics(summary, anomalies), str(tmp_path / "csv"))
+    got = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert rows_of(got, "partition_date", "station_days", "anomaly_flags", "rows") == [
+        ("2026-06-01", "5", "1", "1"), ("2026-06-02", "6", "0", "0")]
+    day = frame(WEATHER, history()).filter("partition_date = '2026-08-19'").selectExpr(
+        "*", "null as temp_mean_c", "null as apparent_temp_max_c", "'calm' as wind_level", "1.26D as wind_gust_max_kmh",
+        "null as humidity_pct")
+    brief.write_brief(brief.weather_facts(day), str(tmp_path / "json"))
+    facts = {r["country_code"]: r for r in map(json.loads, (r.value for r in spark.read.text(str(tmp_path / "json")).collect()))}
+    assert facts["TN"]["temp_max_c"] == 44.0 and facts["TN"]["wind_gust_max_kmh"] == 1.3
+    assert "temp_mean_c" not in facts["TN"] and "dust" not in facts["GR"]
+
+
+def test_spotlight_names_the_leader(frame):
+    got = brief.spotlight(frame(WEATHER, history()), "2026-08-19").collect()
+    assert [(r.country_code, r.focus, r.value) for r in got] == [("TN", "heat", 44.0)]
