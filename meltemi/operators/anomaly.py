@@ -109,8 +109,11 @@ def draw_trees(
     if pool_size > OVERDRAW * sample:
         drawn = drawn.filter(F.col("_ticket") < OVERDRAW * sample / pool_size)
     order = Window.partitionBy("tree").orderBy("_ticket", *KEY, "_copy")
+    # A stated number of partitions: AQE would merge these few rows into one task, and the
+    # trees would then be grown one after the other.
     return (
-        drawn.withColumn("_rank", F.row_number().over(order))
+        drawn.repartition(trees, "tree")
+        .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= sample)
         .select("tree", "_rank", *FILLED)
     )

@@ -32,6 +32,7 @@ class Contract:
 
 
 # --- fixed values: contracts of the four Gold tables ----------------------------------
+# The wording of check names and reasons in check_contract is a fixed format as well.
 _PCT = [Field(f"{c}_pct", "number", 0, 100) for c in S.WHO_FLAGS.values()]
 CONTRACTS = {
     "daily_country_summary": Contract("daily_country_summary", (

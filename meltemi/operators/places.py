@@ -26,7 +26,7 @@ def near_known_city(
     """
     code = F.upper(F.coalesce(country, F.lit("")))
     phi, lam = F.radians(lat), F.radians(lon)
-    least_cosine = math.cos(max_km / S.EARTH_RADIUS_KM)
+    least_cosine = math.cos(min(max_km / S.EARTH_RADIUS_KM, math.pi))
     near = F.lit(False)
     for n in range(max(map(len, anchors.values()), default=0)):
         nth = {name: tuple(map(math.radians, points[n])) for name, points in anchors.items() if len(points) > n}

@@ -15,6 +15,7 @@ from meltemi.functions.numeric import percent_text, to_double
 RESULT = "check_name string, layer string, table string, passed boolean, severity string, detail string"
 
 # --- fixed values: suite definitions -------------------------------------------------
+# The check names and the wording of the details below are fixed formats as well.
 BRONZE_REQUIRED = ("station_id", "latitude", "longitude", "date", "partition_date", "source")
 SILVER_REQUIRED = (
     "station_id", "country_code", "latitude", "longitude", "date", "pm2_5", "pm10",

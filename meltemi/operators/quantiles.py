@@ -19,6 +19,8 @@ def group_quantiles(
 ) -> DataFrame:
     """Quantile q of a column per group, null values left out; linear interpolation.
 
+    For a few groups of any size: at most two cells per group are broadcast.
+
     low and high say where most values lie. They only shape the cells: values beyond them
     fall in the first or last cell and the result stays exact.
 
@@ -54,7 +56,7 @@ def group_quantiles(
         | F.col("_high_rank").between(F.col("_before"), last)
     ).drop("_in_cell")
 
-    inside = _join_null_safe(counts, wanted, [*ks, "_cell"])
+    inside = _broadcast_null_safe(counts, wanted, [*ks, "_cell"])
     upto = Window.partitionBy(*ks, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_stop", F.col("_before") + F.sum("_n").over(upto)).withColumn(
         "_start", F.col("_stop") - F.col("_n")
@@ -69,8 +71,8 @@ def group_quantiles(
     return out.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], name)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _broadcast_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on keys where null equals null; the left side's keys are kept."""
-    renamed = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys]
+    renamed = F.broadcast(right.withColumnsRenamed({k: f"_r{k}" for k in keys}))
     return left.join(renamed, match).drop(*[f"_r{k}" for k in keys])

@@ -791,9 +791,7 @@ def run_alerts(spark, d):
 def stream_daily_means(spark, d):
     """Event stream to daily means, drained once; days the watermark left open stay unsent."""
     events = landing.table(spark, d, "events")
-    stream = (
-        spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    )
+    stream = spark.readStream.schema(events.schema).parquet(f"{d}/events*.parquet")
     value = {
         name: F.when(F.col("event_type") == event, F.col("value"))
         for event, name in landing.EVENT_POLLUTANT.items()

@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -25,52 +26,46 @@ def by_day(df, *columns):
     return [tuple(r) for r in df.orderBy("partition_date").select(*columns).collect()]
 
 
-def test_no_verdict_before_a_baseline_exists(frame):
-    got = gold.flag_heat_events(frame(WEATHER, days("tunis_tn", "TN", [44.0] * 5)))
-    assert by_day(got, "heat_baseline_c", "is_hot_day", "heat_streak_days") == [(None, False, 0)] * 5
-
-
-def test_a_spike_after_a_mild_month_becomes_a_heatwave(frame):
-    df = frame(WEATHER, days("tunis_tn", "TN", [26.0] * 30 + [39.0, 39.5, 40.5]))
-    assert by_day(gold.flag_heat_events(df), "is_hot_day", "heat_streak_days")[-3:] == [(True, 1), (True, 2), (True, 3)]
-    alerts = by_day(gold.daily_country_weather(df), "heat_alert")[-3:]
-    assert alerts == [("heat_advisory",), ("heat_advisory",), ("extreme_heatwave",)]
-
-
-def test_three_hot_days_below_forty_are_a_plain_heatwave(frame):
-    df = frame(WEATHER, days("tunis_tn", "TN", [26.0] * 30 + [35.0, 36.0, 37.0]))
-    assert by_day(gold.daily_country_weather(df), "heat_alert")[-1] == ("heatwave",)
-
-
-def test_an_ordinary_hot_month_raises_nothing(frame):
-    for level in (35.0, 34.9, 33.7):
-        df = frame(WEATHER, days("tunis_tn", "TN", [level] * 45))
-        assert {a for a, in by_day(gold.daily_country_weather(df), "heat_alert")} == {"none"}
-
-
-def test_a_warm_spell_under_the_floor_is_no_heatwave(frame):
-    df = frame(WEATHER, days("athens_gr", "GR", [12.0] * 30 + [22.0, 22.5, 23.0]))
-    assert {a for a, in by_day(gold.daily_country_weather(df), "heat_alert")} == {"none"}
-
-
-def test_a_cold_snap_below_freezing_is_severe(frame):
-    df = frame(WEATHER, days("istanbul_tr", "TR", [18.0] * 30 + [8.0, 7.0, 6.0]))
-    assert by_day(gold.daily_country_weather(df), "cold_alert")[-3:] == [
-        ("cold_advisory",), ("cold_advisory",), ("severe_cold_wave",)]
-
-
-def test_streaks_stay_inside_a_station(frame):
-    df = frame(WEATHER, days("tunis_tn", "TN", [26.0] * 30 + [38.0, 38.5, 39.0]) + days("athens_gr", "GR", [20.0] * 33))
-    got = gold.flag_heat_events(df).groupBy("station_id").max("heat_streak_days")
-    assert rows_of(got) == [("athens_gr", 0), ("tunis_tn", 3)]
-
-
-def test_a_country_takes_the_worst_of_its_cities(frame):
-    df = frame(WEATHER, days("cairo_eg", "EG", [26.0] * 30 + [41.0] * 3)
-               + days("alexandria_eg", "EG", [26.0] * 33, "thunderstorm"))
+MILD = [24.0, 25.0] * 16
+
+
+@pytest.mark.parametrize(
+    ("highs", "heat", "cold"),
+    [
+        # too short a history for any verdict, however extreme
+        ([47.0] * 10, ["none"] * 3, ["none"] * 3),
+        # the eleventh row has ten behind it
+        ([20.0] * 10 + [33.0], ["none", "none", "heat_advisory"], ["none"] * 3),
+        # a wave needs three days; its tier looks at the high
+        (MILD + [33.0, 34.0, 39.9], ["heat_advisory", "heat_advisory", "heatwave"], ["none"] * 3),
+        (MILD + [33.0, 34.0, 40.0], ["heat_advisory", "heat_advisory", "extreme_heatwave"], ["none"] * 3),
+        # level with its own month is ordinary, and so is warm weather under the floor
+        ([36.6] * 40, ["none"] * 3, ["none"] * 3),
+        ([15.0] * 30 + [28.0, 29.0, 30.0], ["none"] * 3, ["none"] * 3),
+        # the low is ten under the high here: 4, 1 and 0 degrees, then -1
+        (MILD + [14.0, 11.0, 10.5], ["none"] * 3, ["cold_advisory", "cold_advisory", "cold_wave"]),
+        (MILD + [14.0, 11.0, 9.0], ["none"] * 3, ["cold_advisory", "cold_advisory", "severe_cold_wave"]),
+        # a cool day in between starts the count again
+        (MILD + [35.0, 36.0, 24.0, 37.0], ["heat_advisory", "none", "heat_advisory"], ["none"] * 3),
+    ],
+)
+def test_alert_tiers(frame, highs, heat, cold):
+    got = by_day(gold.daily_country_weather(frame(WEATHER, days("x_tn", "TN", highs))), "heat_alert", "cold_alert")
+    assert [h for h, _ in got][-3:] == heat and [c for _, c in got][-3:] == cold
+
+
+def test_a_young_station_has_no_baseline(frame):
+    got = gold.flag_heat_events(frame(WEATHER, days("x_tn", "TN", [47.0] * 9)))
+    assert set(by_day(got, "heat_baseline_c", "is_hot_day", "heat_streak_days")) == {(None, False, 0)}
+
+
+def test_stations_count_their_own_streaks_and_the_country_takes_the_worst(frame):
+    df = frame(WEATHER, days("p_gr", "GR", MILD + [41.5, 42.0, 41.0]) + days("q_gr", "GR", [22.0] * 35, "snow"))
+    streaks = gold.flag_heat_events(df).groupBy("station_id").max("heat_streak_days")
+    assert rows_of(streaks) == [("p_gr", 3), ("q_gr", 0)]
     last = gold.daily_country_weather(df).orderBy("partition_date").collect()[-1]
-    assert (last.stations, last.stations_hot, last.temp_max_c) == (2, 1, 41.0)
-    assert (last.heat_alert, last.condition) == ("extreme_heatwave", "thunderstorm")
+    assert (last.stations, last.stations_hot, last.temp_max_c, last.temp_min_c) == (2, 1, 41.0, 12.0)
+    assert (last.heat_alert, last.condition, last.wind_level) == ("extreme_heatwave", "snow", "calm")
 
 
 def test_baseline_matches_a_plain_rolling_quantile(frame):

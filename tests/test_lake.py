@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meltemi.operators import incremental, monitoring, sinks
-from meltemi.plans import pipeline
+from meltemi.plans import lake as jobs
 from meltemi.sources import landing, tables
 from meltemi.streaming import silver_feed
 from meltemi.operators import silver
@@ -129,30 +129,30 @@ def _bronze(spark):
 
 
 def test_the_whole_lake_twice_and_a_late_partition(spark, tmp_path):
-    lake = pipeline.Lake(str(tmp_path / "lake"))
+    lake = jobs.Lake(str(tmp_path / "lake"))
     grid, late = landing.model_grid(spark, SMALL), "2024-01-27"
     for source, df in _bronze(spark).items():
-        pipeline.ingest(spark, lake, source, df.filter(F.col("partition_date") != late))
-    pipeline.ingest(spark, lake, "openmeteo_weather", landing.bronze_weather(spark, SMALL))
-    first = pipeline.run_silver_air(spark, lake, grid, landing.RUN_TS)
-    assert first > 0 and pipeline.run_silver_air(spark, lake, grid, landing.RUN_TS) == 0
-    assert pipeline.run_silver_weather(spark, lake, landing.RUN_TS) == 352
-    assert pipeline.run_silver_weather(spark, lake, landing.RUN_TS) == 0
+        jobs.ingest(spark, lake, source, df.filter(F.col("partition_date") != late))
+    jobs.ingest(spark, lake, "openmeteo_weather", landing.bronze_weather(spark, SMALL))
+    first = jobs.run_silver_air(spark, lake, grid, landing.RUN_TS)
+    assert first > 0 and jobs.run_silver_air(spark, lake, grid, landing.RUN_TS) == 0
+    assert jobs.run_silver_weather(spark, lake, landing.RUN_TS) == 352
+    assert jobs.run_silver_weather(spark, lake, landing.RUN_TS) == 0
 
     names = ("daily_country_summary", "wildfire_risk_index", "daily_country_weather")
 
     def state():
         return {n: rows_of(tables.read_table(spark, lake.gold(n)).select("partition_date", "country_code", "gold_ts")) for n in names}
 
-    pipeline.run_gold(spark, lake, landing.AS_OF, "run", with_anomalies=False)
+    jobs.run_gold(spark, lake, landing.AS_OF, "run", with_anomalies=False)
     before = state()
-    pipeline.run_gold(spark, lake, landing.AS_OF, "run", with_anomalies=False)
+    jobs.run_gold(spark, lake, landing.AS_OF, "run", with_anomalies=False)
     assert state() == before
 
     for source, df in _bronze(spark).items():
-        pipeline.ingest(spark, lake, source, df)
-    assert pipeline.run_silver_air(spark, lake, grid, landing.RUN_TS) > 0
-    pipeline.run_gold(spark, lake, landing.AS_OF, "later", with_anomalies=False)
+        jobs.ingest(spark, lake, source, df)
+    assert jobs.run_silver_air(spark, lake, grid, landing.RUN_TS) > 0
+    jobs.run_gold(spark, lake, landing.AS_OF, "later", with_anomalies=False)
     after = state()
     cut = tables.cutoff(landing.AS_OF, 14)
     for n in names:
@@ -160,11 +160,11 @@ def test_the_whole_lake_twice_and_a_late_partition(spark, tmp_path):
         assert {r[2] for r in after[n] if r[0] >= cut} == {"later"}
     assert late in {r[0] for r in after["daily_country_summary"]}
 
-    findings = pipeline.run_contracts(spark, lake, ["2024-01-27"])
+    findings = jobs.run_contracts(spark, lake, ["2024-01-27"])
     assert rows_of(findings, "table", "check_name") == [("anomaly_alerts", "cannot read table")]
-    pipeline.record(spark, lake, "silver", "2024-01-31 06:00:00", first, 0.0)
-    assert pipeline.alerts(spark, lake, "2024-01-31 07:00:00").count() <= 1
-    suites = pipeline.run_quality(spark, lake, landing.AS_OF, dates=["2024-01-27"])
+    jobs.record(spark, lake, "silver", "2024-01-31 06:00:00", first, 0.0)
+    assert jobs.alerts(spark, lake, "2024-01-31 07:00:00").count() <= 1
+    suites = jobs.run_quality(spark, lake, landing.AS_OF, dates=["2024-01-27"])
     assert suites.filter("check_name = 'row_count_non_zero'").count() == 6
 
 
@@ -192,15 +192,15 @@ def test_streamed_silver_adds_each_partition_once(spark, tmp_path):
 def test_a_window_read_lists_only_its_own_partitions(spark, frame, tmp_path):
     path, ddl = str(tmp_path / "silver"), "partition_date string, source string, v int"
     sinks.append(frame(ddl, [(f"2024-01-{d:02d}", s, d) for d in range(1, 21) for s in ("a", "b")]), path)
-    got = pipeline.read_window(spark, path, "2024-01-20", 3, ddl)
+    got = jobs.read_window(spark, path, "2024-01-20", 3, ddl)
     assert all(f"partition_date=2024-01-{d}" in " ".join(got.inputFiles()) for d in (17, 18, 19, 20))
     assert len(got.inputFiles()) == 8 and got.count() == 8
-    assert pipeline.read_window(spark, path, "2025-01-01", 3, ddl) is None
-    assert pipeline.read_window(spark, path, "2024-01-20", None, ddl).count() == 40
+    assert jobs.read_window(spark, path, "2025-01-01", 3, ddl) is None
+    assert jobs.read_window(spark, path, "2024-01-20", None, ddl).count() == 40
 
 
 def test_weather_backfill_is_complete_or_refused(spark, frame, tmp_path):
-    lake = pipeline.Lake(str(tmp_path / "lake"))
+    lake = jobs.Lake(str(tmp_path / "lake"))
     ddl = "station_id string, partition_date string, temp_max_c double"
     expected = frame("station_id string", [("a",), ("b",)])
 
@@ -211,7 +211,7 @@ def test_weather_backfill_is_complete_or_refused(spark, frame, tmp_path):
         return rows_of(tables.read_table(spark, lake.bronze("openmeteo_weather")), "partition_date", "station_id", "temp_max_c")
 
     def load(df, **kw):
-        return pipeline.ingest_weather_range(spark, lake, df, expected, "2024-01-01", "2024-01-02", **kw)
+        return jobs.ingest_weather_range(spark, lake, df, expected, "2024-01-01", "2024-01-02", **kw)
 
     with pytest.raises(RuntimeError, match="incomplete"):
         load(frame(ddl, [("a", "2024-01-01", 1.0)]))

@@ -96,18 +96,18 @@ def test_summary_contract(spark, frame):
     assert [(r.check_name, r.reason) for r in gap.collect()] == [("missing requested partition(s)", "['2026-06-05']")]
 
 
-def test_weather_contract_rejects_an_impossible_day(frame):
-    df = frame("""partition_date string, country_code string, stations long, temp_max_c double, temp_mean_c double,
+def test_weather_contract_finds_each_fault(frame):
+    ddl = """partition_date string, country_code string, stations long, temp_max_c double, temp_mean_c double,
         temp_min_c double, condition string, wind_level string, dust_level string, heat_alert string,
-        heat_streak_days long, cold_alert string, cold_streak_days long""",
-               [("2026-06-05", "TN", 1, 12.0, 20.0, 28.0, "clear", "breezy", "none", "scorching", -1, "none", 0)])
-    assert messages(df, "daily_country_weather") == [
-        "gold/daily_country_weather: Check that field heat_alert has invalid_count = 0: "
-        "Actual invalid_count(heat_alert) was 1, expected = 0",
-        "gold/daily_country_weather: Check that field heat_streak_days has a minimum of 0: "
-        "Actual invalid_count(heat_streak_days) was 1, expected = 0",
-        "gold/daily_country_weather: The low never sits above the high.: "
-        "Actual custom_sql(daily_country_weather) was 1, expected = 0"]
+        heat_streak_days long, cold_alert string, cold_streak_days long"""
+    good = ("2026-06-05", "GR", 2, 31.0, 25.0, 18.0, "rain", "calm", "none", "none", 0, "none", 0)
+    assert messages(frame(ddl, [good]), "daily_country_weather") == []
+    swapped = (*good[:3], 3.0, 5.0, 9.0, *good[6:])
+    labelled = (*good[:9], "boiling", 0, "icy", -2)
+    heads = [m.split(": ", 1)[1].split(":")[0] for m in messages(frame(ddl, [good, swapped, labelled]), "daily_country_weather")]
+    assert heads == [
+        "Check that field heat_alert has invalid_count = 0", "Check that field cold_alert has invalid_count = 0",
+        "Check that field cold_streak_days has a minimum of 0", "The low never sits above the high."]
 
 
 def test_risk_and_anomaly_contracts(frame):
