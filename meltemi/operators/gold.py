@@ -24,13 +24,18 @@ def daily_country_summary(silver: DataFrame) -> DataFrame:
     Spark aggregates the single distinct count in two steps, first by station inside each
     group and then by group, so one busy country is spread over many tasks.
     """
-    means = {"mean_pm2_5": "pm2_5", "mean_pm10": "pm10", "mean_no2": "nitrogen_dioxide", "mean_o3": "ozone"}
+    figures = {
+        "mean_pm2_5": F.avg("pm2_5"),
+        "max_pm2_5": F.max("pm2_5"),
+        "mean_pm10": F.avg("pm10"),
+        "mean_no2": F.avg("nitrogen_dioxide"),
+        "mean_o3": F.avg("ozone"),
+    }
     return (
         with_country(silver)
         .groupBy("partition_date", "country_code", "source")
         .agg(
-            *[round_even(F.avg(column), 2).alias(name) for name, column in means.items()],
-            round_even(F.max("pm2_5"), 2).alias("max_pm2_5"),
+            *[round_even(value, 2).alias(name) for name, value in figures.items()],
             F.countDistinct("station_id").alias("station_count"),
             *[
                 round_even(F.avg(flag) * 100, 1).alias(f"{flag}_pct")

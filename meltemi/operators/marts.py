@@ -65,6 +65,10 @@ def mart_city_weekly_trend(stg: DataFrame) -> DataFrame:
             "rolling_7d_pm2_5": round_up(F.avg("daily_mean_pm2_5").over(week), 2),
             "rolling_7d_ozone": round_up(F.avg("daily_mean_ozone").over(week), 2),
         }
+    ).select(
+        "observation_date", "country_code", "city_name", "source", "station_count",
+        "daily_mean_pm2_5", "daily_mean_ozone", "rolling_7d_pm2_5", "rolling_7d_ozone",
+        "mean_data_completeness",
     )
 
 
@@ -104,6 +108,18 @@ def mart_who_exceedance_streak(stg: DataFrame) -> DataFrame:
     )
 
 
+MARTS = {
+    "mart_daily_air_quality": mart_daily_air_quality,
+    "mart_city_weekly_trend": mart_city_weekly_trend,
+    "mart_source_coverage": mart_source_coverage,
+    "mart_who_exceedance_streak": mart_who_exceedance_streak,
+}
+
+
+def with_mart_ts(df: DataFrame, run_ts: str) -> DataFrame:
+    return df.withColumn("mart_ts", F.lit(run_ts).cast("timestamp"))
+
+
 # --- fixed values: audits of the staging view and the marts ---------------------------
 _SOURCE = Audit("accepted_values", "source", values=S.AIR_SOURCES)
 AUDITS = {

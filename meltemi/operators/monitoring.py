@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meltemi.schemas import RUN_METRICS
-
 
 # --- fixed values: alert limits -------------------------------------------------------
 @dataclass(frozen=True)
 class Limits:
     stale_seconds: int
-    severity: str = "warning"
     slow_seconds: int | None = None
     alert_on_zero_rows: bool = False
     alert_on_drop: bool = False
@@ -62,7 +59,7 @@ def run_alerts(metrics: DataFrame, as_of: str) -> DataFrame:
     )
     stage, rows = F.col("stage"), F.col("rows")
 
-    def limit_of(pick) -> "F.Column":
+    def limit_of(pick) -> Column:
         chain = F.lit(None).cast("long")
         for name, limits in STAGES.items():
             value = pick(limits)
@@ -102,6 +99,3 @@ def partition_metrics(df: DataFrame, stage: str) -> DataFrame:
     return df.groupBy("partition_date").agg(F.count("*").alias("rows")).select(
         F.lit(stage).alias("stage"), "partition_date", "rows"
     )
-
-
-__all__ = ["RUN_METRICS", "STAGES", "metrics_row", "never_ran", "partition_metrics", "run_alerts"]

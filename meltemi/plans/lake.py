@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.operators import anomaly, bronze, contracts, gold, monitoring, quality, silver, sinks
+from meltemi.operators import anomaly, bronze, contracts, gold, marts, monitoring, quality, silver, sinks
 from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_AIR, SILVER_WEATHER
 from meltemi.sources import tables
 
@@ -30,6 +30,9 @@ class Lake:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def mart(self, name: str) -> str:
+        return f"{self.root}/marts/{name}"
+
     @property
     def run_metrics(self) -> str:
         return f"{self.root}/run_metrics"
@@ -101,12 +104,17 @@ def run_silver_weather(spark: SparkSession, lake: Lake, run_ts: str, rebuild: bo
 
 
 def read_window(
-    spark: SparkSession, path: str, as_of: str, days: int | None, ddl: str
+    spark: SparkSession, path: str, as_of: str, days: int | None, ddl: str,
+    by: tuple[str, ...] = sinks.DAY_SOURCE, dates: list[str] | None = None,
 ) -> DataFrame | None:
-    """The Silver partitions inside the window; None when there are none."""
+    """The named partitions, or those inside the window; None when there are none."""
     first = tables.cutoff(as_of, days)
-    held = sinks.list_partitions(spark, path, sinks.DAY_SOURCE)
-    wanted = [p for p in held if first is None or p.split("/")[0].split("=", 1)[1] >= first]
+
+    def inside(day: str) -> bool:
+        return day in dates if dates else first is None or day >= first
+
+    held = sinks.list_partitions(spark, path, by)
+    wanted = [p for p in held if inside(p.split("/")[0].split("=", 1)[1])]
     return tables.read_days(spark, path, wanted, ddl) if wanted else None
 
 
@@ -140,19 +148,41 @@ def run_gold(
     }
 
 
+def run_marts(spark: SparkSession, lake: Lake, run_ts: str) -> dict[str, sinks.Written]:
+    """Rebuild the four marts from all of Silver.
+
+    The staging view is audited before anything is written, and each mart after its write, on
+    the stored rows; a violation stops the run.
+    """
+    stg = marts.stg_air_quality(
+        tables.read_table(spark, lake.silver("air_quality"), ddl=SILVER_AIR)
+    )
+    quality.require_clean(quality.audit(stg, "stg_air_quality", marts.AUDITS["stg_air_quality"]))
+    done = {}
+    for name, build in marts.MARTS.items():
+        path = lake.mart(name)
+        done[name] = sinks.overwrite(
+            marts.with_mart_ts(build(stg), run_ts), path, ("observation_date",)
+        )
+        stored = tables.read_table(spark, path)
+        quality.require_clean(quality.audit(stored, name, marts.AUDITS[name]))
+    return done
+
+
 def run_quality(
     spark: SparkSession, lake: Lake, as_of: str, lookback: int = 1, dates: list[str] | None = None
 ) -> DataFrame:
     """All suites over recent or named partitions; a missing table counts as no data."""
 
-    def recent(path: str, ddl: str) -> DataFrame:
-        return tables.recent_or_named(tables.read_or_empty(spark, path, ddl), as_of, lookback, dates)
+    def recent(path: str, ddl: str, by: tuple[str, ...]) -> DataFrame:
+        rows = read_window(spark, path, as_of, lookback, ddl, by, dates)
+        return spark.createDataFrame([], ddl) if rows is None else rows
 
     return quality.all_suites(
-        {s: recent(lake.bronze(s), BRONZE_AIR) for s in S.AIR_SOURCES},
-        recent(lake.silver("air_quality"), SILVER_AIR),
-        recent(lake.bronze(S.WEATHER_SOURCE), SILVER_WEATHER),
-        recent(lake.silver("weather"), SILVER_WEATHER),
+        {s: recent(lake.bronze(s), BRONZE_AIR, sinks.DAY) for s in S.AIR_SOURCES},
+        recent(lake.silver("air_quality"), SILVER_AIR, sinks.DAY_SOURCE),
+        recent(lake.bronze(S.WEATHER_SOURCE), SILVER_WEATHER, sinks.DAY),
+        recent(lake.silver("weather"), SILVER_WEATHER, sinks.DAY_SOURCE),
         dates,
     )
 

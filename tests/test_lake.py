@@ -221,3 +221,18 @@ def test_weather_backfill_is_complete_or_refused(spark, frame, tmp_path):
     assert held() == [("2024-01-01", "a", 1.0), ("2024-01-01", "b", 2.0), ("2024-01-02", "a", 5.0), ("2024-01-02", "b", 6.0)]
     assert load(days((7.0, 8.0), "2024-01-02"), rebuild=True).removed == ["partition_date=2024-01-01"]
     assert held() == [("2024-01-02", "a", 7.0), ("2024-01-02", "b", 8.0)]
+
+
+def test_marts_are_rebuilt_and_audited(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "lake"))
+    rows = landing.bronze_air(spark, SMALL)
+    built = silver.build_air(rows.filter("country_code is not null"), landing.model_grid(spark, SMALL), landing.RUN_TS)
+    sinks.append(built, lake.silver("air_quality"))
+    written = jobs.run_marts(spark, lake, landing.RUN_TS)
+    assert written["mart_who_exceedance_streak"].rows == built.count()
+    assert jobs.run_marts(spark, lake, landing.RUN_TS)["mart_source_coverage"].rows == written["mart_source_coverage"].rows
+
+    unnamed = silver.build_air(rows.filter("country_code is null"), landing.model_grid(spark, SMALL), landing.RUN_TS)
+    sinks.append(unnamed, lake.silver("air_quality"))
+    with pytest.raises(RuntimeError, match="country_code not_null"):
+        jobs.run_marts(spark, lake, landing.RUN_TS)
