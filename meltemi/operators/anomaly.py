@@ -9,9 +9,11 @@ a seed gives the same model however the table is partitioned.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from meltemi.functions.numeric import round_even
 from meltemi.operators.quantiles import group_quantiles
 from meltemi.session import scratch_path
 
+# The functions below travel inside their tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 POOL_ROWS = S.TREE_SAMPLE * 256
 OVERDRAW = 4
 VALUE_SPAN = (0.0, max(S.POLLUTANT_MAX[f] for f in S.ANOMALY_FEATURES))

@@ -1,5 +1,9 @@
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from meltemi.operators import anomaly
@@ -88,3 +92,16 @@ def test_path_lengths_agree_with_a_walk_of_each_tree():
     assert np.allclose(anomaly.path_means(probe, model), want)
     assert anomaly.average_path(1) == 0 and anomaly.average_path(2) == 1
     assert abs(anomaly.average_path(256) - 10.244) < 0.01
+
+
+def test_worker_functions_run_where_the_package_is_not_installed(tmp_path):
+    for name, fn in (("grow", anomaly.grow_tree), ("walk", anomaly.path_means), ("norm", anomaly.average_path)):
+        (tmp_path / name).write_bytes(cloudpickle.dumps(fn))
+    code = """
+import pickle, sys
+import numpy as np
+grow, walk, norm = (pickle.load(open(n, 'rb')) for n in ('grow', 'walk', 'norm'))
+assert len(grow(np.arange(30.0).reshape(10, 3), [1, 2])['feature']) > 1 and norm(256) > 10
+assert 'meltemi' not in sys.modules
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin"}, check=True)
