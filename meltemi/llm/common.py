@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed package of public vocabularies has a file; the same on every machine that has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class Scratch:
     """Written tables in the shared folder, which cut lineage and are deleted when done with.
 

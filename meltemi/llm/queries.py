@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meltemi.llm import line_dedup, simhash
-from meltemi.llm.common import table
+from meltemi.llm import line_dedup, packing, simhash, toxicity
+from meltemi.llm.common import doc_fold, table, tokenizer_path
 
 
 def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,12 +16,26 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, words=4, radius=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", F.coalesce(doc_fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1, texts=False)
     return out.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path(), capacity=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_neardup, op9_line_dedup)
+    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op9_line_dedup, op10_packing)
 }
