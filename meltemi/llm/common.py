@@ -52,6 +52,10 @@ class Scratch:
                 self._paths.remove(path)
                 delete(self.spark, path)
 
+    def keep(self, path: str) -> None:
+        """Count another folder as written here."""
+        self._paths.append(path)
+
     def later(self) -> None:
         """Delete the rest, which a returned frame still reads, when the process ends."""
         _LATER.extend((self.spark, p) for p in self._paths)

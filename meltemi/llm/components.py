@@ -2,14 +2,47 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meltemi.llm.common import Scratch
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SALTS = 16
 
 
+class Forest:
+    """Components of items 0 to n - 1 in one task; edges come in blocks and those that join something come out."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def unite(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of joined items: in all, one less than the items of each component."""
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            high, low = np.maximum(x, y)[apart], np.minimum(x, y)[apart]
+            order = np.lexsort((low, high))
+            high, low = high[order], low[order]
+            first = np.flatnonzero(np.diff(high, prepend=-1))
+            high, low = high[first], low[first]
+            yield high, low
+            jump = np.arange(len(self.root))
+            jump[high] = low
+            while (jump[jump] != jump).any():
+                jump = jump[jump]
+            self.root = jump[self.root]
+
+
 def _send_minimum(edges: DataFrame, least: DataFrame) -> DataFrame:
     """(u, v) joined with (u, m); a hub's edges are dealt over SALTS tasks, and AQE may split further."""
     salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meltemi.llm import line_dedup, packing, simhash, toxicity
+from meltemi.llm import embeddings, langid, line_dedup, packing, quality, simhash, toxicity, warc
 from meltemi.llm.common import doc_fold, table, tokenizer_path
 
 
@@ -25,6 +25,28 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"), least=100).filter("gap is null")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered", "longest")
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    held = F.coalesce(doc_fold(4) == 2, F.lit(False)).alias("held_out")
+    return predicted.select("doc_id", held, "lang_pred", "score", "ambiguous")
+
+
+def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1, texts=False)
@@ -37,5 +59,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op9_line_dedup, op10_packing)
+    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op3_warc, op5_quality, op6_language, op7_embedding_neardup, op9_line_dedup, op10_packing)
 }

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meltemi.llm.common import Scratch
-from meltemi.llm.components import connected_components
+from meltemi.llm.components import Forest, connected_components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -173,11 +173,11 @@ class Cell:
     BLOCK = 1 << 20
 
     def __init__(self, radius: int):
-        self.radius, self.homes, self.root = radius, np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.radius, self.homes, self.forest = radius, np.empty(0, np.uint64), Forest(0)
 
     def settle(self, prints: np.ndarray) -> None:
         self.homes = np.concatenate([self.homes, prints])
-        self.root = np.arange(len(self.homes))
+        self.forest = Forest(len(self.homes))
 
     def meet(self, visitors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if not len(self.homes):
@@ -192,25 +192,8 @@ class Cell:
             lead = home[new][np.cumsum(np.diff(who, prepend=-1) != 0) - 1]
             a, b = block[who[new]], self.homes[home[new]]
             yield a[a != b], b[a != b]
-            yield from self._unite(lead, home)
-
-    def _unite(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        while True:
-            x, y = self.root[a], self.root[b]
-            apart = x != y
-            if not apart.any():
-                return
-            high, low = np.maximum(x, y)[apart], np.minimum(x, y)[apart]
-            order = np.lexsort((low, high))
-            high, low = high[order], low[order]
-            first = np.flatnonzero(np.diff(high, prepend=-1))
-            high, low = high[first], low[first]
-            yield self.homes[high], self.homes[low]
-            jump = np.arange(len(self.homes))
-            jump[high] = low
-            while (jump[jump] != jump).any():
-                jump = jump[jump]
-            self.root = jump[self.root]
+            for x, y in self.forest.unite(lead, home):
+                yield self.homes[x], self.homes[y]
 
 
 def _compare_batches(radius: int):
