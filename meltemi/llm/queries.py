@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meltemi.llm import embeddings, langid, line_dedup, packing, quality, simhash, toxicity, warc
+from meltemi.llm import embeddings, langid, line_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
 from meltemi.llm.common import doc_fold, table, tokenizer_path
 
 
@@ -33,7 +33,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered", "longest")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=400, texts=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_common_lines(docs, min_docs=10, min_chars=1, texts=False)
@@ -59,5 +64,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op3_warc, op5_quality, op6_language, op7_embedding_neardup, op9_line_dedup, op10_packing)
+    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op3_warc, op5_quality, op6_language, op7_embedding_neardup, op8_suffix_dedup, op9_line_dedup, op10_packing)
 }
