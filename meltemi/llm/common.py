@@ -89,3 +89,26 @@ def doc_fold(modulus: int):
 def worker_state() -> dict:
     """A dict that outlives a task: one Python worker runs many."""
     return sys.modules.setdefault("meltemi_worker_state", types.ModuleType("meltemi_worker_state")).__dict__
+
+
+class Recent:
+    """A dict that forgets: entries unused for a whole generation go."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def take(self, keys) -> tuple[dict, list]:
+        """What is known of the keys, and those that are not."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        known, unknown = {}, []
+        for k in keys:
+            v = self.new.get(k)
+            if v is None:
+                v = self.old.get(k)
+                if v is None:
+                    unknown.append(k)
+                    continue
+                self.new[k] = v
+            known[k] = v
+        return known, unknown

@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meltemi.llm.common import Scratch, worker_state
+from meltemi.llm.common import Recent, Scratch, worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,29 +34,6 @@ PIECE = "piece int, start long, length long, ids_crc32 long"
 
 # ---- tokens -------------------------------------------------------------------------------------
 
-class Recent:
-    """A dict that forgets: entries unused for a whole generation go."""
-
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
-
-    def take(self, keys) -> tuple[dict, list]:
-        """What is known of the keys, and those that are not."""
-        if len(self.new) > self.size:
-            self.old, self.new = self.new, {}
-        known, unknown = {}, []
-        for k in keys:
-            v = self.new.get(k)
-            if v is None:
-                v = self.old.get(k)
-                if v is None:
-                    unknown.append(k)
-                    continue
-                self.new[k] = v
-            known[k] = v
-        return known, unknown
-
-
 class WordIds:
     """Token ids of white-space separated words, as little-endian unsigned 32-bit bytes.
 

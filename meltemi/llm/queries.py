@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meltemi.llm import embeddings, langid, line_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
+from meltemi.llm import embeddings, langid, line_dedup, packing, quality, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
 from meltemi.llm.common import doc_fold, table, tokenizer_path
 
 
@@ -30,6 +30,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_bpe.digest(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -64,5 +69,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_neardup, op2_toxicity, op3_warc, op5_quality, op6_language, op7_embedding_neardup, op8_suffix_dedup, op9_line_dedup, op10_packing)
+    f.__name__: f for f in (
+        op1_simhash_neardup, op2_toxicity, op3_warc, op4_sentencepiece, op5_quality, op6_language, op7_embedding_neardup,
+        op8_suffix_dedup, op9_line_dedup, op10_packing,
+    )
 }
