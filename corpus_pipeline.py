@@ -29,14 +29,17 @@ def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest doc_id.
+    """One document of each group of near copies stays: that with the smallest doc_id, a null one last.
 
-    Documents with a null doc_id cannot be told apart: of a group of such alone, one stays.
+    Rows are numbered in a written table, so that repeated rows and null ids are told apart.
     """
-    groups = simhash.near_duplicates(docs, text="text").select("doc_id", "component_id")
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS)
+    scratch = Scratch(spark)
+    rows = scratch.write(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    keyed = rows.withColumn("_key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    groups = simhash.near_duplicates(keyed, key="_key")
+    first = groups.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._row").alias("_row"))
+    scratch.later()
+    return rows.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def unique_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
