@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the smallest given tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -8,7 +10,9 @@ from tests.conftest import SMALL
 
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
     conversations""".split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# The training-data queries have their own tests.
+OWN = [k for k in entry.queries() if k != "pipeline" and not re.match(r"op\d+_", k)]
+QUERIES, SQL = ({k: v for k, v in named.items() if k in OWN} for named in (entry.queries(), entry.oracle_sql()))
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
