@@ -205,7 +205,9 @@ class Archive:
         import zlib
 
         if not packed:
-            return at == 0 or self._read(at - 1, 1) == b"\n"
+            # What a record before it has lost may include its last line end.
+            line = self._read(at, 16).partition(b"\r\n")
+            return bool(line[1]) and line[0][len(VERSION):].isdigit()
         try:
             return zlib.decompressobj(31).decompress(self._read(at, 512), 7) == VERSION
         except zlib.error:
