@@ -134,7 +134,11 @@ def _fields(head: bytes) -> dict[str, str]:
         name, colon, value = line.partition(":")
         if not colon:
             raise Damaged("bad header line")
-        fields[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in fields and name != "warc-concurrent-to":
+            # The end of one header lost, another record's runs on in it.
+            raise Damaged("repeated header field")
+        fields[name] = value.strip()
     return fields
 
 
