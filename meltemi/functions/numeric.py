@@ -35,6 +35,12 @@ def round_even(c: Column | str, digits: int) -> Column:
     return F.bround(_col(c).cast(ROUNDING_TYPE), digits).cast("double")
 
 
+def round_raw(c: Column | str, digits: int) -> Column:
+    """round_even for values nothing has bounded yet: beyond 30 integer digits they pass unrounded."""
+    c = _col(c)
+    return F.coalesce(F.bround(c.try_cast("decimal(38,8)"), digits).cast("double"), c.cast("double"))
+
+
 def round_up(c: Column | str, digits: int) -> Column:
     """Half-up rounding on a decimal, the rule of the SQL marts."""
     return F.round(_col(c).cast(ROUNDING_TYPE), digits).cast("double")

@@ -1,9 +1,9 @@
 """Isolation Forest (Liu, Ting and Zhou, ICDM 2008) over station readings.
 
-The table is never brought together: a hash-drawn pool of bounded size feeds the trees, each
-tree is grown from its 256 draws in its own task, and the grown trees (under 51,200 nodes in
-all) are broadcast to score every row where it lies. All draws are hashes of row content, so
-a seed gives the same model however the table is partitioned.
+The table is never brought together: each tree draws its 256 rows from all of it by hash, is
+grown in a task of its own, and the grown trees (under 51,200 nodes in all) are broadcast to
+score every row where it lies. All draws are hashes of row content, so a seed gives the same
+model however the table is partitioned.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
@@ -25,7 +25,6 @@ from meltemi.session import scratch_path
 # The functions below travel inside their tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-POOL_ROWS = S.TREE_SAMPLE * 256
 OVERDRAW = 4
 VALUE_SPAN = (0.0, max(S.POLLUTANT_MAX[f] for f in S.ANOMALY_FEATURES))
 SCORE_SPAN = (-1.0, 0.0)
@@ -35,7 +34,7 @@ KEY = ["station_id", "date", "source", *FILLED]
 OUTPUT = ["station_id", "station_name", "country_code", "source", "date", "partition_date", *FEATURES]
 
 TREE = """tree int, feature array<int>, threshold array<double>, left array<int>,
-    right array<int>, path array<double>"""
+    right array<int>, path array<double>, drawn int"""
 
 
 def feature_rows(silver: DataFrame) -> DataFrame:
@@ -80,39 +79,35 @@ def _uniform(*parts: Column | str) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 48)) / float(1 << 48)
 
 
-def draw_pool(rows: DataFrame, n: int, seed: int = S.MODEL_SEED, pool_rows: int = POOL_ROWS) -> DataFrame:
-    """About pool_rows rows, each with the same chance; everything when the table is smaller.
-
-    Equal rows are counted before they are drawn, and a group of c copies yields its expected
-    share of the pool with the fraction settled by hash. A single row is thus drawn with the
-    plain probability, and a group holding a third of the table cannot flood one task.
+def draw_trees(
+    rows: DataFrame, n: int, trees: int = S.N_TREES, sample: int = S.TREE_SAMPLE, seed: int = S.MODEL_SEED,
+    overdraw: int = OVERDRAW,
+) -> DataFrame:
+    """Exactly min(sample, n) rows for each tree, without replacement, by tickets drawn from all n rows.
 
-    Only hashes and counts are shuffled for the draw. The drawn hashes, about pool_rows of
-    them, are broadcast to fetch their rows, whose copies collapse before the shuffle.
+    Equal rows are counted first, with map-side partials, so a group of copies is one row. Each
+    copy has a ticket per tree, uniform in [0, 1); the tickets of c copies are drawn as order
+    statistics, smallest first: one minus the k-th is the product of (1 - h_i) ** (1 / (c - i + 1))
+    for i up to k. Of a group, the `sample` smallest are all a tree can take. Only tickets below a
+    bar that about overdraw * sample rows pass leave their task.
     """
-    keyed = rows.select(*KEY, F.xxhash64(F.lit(seed), *KEY).alias("_hash"))
-    copies = keyed.groupBy("_hash").agg(F.count("*").alias("_copies"))
-    rate = min(1.0, pool_rows / n)
-    if rate == 1:
-        taken = F.col("_copies")
-    else:
-        taken = F.floor(F.col("_copies") * rate + _uniform(F.lit(seed), F.col("_hash")))
-    drawn = copies.withColumn("_taken", taken.cast("int")).filter("_taken > 0")
-    found = keyed.join(F.broadcast(drawn.select("_hash", "_taken")), "_hash").dropDuplicates(["_hash"])
-    return found.select(*KEY, F.explode(F.sequence(F.lit(1), F.col("_taken"))).alias("_copy"))
+    # xxhash64 of row content, so neither partitioning nor a repeated task changes a draw.
+    copies = rows.groupBy(*KEY).agg(F.count("*").alias("_copies"))
+    bar = min(1.0, overdraw * sample / max(n, 1))
 
+    def step(tree: Column, k: Column) -> Column:
+        left = (F.col("_copies") - k + 1).cast("double")
+        return F.pow(1 - _uniform(F.lit(seed), tree, *KEY, k), 1 / left)
 
-def draw_trees(
-    pool: DataFrame, pool_size: int, trees: int = S.N_TREES, sample: int = S.TREE_SAMPLE,
-    seed: int = S.MODEL_SEED,
-) -> DataFrame:
-    """Exactly min(sample, pool) rows for each tree, without replacement, by hash order."""
-    ticket = _uniform(F.lit(seed), F.col("tree"), *KEY, F.col("_copy"))
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_ticket", ticket
+    first = F.lit(1)
+    entered = copies.withColumn(
+        "tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: 1 - step(t, first) < bar))
     )
-    if pool_size > OVERDRAW * sample:
-        drawn = drawn.filter(F.col("_ticket") < OVERDRAW * sample / pool_size)
+    taken = F.sequence(first, F.least("_copies", F.lit(sample)).cast("int"))
+    tickets = F.transform(
+        taken, lambda k: 1 - F.aggregate(F.sequence(first, k), F.lit(1.0), lambda held, i: held * step(F.col("tree"), i))
+    )
+    drawn = entered.select("*", F.posexplode(tickets).alias("_copy", "_ticket")).filter(F.col("_ticket") < bar)
     order = Window.partitionBy("tree").orderBy("_ticket", *KEY, "_copy")
     # A stated number of partitions: AQE would merge these few rows into one task, and the
     # trees would then be grown one after the other.
@@ -170,11 +165,21 @@ def fit_forest(samples: DataFrame, seed: int = S.MODEL_SEED) -> DataFrame:
         tree = int(key[0])
         points = pdf.sort_values("_rank")[FILLED].to_numpy(dtype="float64")
         nodes = grow_tree(points, [seed, tree])
-        return pd.DataFrame([{"tree": tree, **nodes}])
+        return pd.DataFrame([{"tree": tree, **nodes, "drawn": len(points)}])
 
     return samples.groupBy("tree").applyInPandas(grow, schema=TREE)
 
 
+def grow_forest(rows: DataFrame, n: int, trees: int, sample: int, seed: int) -> dict[str, np.ndarray]:
+    """Draw, grow and pack; should a tree come out short, all are drawn again with a higher bar."""
+    overdraw = OVERDRAW
+    while True:
+        grown = fit_forest(draw_trees(rows, n, trees, sample, seed, overdraw), seed).collect()  # bounded: trees x 2 x sample nodes
+        if len(grown) == trees and all(t.drawn == min(sample, n) for t in grown):
+            return pack(grown)
+        overdraw *= 4
+
+
 def pack(trees: list) -> dict[str, np.ndarray]:
     """All trees in one set of arrays, child indices shifted to match."""
     trees = sorted(trees, key=lambda t: t.tree)
@@ -226,26 +231,26 @@ def anomaly_alerts(
     so neither the joins nor the Python scoring runs again for a later pass or a lost executor.
     """
     spark = silver.sparkSession
-    features = feature_rows(silver).select(*OUTPUT)
-    usable = features.count()
-    if usable < S.MIN_MODEL_ROWS:
-        raise RuntimeError(f"only {usable} usable concentration rows (< {S.MIN_MODEL_ROWS})")
-    prepared_path = scratch_path(spark, "anomaly-features")
-    impute(established_rows(features)).write.parquet(prepared_path)
+    usable = Observation()
+    features = feature_rows(silver).select(*OUTPUT).observe(usable, F.count(F.lit(1)).alias("rows"))
+    features_path, prepared_path = scratch_path(spark, "anomaly-features"), scratch_path(spark, "anomaly-prepared")
+    features.write.parquet(features_path)
+    if usable.get["rows"] < S.MIN_MODEL_ROWS:
+        raise RuntimeError(f"only {usable.get['rows']} usable concentration rows (< {S.MIN_MODEL_ROWS})")
+    # Written before imputing: medians, imputed rows and draws then read a table, not Silver again.
+    features = spark.read.parquet(features_path)
+    established_path = scratch_path(spark, "anomaly-established")
+    established_rows(features).write.parquet(established_path)
+    kept = Observation()
+    impute(spark.read.parquet(established_path)).observe(kept, F.count(F.lit(1)).alias("rows")).write.parquet(prepared_path)
     prepared = spark.read.parquet(prepared_path)
-    n = prepared.count()
+    n = kept.get["rows"]
     if n < S.MIN_MODEL_ROWS:
         raise RuntimeError(f"only {n} established-station rows remain (< {S.MIN_MODEL_ROWS})")
 
-    pool_path = scratch_path(spark, "anomaly-pool")
-    draw_pool(prepared, n, seed).write.parquet(pool_path)
-    pool = spark.read.parquet(pool_path)
-    pool_size = pool.count()
-    samples = draw_trees(pool, pool_size, trees, sample, seed)
-    model = pack(fit_forest(samples, seed).collect())  # bounded: trees x 2 x sample nodes
-
+    model = grow_forest(prepared, n, trees, sample, seed)
     scored_path = scratch_path(spark, "anomaly-scores")
-    score(prepared, model, min(sample, pool_size)).write.parquet(scored_path)
+    score(prepared, model, min(sample, n)).write.parquet(scored_path)
     scored = spark.read.parquet(scored_path)
     bar = group_quantiles(scored, [], "_score", contamination, "bar", *SCORE_SPAN).scalar()
     return scored.select(

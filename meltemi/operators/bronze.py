@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.functions.numeric import round_even, to_double
+from meltemi.functions.numeric import round_raw, to_double
+from meltemi.session import scratch_path
 
 PIVOT_KEYS = ("station_id", "station_name", "city", "country_code", "latitude", "longitude", "date")
 
@@ -14,12 +15,12 @@ PIVOT_KEYS = ("station_id", "station_name", "city", "country_code", "latitude",
 def hourly_to_daily(hours: DataFrame, keys: tuple[str, ...] = ("station_id", "date")) -> DataFrame:
     """Daily mean per pollutant; a pollutant with no value that day is null."""
     return hours.groupBy(*keys).agg(
-        *[round_even(F.avg(name), 4).alias(name) for name in S.POLLUTANTS]
+        *[round_raw(F.avg(name), 4).alias(name) for name in S.POLLUTANTS]
     )
 
 
 def dust_to_daily(hours: DataFrame) -> DataFrame:
-    return hours.groupBy("station_id", "date").agg(round_even(F.avg("dust"), 2).alias("dust"))
+    return hours.groupBy("station_id", "date").agg(round_raw(F.avg("dust"), 2).alias("dust"))
 
 
 def attach_dust(weather: DataFrame, dust: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def pivot_measurements(
         rows = rows.dropna(subset=list(keys))
     return rows.groupBy(*keys).agg(
         *[
-            round_even(F.avg(F.when(F.col("parameter") == name, F.col("value"))), 4).alias(name)
+            round_raw(F.avg(F.when(F.col("parameter") == name, F.col("value"))), 4).alias(name)
             for name in S.POLLUTANTS
         ]
     )
@@ -97,8 +98,10 @@ def station_gaps(received: DataFrame, expected: DataFrame) -> DataFrame:
 
 def require_complete(received: DataFrame, expected: DataFrame) -> DataFrame:
     """All stations or none: a partial range would mark its partitions as done for good."""
+    path = scratch_path(received.sparkSession, "station-gaps")
     gaps = station_gaps(received, expected)
-    sample = [row.station_id for row in gaps.orderBy("station_id").limit(20).collect()]
-    if sample:
-        raise RuntimeError(f"range ingest incomplete, nothing written; stations: {sample}")
+    gaps.write.parquet(path)
+    count = received.sparkSession.read.schema(gaps.schema).parquet(path).count()
+    if count:
+        raise RuntimeError(f"range ingest incomplete, nothing written; {count} stations are named in {path}")
     return received

@@ -156,7 +156,7 @@ def verify_gold(
             if dates and "partition_date" in df.columns:
                 parts.append(missing_partition_violations(df, name, wanted_dates(spark, dates)))
         except Exception as error:  # any storage failure counts as a finding
-            parts.append(spark.createDataFrame([(name, "cannot read table", str(error)[:500])], VIOLATION))
+            parts.append(spark.createDataFrame([(name, "cannot read table", str(error))], VIOLATION))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -12,10 +12,11 @@ from meltemi.operators.series import with_streak, with_trailing_quantiles
 
 
 def with_country(df: DataFrame) -> DataFrame:
-    """A missing country code is the last token of the station id, upper-cased."""
+    """A blank country code is the last token of the station id, upper-cased; without the column it is null."""
+    if "country_code" not in df.columns:
+        return df.withColumn("country_code", F.lit(None).cast("string"))
     suffix = F.upper(F.element_at(F.split("station_id", "_"), -1))
-    given = F.col("country_code") if "country_code" in df.columns else F.lit(None).cast("string")
-    return df.withColumn("country_code", F.coalesce(given, suffix))
+    return df.withColumn("country_code", F.coalesce("country_code", suffix))
 
 
 def daily_country_summary(silver: DataFrame) -> DataFrame:
@@ -57,13 +58,21 @@ def wildfire_risk_index(silver: DataFrame) -> DataFrame:
     )
 
 
+def one_per_day(weather: DataFrame) -> DataFrame:
+    """One row per station and date."""
+    keys = ["station_id", "partition_date"]
+    rest = F.struct(*[c for c in weather.columns if c not in keys])
+    return weather.groupBy(*keys).agg(F.min(rest).alias("_rest")).select("*", "_rest.*").drop("_rest").select(*weather.columns)
+
+
 def flag_heat_events(weather: DataFrame) -> DataFrame:
     """Unusually hot or cold station-days against the station's own previous 30 rows.
 
-    Baselines and streaks share one window, so the frame is shuffled once, by station.
-    Silver weather holds one row per station and date, which bounds a window partition by
-    the calendar however many rows the table has.
+    Baselines and streaks share one window. One row per station and date is made sure of first,
+    with map-side partials, which bounds a window partition by the calendar however many rows
+    the table has; of several rows the smallest in column order stays.
     """
+    weather = one_per_day(weather)
     series = Window.partitionBy("station_id").orderBy("partition_date")
     hot_bar = clip("heat_baseline_c", low=S.HEAT_FLOOR_C)
     cold_bar = clip("cold_baseline_c", high=S.COLD_CEILING_C)

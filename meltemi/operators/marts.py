@@ -139,7 +139,7 @@ AUDITS = {
     "mart_daily_air_quality": (
         *[Audit("not_null", c) for c in (
             "observation_date", "country_code", "source", "dominant_aqi_tier", "station_count",
-            "mean_data_completeness")],
+            "mean_data_completeness", "mart_ts")],
         Audit("unique", "observation_date,country_code,source,dominant_aqi_tier"),
         _SOURCE,
         Audit("accepted_values", "dominant_aqi_tier", values=S.AQI_LABELS),
@@ -154,7 +154,7 @@ AUDITS = {
     ),
     "mart_city_weekly_trend": (
         *[Audit("not_null", c) for c in (
-            "observation_date", "country_code", "city_name", "source", "station_count")],
+            "observation_date", "country_code", "city_name", "source", "station_count", "mart_ts")],
         _SOURCE,
         Audit("accepted_range", "station_count", low=1),
         Audit("accepted_range", "rolling_7d_pm2_5", low=0, high=1000),
@@ -162,7 +162,7 @@ AUDITS = {
     ),
     "mart_source_coverage": (
         *[Audit("not_null", c) for c in (
-            "observation_date", "country_code", "source", "station_count", "mean_data_completeness")],
+            "observation_date", "country_code", "source", "station_count", "mean_data_completeness", "mart_ts")],
         _SOURCE,
         Audit("accepted_range", "station_count", low=1),
         Audit("accepted_range", "mean_data_completeness", low=0, high=1),
@@ -171,7 +171,7 @@ AUDITS = {
     "mart_who_exceedance_streak": (
         *[Audit("not_null", c) for c in (
             "observation_date", "station_id", "country_code", "source",
-            "current_exceedance_streak_days")],
+            "current_exceedance_streak_days", "mart_ts")],
         _SOURCE,
         Audit("accepted_values", "has_who_exceedance", values=(0, 1)),
         Audit("accepted_range", "current_exceedance_streak_days", low=0),

@@ -28,6 +28,7 @@ STAGES = {
 # Stages whose age is watched; the two optional sources may stay silent.
 WATCHED_FOR_AGE = ("bronze_openmeteo", "silver", "gold", "quality")
 ROW_DROP_SHARE = 0.5
+DAY_SECONDS = 86400
 
 
 def metrics_row(
@@ -43,13 +44,15 @@ def metrics_row(
 def run_alerts(metrics: DataFrame, as_of: str) -> DataFrame:
     """Alerts raised by the latest run of each stage.
 
-    The day before is found with lag over the runs of a stage: one row per stage and run.
+    The count to compare with is that of the last run at least one day before; the windows hold
+    one row per stage and run.
     """
-    runs = Window.partitionBy("stage").orderBy("run_ts")
+    at = F.unix_seconds("run_ts")
+    day_before = Window.partitionBy("stage").orderBy(at).rangeBetween(Window.unboundedPreceding, -DAY_SECONDS)
     newest = Window.partitionBy("stage").orderBy(F.col("run_ts").desc())
     latest = (
         metrics.withColumns(
-            {"previous_rows": F.lag("rows").over(runs), "_recency": F.row_number().over(newest)}
+            {"previous_rows": F.last("rows").over(day_before), "_recency": F.row_number().over(newest)}
         )
         .filter("_recency = 1")
         .withColumn(
@@ -88,6 +91,14 @@ def run_alerts(metrics: DataFrame, as_of: str) -> DataFrame:
     return latest.select("stage", layer.alias("layer"), F.inline(F.array_compact(F.array(*raised))))
 
 
+def quality_alerts(failures: DataFrame) -> DataFrame:
+    """One alert per failed check and layer, from quality.failures."""
+    return failures.filter("failures > 0").select(
+        F.lit("quality_failed").alias("alert"), F.lit("pipeline").alias("severity"), "check_name", "layer",
+        F.col("failures").cast("double").alias("value"),
+    )
+
+
 def never_ran(spark: SparkSession, metrics: DataFrame) -> DataFrame:
     """Watched stages without any run: no data alerts as well."""
     wanted = spark.createDataFrame([(s,) for s in WATCHED_FOR_AGE], "stage string")

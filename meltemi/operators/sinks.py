@@ -2,12 +2,16 @@
 
 Refreshing a range costs the range, not the table: its partitions are overwritten in place
 and partitions of the range that received no row are removed. Spark stages the new files and
-moves them in at job commit, so a failed job leaves the old partitions as they were.
+moves them in folder by folder at job commit, so a job that fails before that leaves the table as
+it was. The commit and the removals after it are not one atomic step: a driver lost in between
+leaves some partitions new and some old, each one whole, and running the same refresh again ends
+in the state it would have reached.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,8 @@ from meltemi.sources.tables import check_lead_in, cutoff
 
 DAY = ("partition_date",)
 DAY_SOURCE = ("partition_date", "source")
+# Spark's folder for a null or empty partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -47,8 +53,20 @@ def list_partitions(spark: SparkSession, path: str, by: tuple[str, ...] = DAY) -
     return sorted("/".join(n.split("/")[-len(by):]) for n in names)
 
 
+def folder_day(folder: str) -> str | None:
+    """Date of a partition folder as the table's readers see it; None for a null one."""
+    value = folder.split("/")[0].split("=", 1)[1]
+    return None if value == NULL_FOLDER else unquote(value)
+
+
 def partition_days(partitions: list[str]) -> list[str]:
-    return sorted({p.split("/")[0].split("=", 1)[1] for p in partitions})
+    return sorted({day for p in partitions if (day := folder_day(p)) is not None})
+
+
+def folder_name(spark: SparkSession, values: dict[str, str | None]) -> str:
+    """Folder of a partition, named and escaped by the rules Spark writes it with."""
+    paths = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(paths.getPartitionPathString(c, v) for c, v in values.items())
 
 
 def _tracked(df: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, Observation]:
@@ -56,14 +74,12 @@ def _tracked(df: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, Observation
 
     The set holds one entry per partition written, which the calendar bounds.
     """
-    parts: list = []
-    for i, c in enumerate(by):
-        parts += [F.lit(f"{'/' if i else ''}{c}="), F.col(c).cast("string")]
+    values = F.struct(*[F.col(c).cast("string").alias(c) for c in by])
     seen = Observation()
     # Rebalancing gathers each partition's rows into few files; AQE splits a partition that
     # holds most of the rows and merges the tiny ones.
     tracked = df.hint("rebalance", *by).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.concat(*parts)).alias("partitions")
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(values).alias("partitions")
     )
     return tracked, seen
 
@@ -73,7 +89,19 @@ def append(df: DataFrame, path: str, by: tuple[str, ...] = DAY_SOURCE) -> Writte
     tracked, seen = _tracked(df, by)
     tracked.write.mode("append").partitionBy(*by).parquet(path)
     got = seen.get
-    return Written(got["rows"], sorted(got["partitions"]), [])
+    return Written(got["rows"], _folders(df.sparkSession, got["partitions"]), [])
+
+
+def _folders(spark: SparkSession, partitions: list) -> list[str]:
+    return sorted(folder_name(spark, row.asDict()) for row in partitions)
+
+
+def replace_partitions(df: DataFrame, path: str, by: tuple[str, ...] = DAY_SOURCE) -> Written:
+    """Overwrite the partitions that df has rows for, and no others."""
+    tracked, seen = _tracked(df, by)
+    tracked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    got = seen.get
+    return Written(got["rows"], _folders(df.sparkSession, got["partitions"]), [])
 
 
 def replace_range(
@@ -82,7 +110,10 @@ def replace_range(
     """Replace exactly the partition dates in [start, end]; an open end is unbounded."""
     spark = df.sparkSession
 
-    def inside(day: str) -> bool:
+    def inside(day: str | None) -> bool:
+        # A null date is in no bounded range.
+        if day is None:
+            return start is None and end is None
         return (start is None or day >= start) and (end is None or day <= end)
 
     rows = df
@@ -91,21 +122,14 @@ def replace_range(
     if end is not None:
         rows = rows.filter(F.col("partition_date") <= end)
     before = list_partitions(spark, path, by)
-    tracked, seen = _tracked(rows, by)
-    (
-        tracked.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-    got = seen.get
-    fresh = set(got["partitions"])
+    written = replace_partitions(rows, path, by)
+    fresh = set(written.partitions)
     # Dynamic overwrite leaves a partition without new rows in place; here it must go.
-    stale = [p for p in before if inside(p.split("/")[0].split("=", 1)[1]) and p not in fresh]
+    stale = [p for p in before if inside(folder_day(p)) and p not in fresh]
     for p in stale:
         target, fs = _file_system(spark, f"{path.rstrip('/')}/{p}")
         fs.delete(target, True)
-    return Written(got["rows"], sorted(fresh), stale)
+    return Written(written.rows, written.partitions, stale)
 
 
 def overwrite(df: DataFrame, path: str, by: tuple[str, ...] = DAY) -> Written:

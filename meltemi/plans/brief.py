@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
+from meltemi.functions.dates import season_of
 from meltemi.functions.numeric import round_even
 from meltemi.operators.anomaly import VALUE_SPAN
 from meltemi.operators.quantiles import group_quantiles
@@ -117,13 +118,14 @@ def weather_profile(history: DataFrame, day: str, rows: int = S.PROFILE_ROWS) ->
     )
 
 
-def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame) -> DataFrame:
-    """The latest date's most anomalous reading, with its country's weather, the day's
-    medians and its percentile among the day's readings.
+def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame, newest: str | None) -> DataFrame:
+    """The most anomalous reading of a date, with its country's weather, the day's medians
+    and its percentile among the day's readings; nothing if the date has no reading.
 
-    The reading itself is a take-ordered of one row; the medians are exact and distributed.
+    The date is the summary's newest, so an anomaly table that lags behind gives no row. The
+    reading itself is a take-ordered of one row; the medians are exact and distributed.
     """
-    day = latest_rows(anomalies)
+    day = anomalies.filter(F.col("partition_date") == newest)
     features = list(S.ANOMALY_FEATURES)
     top = day.orderBy("anomaly_score", "station_id", "source").limit(1)
     pairs = F.array(*[F.struct(F.lit(f).alias("pollutant"), F.col(f).alias("value")) for f in features])
@@ -143,18 +145,20 @@ def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame) -> DataFrame:
         "partition_date", "station_id", "station_name", "country_code", "source", "anomaly_score", "is_anomaly",
         *[round_even(f, 1).alias(f) for f in features],
     )
-    newest = anomalies.agg(F.max("partition_date")).scalar()
     today = weather_facts(weather.filter(F.col("partition_date") == newest))
     return attach(facts.join(today, "country_code", "left"), median_row, below)
 
 
 def spotlight(history: DataFrame, day: str) -> DataFrame:
-    """Profile of the country that leads the day's focus."""
+    """Profile of the country that leads the day's focus, with what it leads in and by how much."""
     focus = focus_for(history, day)
     leader = rank_countries(history, focus, day).limit(1)
-    return weather_profile(history, day).join(leader, "country_code").withColumns(
-        {"focus": F.lit(focus.name), "measure": F.lit(focus.measure), "value": round_even("value", 1)}
-    )
+    figures = {
+        "season": season_of(F.lit(day).cast("date")), "focus": F.lit(focus.name), "measured": F.lit(focus.column),
+        "leader": F.lit("lowest" if focus.lowest_first else "highest"), "rank_days": F.lit(focus.rank_days),
+        "unit": F.lit(focus.unit), "value": round_even("value", 1),
+    }
+    return weather_profile(history, day).join(leader, "country_code").withColumns(figures)
 
 
 def write_brief(facts: DataFrame, path: str) -> None:

@@ -519,30 +519,51 @@ def top_anomalies(spark, d):
     )
 
 
+def _thin_summary(spark, d):
+    """The summary with its newest date barely covered, so that the date is not ready to report."""
+    rows = report_summary(spark, d)
+    newest = rows.agg(F.max("partition_date")).scalar()
+    thin = F.when(F.col("partition_date") == newest, F.lit(1).cast("long")).otherwise(F.col("station_count"))
+    return rows.withColumn("station_count", thin)
+
+
+def _shown(spark, d):
+    return report.latest_reporting_dates(_thin_summary(spark, d))
+
+
 @query
 def most_anomalous_of_day(spark, d):
-    return report.most_anomalous(report_anomalies(spark, d)).select("station_id", "anomaly_score", "is_anomaly")
+    rows = report.most_anomalous(report_anomalies(spark, d), _shown(spark, d))
+    return rows.select("partition_date", "station_id", "anomaly_score", "is_anomaly")
 
 
 @query
 def score_histogram(spark, d):
-    return report.score_histogram(report_anomalies(spark, d))
+    return report.score_histogram(report_anomalies(spark, d), _shown(spark, d))
 
 
 @query
 def day_value_histogram(spark, d):
-    return report.day_value_histogram(report_anomalies(spark, d))
+    return report.day_value_histogram(report_anomalies(spark, d), _shown(spark, d))
 
 
 @query
 def top_anomaly_facts(spark, d):
-    return brief.top_anomaly_facts(report_anomalies(spark, d), report_weather(spark, d))
+    newest = report_summary(spark, d).agg(F.max("partition_date")).first()[0]
+    return brief.top_anomaly_facts(report_anomalies(spark, d), report_weather(spark, d), newest)
+
+
+@query
+def spotlight(spark, d):
+    return brief.spotlight(report_weather(spark, d), "2024-01-29").select(
+        "country_code", "date", "season", "focus", "measured", "leader", "rank_days", "unit", "value"
+    )
 
 
 @query
 def coverage_pivot(spark, d):
     rows = report_summary(spark, d)
-    return report.coverage_pivot(rows, report.latest_reporting_dates(rows), landing.COUNTRIES[:11])
+    return report.coverage_pivot(rows, report.latest_reporting_dates(rows))
 
 
 @query
@@ -580,12 +601,14 @@ def source_share(spark, d):
 @query
 def focus_pivot(spark, d):
     dates = report.latest_reporting_dates(report_summary(spark, d))
-    return report.focus_pivot(report_weather(spark, d), dates, season.FOCI["heat"], landing.COUNTRIES[:11])
+    rows = report_weather(spark, d)
+    return report.focus_pivot(rows, dates, season.latest_focus(rows))
 
 
 @query
 def latest_conditions(spark, d):
-    return report.latest_conditions(report_weather(spark, d), season.FOCI["rain"])
+    rows = report_weather(spark, d)
+    return report.latest_conditions(rows, season.latest_focus(rows))
 
 
 @query
@@ -622,19 +645,13 @@ def season_focus(spark, d):
 
 @query
 def season_event_days(spark, d):
-    rows = report_weather(spark, d)
-    parts = [season.event_days(rows, f).withColumn("focus", F.lit(f.name)) for f in season.FOCI.values()]
-    return reduce(DataFrame.unionByName, parts)
+    return season.event_days(report_weather(spark, d), *season.FOCI.values())
 
 
 @query
 def rank_countries(spark, d):
-    rows = report_weather(spark, d)
-    parts = []
-    for focus in season.FOCI.values():
-        ranked = season.rank_countries(rows, focus, "2024-01-28")
-        parts.append(ranked.select(F.lit(focus.name).alias("focus"), "country_code", round_even("value", 6).alias("value")))
-    return reduce(DataFrame.unionByName, parts)
+    ranked = season.rank_all(report_weather(spark, d), "2024-01-28")
+    return ranked.select("focus", "country_code", round_even("value", 6).alias("value"))
 
 
 # --- quality, audits, contracts -------------------------------------------------------
@@ -770,6 +787,13 @@ def contract_missing_partitions(spark, d):
     return contracts.missing_partitions(summary(spark, d), wanted)
 
 
+@query
+def quality_alerts(spark, d):
+    """One alert per failed check and layer."""
+    results = quality_bronze(spark, d).unionByName(quality_silver(spark, d)).unionByName(quality_weather(spark, d))
+    return monitoring.quality_alerts(quality.failures(results))
+
+
 @query
 def run_metrics(spark, d):
     """Rows per stage and partition of one run."""
@@ -789,7 +813,7 @@ def run_alerts(spark, d):
 # --- streaming ------------------------------------------------------------------------
 @query
 def stream_daily_means(spark, d):
-    """Event stream to daily means, drained once; days the watermark left open stay unsent."""
+    """Event stream to daily means, drained once, open days included."""
     events = landing.table(spark, d, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{d}/events*.parquet")
     value = {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meltemi import settings as S
 from meltemi.functions.numeric import round_even
-from meltemi.plans.season import Focus
+from meltemi.plans.season import Focus, season_and_focus
 
 
 # --- coverage and readiness -----------------------------------------------------------
@@ -107,9 +107,14 @@ def top_anomalies(anomalies: DataFrame, k: int = 10) -> DataFrame:
     return anomalies.filter("is_anomaly = 1").orderBy("anomaly_score", "partition_date", "station_id").limit(k)
 
 
-def most_anomalous(anomalies: DataFrame, k: int = 5) -> DataFrame:
-    """The k most anomalous rows of the latest date, flagged or not."""
-    return latest_rows(anomalies).orderBy("anomaly_score", "station_id").limit(k)
+def on_newest(df: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the newest of the given dates; none if the table has no such rows."""
+    return df.filter(F.col("partition_date") == dates.agg(F.max("partition_date")).scalar())
+
+
+def most_anomalous(anomalies: DataFrame, dates: DataFrame, k: int = 5) -> DataFrame:
+    """The k most anomalous rows of the newest date to show, flagged or not."""
+    return on_newest(anomalies, dates).orderBy("anomaly_score", "station_id").limit(k)
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, bins: Column) -> DataFrame:
@@ -138,28 +143,36 @@ def histogram(df: DataFrame, keys: list[str], value: str, bins: Column) -> DataF
     )
 
 
-def score_histogram(anomalies: DataFrame) -> DataFrame:
-    """Scores of normal rows in 30 bins, of flagged rows in 15."""
+def score_histogram(anomalies: DataFrame, dates: DataFrame) -> DataFrame:
+    """Scores on the dates to show: of normal rows in 30 bins, of flagged rows in 15."""
     bins = F.when(F.col("is_anomaly") == 1, 15).otherwise(30)
-    return histogram(anomalies, ["is_anomaly"], "anomaly_score", bins)
+    return histogram(on_dates(anomalies, dates), ["is_anomaly"], "anomaly_score", bins)
 
 
-def day_value_histogram(anomalies: DataFrame) -> DataFrame:
-    """Each pollutant's readings of the latest date, in 5 to 20 bins by how many there are."""
+def day_value_histogram(anomalies: DataFrame, dates: DataFrame) -> DataFrame:
+    """Each pollutant's readings of the newest date to show, in 5 to 20 bins by how many there are."""
     pairs = F.array(*[F.struct(F.lit(f).alias("pollutant"), F.col(f).alias("value")) for f in S.ANOMALY_FEATURES])
     bins = F.least(F.greatest(F.floor(F.col("n") / 2), F.lit(5)), F.lit(20))
-    return histogram(latest_rows(anomalies).select(F.inline(pairs)), ["pollutant"], "value", bins)
+    return histogram(on_newest(anomalies, dates).select(F.inline(pairs)), ["pollutant"], "value", bins)
 
 
 # --- pollutants, risk and sources -----------------------------------------------------
+def countries_in(df: DataFrame) -> tuple[str, ...]:
+    """Country codes a frame holds, sorted; a report has a few dozen at most."""
+    found = df.select("country_code").filter("country_code is not null").distinct().collect()
+    return tuple(sorted(row.country_code for row in found))
+
+
 def _pivot(df: DataFrame, row: str, column: str, values: tuple[str, ...], aggregate) -> DataFrame:
     """Named pivot values: no job to look for them, and the same columns on every run."""
     return df.filter(F.col(row).isNotNull()).groupBy(row).pivot(column, list(values)).agg(aggregate)
 
 
-def coverage_pivot(summary: DataFrame, dates: DataFrame, countries: tuple[str, ...]) -> DataFrame:
+def coverage_pivot(summary: DataFrame, dates: DataFrame) -> DataFrame:
     """Station-days per date and country on the display dates; none is zero."""
-    pivoted = _pivot(on_dates(summary, dates), "partition_date", "country_code", countries, F.sum("station_count"))
+    shown = on_dates(summary, dates)
+    countries = countries_in(shown)
+    pivoted = _pivot(shown, "partition_date", "country_code", countries, F.sum("station_count"))
     return pivoted.fillna(0, subset=list(countries))
 
 
@@ -235,9 +248,10 @@ def latest_conditions(weather: DataFrame, focus: Focus) -> DataFrame:
     ).orderBy(order, "country_code")
 
 
-def focus_pivot(weather: DataFrame, dates: DataFrame, focus: Focus, countries: tuple[str, ...]) -> DataFrame:
+def focus_pivot(weather: DataFrame, dates: DataFrame, focus: Focus) -> DataFrame:
+    shown = on_dates(weather, dates)
     return _pivot(
-        on_dates(weather, dates), "partition_date", "country_code", countries,
+        shown, "partition_date", "country_code", countries_in(shown),
         F.max(F.col(focus.column).try_cast("double")),
     )
 
@@ -261,7 +275,10 @@ def _leader(df: DataFrame, value: Column, name: str, lowest: bool = False) -> Da
 def report_kpis(
     summary: DataFrame, risk: DataFrame, anomalies: DataFrame, weather: DataFrame
 ) -> DataFrame:
-    """One row of run figures. Each part is a global aggregate with map-side partials."""
+    """One row of run figures, season and focus of the newest weather date among them.
+
+    Each part is a global aggregate with map-side partials.
+    """
 
     def names(column: str) -> Column:
         return F.array_join(F.array_sort(F.collect_set(column)), ", ")
@@ -299,5 +316,6 @@ def report_kpis(
         _leader(weather, F.max("temp_max_c"), "hottest_country"),
         _leader(weather, F.min("temp_min_c"), "coldest_country", lowest=True),
         _leader(summary, round_even(F.avg("who_pm25_exceed_pct"), 4), "highest_exceedance_country"),
+        season_and_focus(weather),
     ]
     return attach(parts[0], *parts[1:])

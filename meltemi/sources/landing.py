@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meltemi.functions.numeric import ROUNDING_TYPE, round_even
+from meltemi.functions.numeric import ROUNDING_TYPE, round_even, round_raw
 from meltemi.settings import AIR_SOURCES, POLLUTANTS
 
 # --- fixed values: how the tables map to the domain ----------------------------------
@@ -335,7 +335,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.date_trunc("second", F.max("ts").cast("timestamp")).alias("run_ts"),
             F.sum(F.when(F.col("value") > 100, 1).otherwise(0)).cast("long").alias("rows"),
-            round_even(F.sum("value"), 2).alias("duration_seconds"),
+            round_raw(F.sum("value"), 2).alias("duration_seconds"),
             F.sum(F.when(F.col("value") < 0.5, 1).otherwise(0)).cast("long").alias("quality_failures"),
         )
         .drop("run_day")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -62,17 +63,15 @@ def read_non_empty(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+_SPAN = re.compile(rf"\s*(?:(?P<whole>{'|'.join(S.FULL_REBUILD_WORDS)})|(?P<days>[-+]?\d+))\s*", re.IGNORECASE)
+
+
 def configured_days(raw: str | None, default: int) -> int | None:
-    """Day count from configuration text; None means everything, junk means the default."""
-    text = (raw or "").strip().lower()
-    if not text:
-        return default
-    if text in S.FULL_REBUILD_WORDS:
-        return None
-    try:
-        return max(1, int(text))
-    except ValueError:
+    """Days a setting asks for, one at least; None for the whole table, the default for anything else."""
+    found = _SPAN.fullmatch(raw or "")
+    if found is None:
         return default
+    return max(int(found["days"]), 1) if found["days"] else None
 
 
 def cutoff(as_of: str | date, days: int | None) -> str | None:

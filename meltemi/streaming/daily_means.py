@@ -2,36 +2,65 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meltemi import settings as S
-from meltemi.functions.numeric import round_even
+from meltemi.functions.numeric import round_raw
+from meltemi.session import scratch_path
+from meltemi.sources.tables import is_missing
 
 LATENESS = "1 day"
+KEYS = ["station_id", "date"]
 
 
 def daily_means(hours: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Mean per station and day. State holds one buffer per station for the days the
-    watermark still leaves open, and each day is emitted once, when it closes."""
+    watermark still leaves open; a reading later than that is left out."""
     return (
         hours.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 day"), "station_id")
-        .agg(*[round_even(F.avg(name), 4).alias(name) for name in S.POLLUTANTS])
+        .agg(*[round_raw(F.avg(name), 4).alias(name) for name in S.POLLUTANTS])
         .select("station_id", F.date_format("window.start", "yyyy-MM-dd").alias("date"), *S.POLLUTANTS)
     )
 
 
 def write_daily_means(hours: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what has landed and stop; the file sink's log makes a restart exactly-once."""
+    """Process what has landed and stop, open days included.
+
+    A batch brings the whole new mean of each station-day it changed, and only the dates of those
+    are rewritten; a repeated batch writes the same rows again.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        staged = scratch_path(spark, "daily-means")
+        changed = batch.persist()
+        try:
+            days = [row.date for row in changed.select("date").distinct().collect()]  # one per calendar date
+            if not days:
+                return
+            try:
+                held = spark.read.schema(batch.schema).parquet(path).filter(F.col("date").isin(days))
+            except AnalysisException as error:
+                if not is_missing(error):
+                    raise
+                held = changed.limit(0)
+            kept = held.join(changed.select(*KEYS), KEYS, "left_anti")
+            # Written aside first: a table cannot be overwritten while it is read.
+            kept.unionByName(changed).write.parquet(staged)
+        finally:
+            changed.unpersist()
+        rows = spark.read.schema(batch.schema).parquet(staged)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
     return (
         daily_means(hours)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        .writeStream.foreachBatch(merge)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .partitionBy("date")
         .trigger(availableNow=True)
         .start()
     )

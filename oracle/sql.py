@@ -12,6 +12,11 @@ def even(x: str, digits: int) -> str:
     return f"CAST(round_even(CAST({x} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
 
 
+def raw(x: str, digits: int) -> str:
+    return (f"CASE WHEN abs({x}) < 1e30 THEN CAST(round_even(CAST({x} AS DECIMAL(38,8)), {digits}) AS DOUBLE) "
+            f"ELSE {x} END")
+
+
 def up(x: str, digits: int) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(18,8)), {digits}) AS DOUBLE)"
 
@@ -539,9 +544,18 @@ add("top_anomalies", """
 SELECT partition_date, station_id, country_code, anomaly_score FROM r_anomalies
 WHERE is_anomaly = 1 AND partition_date IN (SELECT partition_date FROM shown)
 ORDER BY anomaly_score, partition_date, station_id LIMIT 10""")
-CTE["anomaly_day"] = "SELECT * FROM r_anomalies WHERE partition_date = (SELECT max(partition_date) FROM r_anomalies)"
+# The summary's newest date as if barely covered: it is not ready to report then.
+CTE["thin_summary"] = """
+SELECT * REPLACE (CASE WHEN partition_date = (SELECT max(partition_date) FROM r_summary) THEN 1 ELSE station_count END AS station_count)
+FROM r_summary"""
+CTE["thin_coverage"] = CTE["coverage"].replace("r_summary", "thin_summary")
+CTE["thin_readiness"] = CTE["readiness"].replace("coverage WINDOW", "thin_coverage WINDOW")
+CTE["thin_shown"] = "SELECT partition_date FROM thin_readiness WHERE is_reporting_ready ORDER BY partition_date DESC LIMIT 45"
+CTE["anomaly_day"] = "SELECT * FROM r_anomalies WHERE partition_date = (SELECT max(partition_date) FROM thin_shown)"
+CTE["anomaly_shown"] = "SELECT * FROM r_anomalies WHERE partition_date IN (SELECT partition_date FROM thin_shown)"
+CTE["brief_day"] = "SELECT * FROM r_anomalies WHERE partition_date = (SELECT max(partition_date) FROM r_summary)"
 add("most_anomalous_of_day", """
-SELECT station_id, anomaly_score, is_anomaly FROM anomaly_day ORDER BY anomaly_score, station_id LIMIT 5""")
+SELECT partition_date, station_id, anomaly_score, is_anomaly FROM anomaly_day ORDER BY anomaly_score, station_id LIMIT 5""")
 
 
 def histogram(source: str, key: str, value: str, bins: str) -> str:
@@ -555,7 +569,7 @@ USING ({key}) GROUP BY 1, 2, 3"""
 
 
 CTE["day_values"] = " UNION ALL ".join(f"SELECT '{f}' AS pollutant, {f} AS value FROM anomaly_day" for f in FEATURES)
-add("score_histogram", histogram("r_anomalies", "is_anomaly", "anomaly_score", "CASE WHEN is_anomaly = 1 THEN 15 ELSE 30 END"))
+add("score_histogram", histogram("anomaly_shown", "is_anomaly", "anomaly_score", "CASE WHEN is_anomaly = 1 THEN 15 ELSE 30 END"))
 add("day_value_histogram", histogram("day_values", "pollutant", "value", "least(greatest(n // 2, 5), 20)"))
 
 FIELDS = ("temp_max_c", "temp_min_c", "temp_mean_c", "apparent_temp_max_c", "condition", "wind_level",
@@ -584,21 +598,32 @@ _AIR_FIELDS = ("stations", "mean_pm2_5", "max_pm2_5", "mean_pm10", "mean_no2", "
 _JSON = ", ".join(json_field(f, f, f in TEXT or f == "country_code") for f in ("country_code", *_AIR_FIELDS, *FIELDS))
 add("brief_facts", f"SELECT country_code, '{{' || concat_ws(',', {_JSON}) || '}}' AS facts FROM country_facts")
 
-_TOP = "(SELECT * FROM anomaly_day ORDER BY anomaly_score, station_id, source LIMIT 1)"
+_TOP = "(SELECT * FROM brief_day ORDER BY anomaly_score, station_id, source LIMIT 1)"
 add("top_anomaly_facts", f"""
 SELECT t.partition_date, station_id, station_name, t.country_code, source, anomaly_score, is_anomaly,
   {', '.join(f'{even(f"t.{f}", 1)} AS {f}' for f in FEATURES)}, {', '.join(f'w.{f}' for f in FIELDS)},
-  {', '.join(even(f'(SELECT median({f}) FROM anomaly_day)', 1) + f' AS median_{f}' for f in FEATURES)},
-  (SELECT count(DISTINCT station_id) FROM anomaly_day) AS stations,
-  {', '.join(even(f'(SELECT avg(CAST(d.{f} < z.{f} AS INT)) FROM anomaly_day d, {_TOP} z) * 100', 2) + f' AS percentile_{f}' for f in FEATURES)}
+  {', '.join(even(f'(SELECT median({f}) FROM brief_day)', 1) + f' AS median_{f}' for f in FEATURES)},
+  (SELECT count(DISTINCT station_id) FROM brief_day) AS stations,
+  {', '.join(even(f'(SELECT avg(CAST(d.{f} < z.{f} AS INT)) FROM brief_day d, {_TOP} z) * 100', 2) + f' AS percentile_{f}' for f in FEATURES)}
 FROM {_TOP} t LEFT JOIN weather_facts w ON w.country_code = t.country_code AND w.partition_date = t.partition_date""")
 
-_SHOWN = COUNTRIES[:11]
+# The countries that the report rule leaves of those landed.
+_SHOWN = ("TN", "DZ", "MA", "LY", "EG", "LB", "GR", "TR", "IT", "FR", "ES")
+_SEASON = "['winter', 'spring', 'summer', 'autumn'][CAST(floor((month({d}) % 12) / 3) AS INT) + 1]"
 add("coverage_pivot", f"""
 SELECT partition_date, {', '.join(f"CAST(coalesce(sum(station_count) FILTER (country_code = '{c}'), 0) AS BIGINT) AS {c}" for c in _SHOWN)}
 FROM r_summary WHERE partition_date IN (SELECT partition_date FROM shown) GROUP BY 1""")
+CTE["focus_days"] = f"""
+SELECT partition_date, season, CASE WHEN heat THEN 'heat' WHEN cold THEN 'cold'
+  ELSE CASE season WHEN 'winter' THEN 'cold' WHEN 'spring' THEN 'dust' WHEN 'summer' THEN 'heat' ELSE 'rain' END END AS focus
+FROM (SELECT partition_date, {_SEASON.format(d='CAST(partition_date AS DATE)')} AS season,
+    bool_or(heat_alert IN ('heatwave', 'extreme_heatwave')) AS heat,
+    bool_or(cold_alert IN ('cold_wave', 'severe_cold_wave')) AS cold FROM r_weather GROUP BY 1, 2)"""
+CTE["focus_now"] = "SELECT season, focus FROM focus_days ORDER BY partition_date DESC LIMIT 1"
+_FOCUS_VALUE = """CASE (SELECT focus FROM focus_now) WHEN 'heat' THEN temp_max_c WHEN 'cold' THEN temp_min_c
+  WHEN 'rain' THEN precipitation_mm ELSE dust END"""
 add("focus_pivot", f"""
-SELECT partition_date, {', '.join(f"max(temp_max_c) FILTER (country_code = '{c}') AS {c}" for c in _SHOWN)}
+SELECT partition_date, {', '.join(f"max({_FOCUS_VALUE}) FILTER (country_code = '{c}') AS {c}" for c in _SHOWN)}
 FROM r_weather WHERE partition_date IN (SELECT partition_date FROM shown) GROUP BY 1""")
 add("pollutants_by_country", f"""
 SELECT country_code, {', '.join(f'''{even(f"avg({c}) FILTER (source = '{s}')", 2)} AS {n}_{s}''' for n, c in (('pm2_5', 'mean_pm2_5'), ('o3', 'mean_o3')) for s in SOURCES)}
@@ -651,7 +676,8 @@ SELECT (SELECT min(partition_date) FROM r_summary) AS first_date, (SELECT max(pa
   {leader('r_risk', even('avg(risk_index)', 4), 'DESC')} AS highest_risk_country,
   {leader('r_weather', 'max(temp_max_c)', 'DESC')} AS hottest_country,
   {leader('r_weather', 'min(temp_min_c)', 'ASC')} AS coldest_country,
-  {leader('r_summary', even('avg(who_pm25_exceed_pct)', 4), 'DESC')} AS highest_exceedance_country""")
+  {leader('r_summary', even('avg(who_pm25_exceed_pct)', 4), 'DESC')} AS highest_exceedance_country,
+  (SELECT season FROM focus_now) AS season, (SELECT focus FROM focus_now) AS focus""")
 
 _RECORD = ", ".join([
     json_field("partition_date", "date", True), json_field(even("temp_max_c", 1), "high_c", False),
@@ -664,6 +690,17 @@ def last(c: str) -> str:
     return f"max({c}) FILTER (recency = 1)"
 
 
+_LED = {"heat": ("temp_max_c", "highest", 1, "C"), "cold": ("temp_min_c", "lowest", 1, "C"),
+        "rain": ("precipitation_mm", "highest", 10, "mm"), "dust": ("dust", "highest", 1, "ug/m3")}
+add("spotlight", " UNION ALL ".join(f"""
+SELECT country_code, '2024-01-29' AS date, season, focus, '{c}' AS measured, '{end}' AS leader, CAST({k} AS INT) AS rank_days, '{unit}' AS unit,
+  {even('v', 1)} AS value
+FROM (SELECT country_code, avg({c}) AS v, max(partition_date) AS day FROM r_weather WHERE country_code IS NOT NULL AND partition_date IN (
+    SELECT DISTINCT partition_date FROM r_weather WHERE partition_date <= '2024-01-29' ORDER BY partition_date DESC LIMIT {k})
+  GROUP BY 1 HAVING avg({c}) IS NOT NULL ORDER BY v {'ASC' if end == 'lowest' else 'DESC'}, country_code LIMIT 1),
+  (SELECT season, focus FROM focus_days WHERE partition_date = '2024-01-29') WHERE focus = '{n}'"""
+    for n, (c, end, k, unit) in _LED.items()))
+
 add("weather_profile", f"""
 SELECT country_code, max(partition_date) AS date, count(*) AS days_of_history,
   {even(last('temp_max_c'), 1)} AS high_c, {even(last('temp_min_c'), 1)} AS low_c,
@@ -687,16 +724,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY abs(step)
 GROUP BY country_code""")
 
 # --- season --------------------------------------------------------------------------------
-_SEASON = "['winter', 'spring', 'summer', 'autumn'][CAST(floor((month({d}) % 12) / 3) AS INT) + 1]"
 add("season_of", f"""
 SELECT {_SEASON.format(d='o_orderdate')} AS season, CAST(month(o_orderdate) AS INT) AS month, count(*) AS orders
 FROM orders GROUP BY 1, 2""")
-add("season_focus", f"""
-SELECT partition_date, season, CASE WHEN heat THEN 'heat' WHEN cold THEN 'cold'
-  ELSE CASE season WHEN 'winter' THEN 'cold' WHEN 'spring' THEN 'dust' WHEN 'summer' THEN 'heat' ELSE 'rain' END END AS focus
-FROM (SELECT partition_date, {_SEASON.format(d='CAST(partition_date AS DATE)')} AS season,
-    bool_or(heat_alert IN ('heatwave', 'extreme_heatwave')) AS heat,
-    bool_or(cold_alert IN ('cold_wave', 'severe_cold_wave')) AS cold FROM r_weather GROUP BY 1, 2)""")
+add("season_focus", "SELECT * FROM focus_days")
 _EVENTS = {"heat": "heat_alert IN ('heatwave', 'extreme_heatwave')", "cold": "cold_alert IN ('cold_wave', 'severe_cold_wave')",
            "rain": "precipitation_mm >= 10", "dust": "dust_level IN ('high', 'severe')"}
 add("season_event_days", " UNION ALL ".join(
@@ -933,7 +964,8 @@ SELECT 'bronze' AS stage, partition_date, count(*) AS rows FROM bronze_air GROUP
 UNION ALL SELECT 'silver', partition_date, count(*) FROM air GROUP BY 2
 UNION ALL SELECT 'gold', partition_date, count(*) FROM summary GROUP BY 2""")
 _RUNS = f"""
-SELECT stage, run_ts, rows, duration_seconds, quality_failures, lag(rows) OVER (PARTITION BY stage ORDER BY run_ts) AS previous,
+SELECT stage, run_ts, rows, duration_seconds, quality_failures, last_value(rows) OVER (PARTITION BY stage ORDER BY run_ts
+    RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS previous,
   row_number() OVER (PARTITION BY stage ORDER BY run_ts DESC) AS recency,
   epoch(TIMESTAMP '2024-02-01 02:00:00') - epoch(run_ts) AS age
 FROM (SELECT CASE event_type WHEN 'view' THEN 'bronze_openmeteo' WHEN 'click' THEN 'bronze_openaq'
@@ -951,10 +983,14 @@ SELECT stage, string_split(stage, '_')[1] AS layer, alert, severity, CAST(value
   UNION ALL SELECT stage, 'run_slow', 'warning', duration_seconds FROM ({_RUNS}) WHERE recency = 1
     AND duration_seconds > CASE WHEN stage LIKE 'bronze%' THEN 1800 WHEN stage = 'silver' THEN 3600 END)""")
 
+add("quality_alerts", f"""
+SELECT 'quality_failed' AS alert, 'pipeline' AS severity, check_name, layer, CAST(count(*) AS DOUBLE) AS value
+FROM ({' UNION ALL '.join(f'SELECT check_name, layer, passed FROM ({ORACLE[k]})' for k in ('quality_bronze', 'quality_silver', 'quality_weather'))})
+WHERE NOT passed GROUP BY check_name, layer""")
+
 # --- streaming -----------------------------------------------------------------------------
 _STREAM = {"pm2_5": "view", "pm10": "click", "nitrogen_dioxide": "purchase", "ozone": "signup"}
 add("stream_daily_means", f"""
 SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
   {', '.join(f'''{even(f"avg(value) FILTER (event_type = '{e}')", 4)} AS {p}''' for p, e in _STREAM.items())}
-FROM events GROUP BY 1, 2 HAVING CAST(CAST(ts AS DATE) AS VARCHAR) <= (
-  SELECT strftime(max(ts) - INTERVAL 2 DAY, '%Y-%m-%d') FROM events)""")
+FROM events GROUP BY 1, 2""")

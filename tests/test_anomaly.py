@@ -57,16 +57,25 @@ def test_outliers_rank_first_and_the_partitioning_does_not_matter(frame):
     assert sum(r[3] for r in ranked) == 20 and all(r[2] < 0 for r in ranked)
 
 
-def test_a_group_of_copies_gets_its_share_of_the_pool(spark):
-    df = spark.range(30000).select(
-        F.when(F.col("id") < 10000, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string"))).alias("station_id"),
+def test_draws_come_from_the_whole_table_and_copies_keep_their_weight(spark):
+    df = spark.range(90000).select(
+        F.when(F.col("id") < 30000, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string"))).alias("station_id"),
         F.lit("d").alias("date"), F.lit("openaq").alias("source"),
-        *[F.lit(1.0).alias(f) for f in anomaly.FILLED])
-    pool = anomaly.draw_pool(df, 30000, pool_rows=3000)
-    hot, rest = pool.filter("station_id = 'hot'").count(), pool.filter("station_id <> 'hot'").count()
-    assert hot in (1000, 1001) and 1850 < rest < 2150
-    drawn = anomaly.draw_trees(pool, hot + rest, trees=3, sample=50)
-    assert rows_of(drawn.groupBy("tree").count()) == [(0, 50), (1, 50), (2, 50)]
+        *[F.col("id").cast("double").alias(f) if k == 0 else F.lit(1.0).alias(f) for k, f in enumerate(anomaly.FILLED)])
+    df = df.withColumn(anomaly.FILLED[0], F.when(F.col("station_id") == "hot", 0.0).otherwise(F.col(anomaly.FILLED[0])))
+    drawn = anomaly.draw_trees(df, 90000, trees=20, sample=100)
+    got = drawn.collect()
+    assert [n for _, n in rows_of(drawn.groupBy("tree").count())] == [100] * 20
+    hot = sum(r[anomaly.FILLED[0]] == 0.0 for r in got)
+    assert 520 < hot < 820  # a third of 2,000
+    late = sum(r[anomaly.FILLED[0]] >= 65536 for r in got)
+    assert 400 < late < 700  # 24,464 of 90,000
+    again = anomaly.draw_trees(df.repartition(7), 90000, trees=20, sample=100)
+    assert rows_of(again) == rows_of(drawn)
+    few = anomaly.draw_trees(df.limit(30), 30, trees=3, sample=100)
+    assert rows_of(few.groupBy("tree").count()) == [(0, 30), (1, 30), (2, 30)]
+    copies = anomaly.draw_trees(df.filter("station_id = 'hot'"), 30000, trees=3, sample=100)
+    assert rows_of(copies.groupBy("tree").count()) == [(0, 100), (1, 100), (2, 100)]
 
 
 def test_path_lengths_agree_with_a_walk_of_each_tree():

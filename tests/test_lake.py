@@ -168,7 +168,7 @@ def test_the_whole_lake_twice_and_a_late_partition(spark, tmp_path):
     assert suites.filter("check_name = 'row_count_non_zero'").count() == 6
 
 
-def test_streamed_silver_adds_each_partition_once(spark, tmp_path):
+def test_streamed_silver_takes_late_rows(spark, tmp_path):
     bronze_path, silver_path = str(tmp_path / "bronze"), str(tmp_path / "silver")
     grid = landing.model_grid(spark, SMALL)
     rows = landing.bronze_air(spark, SMALL)
@@ -176,17 +176,53 @@ def test_streamed_silver_adds_each_partition_once(spark, tmp_path):
     def drain():
         stream = silver_feed.bronze_stream(spark, bronze_path)
         silver_feed.write_silver(
-            stream, silver_path, str(tmp_path / "cp"), lambda b: silver.build_air(b, grid, landing.RUN_TS)
+            stream, bronze_path, silver_path, str(tmp_path / "cp"), lambda b: silver.build_air(b, grid, landing.RUN_TS)
         ).awaitTermination()
         return tables.read_table(spark, silver_path)
 
-    sinks.append(rows.filter("partition_date <= '2024-01-15'"), bronze_path, sinks.DAY_SOURCE)
-    first = drain().count()
-    sinks.append(rows, bronze_path, sinks.DAY_SOURCE)  # repeats the first half and adds the second
-    got = drain()
+    # Half of the stations of every date, then the others in a second run, some in files of their own.
+    early = F.pmod(F.xxhash64("station_id"), F.lit(2)) == 0
+    sinks.append(rows.filter(early), bronze_path, sinks.DAY_SOURCE)
     whole = silver.build_air(rows, grid, landing.RUN_TS)
-    assert first == whole.filter("partition_date <= '2024-01-15'").count()
+    assert drain().count() == whole.filter(early).count()
+    late = rows.filter(~early)
+    sinks.append(late.filter("partition_date <= '2024-01-15'"), bronze_path, sinks.DAY_SOURCE)
+    sinks.append(late.filter("partition_date > '2024-01-15'"), bronze_path, sinks.DAY_SOURCE)
+    got = drain()
     assert rows_of(got, "station_id", "date", "source") == rows_of(whole, "station_id", "date", "source")
+    assert rows_of(drain(), "station_id", "date", "source") == rows_of(got, "station_id", "date", "source")
+
+
+def test_overwriting_twice_keeps_odd_partition_values(frame, spark, tmp_path):
+    path = str(tmp_path / "odd")
+    days = [None, "x:y", "a b", "50%", "2024-01-01"]
+    df = frame("partition_date string, source string, v int", [(d, s, 1) for d in days for s in ("p:q", None)])
+    for _ in range(3):
+        done = sinks.overwrite(df, path, sinks.DAY_SOURCE)
+        assert done.rows == 10 and done.removed == [] and len(done.partitions) == 10
+        assert sinks.list_partitions(spark, path, sinks.DAY_SOURCE) == done.partitions
+        assert rows_of(tables.read_table(spark, path), "partition_date", "source") == rows_of(df, "partition_date", "source")
+    assert sinks.partition_days(done.partitions) == ["2024-01-01", "50%", "a b", "x:y"]
+    less = sinks.overwrite(df.filter("partition_date is not null"), path, sinks.DAY_SOURCE)
+    assert len(less.removed) == 2 and tables.read_table(spark, path).count() == 8
+
+
+def test_a_crash_before_the_clean_up_is_repaired_by_the_next_run(frame, spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "crash"), "partition_date string, v int"
+    sinks.overwrite(frame(ddl, [(f"2024-01-0{d}", 1) for d in (1, 2, 3)]), path)
+    fresh = frame(ddl, [("2024-01-01", 2), ("2024-01-03", 2)])
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "folder_day", lost)
+        with pytest.raises(RuntimeError):
+            sinks.replace_range(fresh, path, "2024-01-01", "2024-01-03")
+    # Every partition is whole, old or new, and the same refresh ends where it would have.
+    assert rows_of(tables.read_table(spark, path), "partition_date", "v") == [("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-03", 2)]
+    assert sinks.replace_range(fresh, path, "2024-01-01", "2024-01-03").removed == ["partition_date=2024-01-02"]
+    assert rows_of(tables.read_table(spark, path), "partition_date", "v") == [("2024-01-01", 2), ("2024-01-03", 2)]
 
 
 def test_a_window_read_lists_only_its_own_partitions(spark, frame, tmp_path):

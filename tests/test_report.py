@@ -109,12 +109,12 @@ def test_events_and_ranking(frame):
     df = frame(WEATHER, [("2026-10-05", "TN", 1.0, 1.0, "rain", "none", 0, "none", 0, 10.0, 0.0, "high"),
                          ("2026-10-06", "TN", 1.0, 1.0, "rain", "none", 0, "none", 0, 9.9, 0.0, "moderate"),
                          ("2026-10-06", "GR", 1.0, -1.0, "rain", "none", 0, "none", 0, None, 0.0, None)])
-    assert rows_of(season.event_days(df, season.FOCI["rain"])) == [("TN", 1)]
-    assert rows_of(season.event_days(df, season.FOCI["dust"])) == [("TN", 1)]
+    assert rows_of(season.event_days(df, season.FOCI["rain"])) == [("rain", "TN", 1)]
+    assert rows_of(season.event_days(df, season.FOCI["dust"])) == [("dust", "TN", 1)]
     ranked = season.rank_countries(df, season.FOCI["rain"], "2026-10-06").collect()
     assert [(r.country_code, r.value) for r in ranked] == [("TN", 9.95)]
     assert [r.country_code for r in season.rank_countries(df, season.FOCI["cold"], "2026-10-06").collect()] == ["GR", "TN"]
-    assert season.FOCI["rain"].measure == "highest average daily rain over the last 10 days"
+    assert (season.FOCI["rain"].rank_days, season.FOCI["rain"].unit, season.FOCI["rain"].lowest_first) == (10, "mm", False)
 
 
 def test_written_diagnostics_and_brief(spark, frame, tmp_path):
