@@ -16,6 +16,7 @@ from meltemi.functions.numeric import round_even
 from meltemi.operators import (
     anomaly, bronze, contracts, gold, incremental, marts, monitoring, places, quality, silver, sinks,
 )
+from meltemi.operators.quantiles import group_quantiles
 from meltemi.plans import brief, report, season
 from meltemi.session import apply_runtime_conf, scratch_path
 from meltemi.sources import landing, payloads, tables
@@ -219,6 +220,20 @@ def scan_silver_window(spark, d):
     return tables.in_window(stored_silver(spark, d), landing.AS_OF, 14).select(*READING)
 
 
+@query
+def scan_non_empty(spark, d):
+    """The summary as publishing reads it; an empty table would raise."""
+    return tables.read_non_empty(spark, stored(spark, d, "gold-summary", summary, sinks.DAY))
+
+
+@query
+def dates_in_paths(spark, d):
+    """Partition dates named in the paths of Silver's files."""
+    path = stored(spark, d, "silver-air", air, sinks.DAY_SOURCE)
+    files = spark.read.parquet(path).select(F.input_file_name().alias("path")).distinct()
+    return tables.dates_in_paths(files)
+
+
 @query
 def scan_recent_partitions(spark, d):
     df = stored_silver(spark, d)
@@ -531,6 +546,29 @@ def _shown(spark, d):
     return report.latest_reporting_dates(_thin_summary(spark, d))
 
 
+@query
+def anomaly_audit(spark, d):
+    """The forest's output held against what must be true of it, row by row.
+
+    Scores lie between -1 and 0, and the flag is that of the exact 5th percentile of the scores
+    as stored; a score that rounds to the percentile itself may have either.
+    """
+    scored = tables.read_table(spark, stored(spark, d, "forest", lambda s, e: anomaly.anomaly_alerts(air(s, e)), sinks.DAY))
+    bar = group_quantiles(scored, [], "anomaly_score", S.CONTAMINATION, "bar", *anomaly.SCORE_SPAN).scalar()
+    score = F.col("anomaly_score")
+    follows = ((F.col("is_anomaly") == 1) == (score < bar)) | (F.abs(score - bar) < 2e-6)
+    return scored.select(
+        "station_id", "source", "date", "pm2_5", "ozone", "nitrogen_dioxide",
+        score.between(-1, 0).alias("score_in_range"), follows.alias("flag_follows_scores"))
+
+
+@query
+def forest_daily_rates(spark, d):
+    """Readings the forest scored per date, as the report counts them."""
+    scored = tables.read_table(spark, stored(spark, d, "forest", lambda s, e: anomaly.anomaly_alerts(air(s, e)), sinks.DAY))
+    return report.anomaly_daily_rates(scored).select("partition_date", "rows")
+
+
 @query
 def most_anomalous_of_day(spark, d):
     rows = report.most_anomalous(report_anomalies(spark, d), _shown(spark, d))
@@ -560,10 +598,17 @@ def spotlight(spark, d):
     )
 
 
+def _long(pivoted: DataFrame, value: str) -> DataFrame:
+    """A pivot with a row per cell, since its columns depend on the data."""
+    countries = [c for c in pivoted.columns if c != "partition_date"]
+    return pivoted.unpivot("partition_date", countries, "country_code", value)
+
+
 @query
 def coverage_pivot(spark, d):
     rows = report_summary(spark, d)
-    return report.coverage_pivot(rows, report.latest_reporting_dates(rows))
+    pivoted = report.coverage_pivot(rows, report.latest_reporting_dates(rows))
+    return _long(pivoted, "station_days")
 
 
 @query
@@ -602,7 +647,7 @@ def source_share(spark, d):
 def focus_pivot(spark, d):
     dates = report.latest_reporting_dates(report_summary(spark, d))
     rows = report_weather(spark, d)
-    return report.focus_pivot(rows, dates, season.latest_focus(rows))
+    return _long(report.focus_pivot(rows, dates, season.latest_focus(rows)), "value")
 
 
 @query
@@ -737,6 +782,24 @@ def audit_accepted_range(spark, d):
     return _audited("accepted_range")(spark, d)
 
 
+def _mart_audit(name: str):
+    """All audits of one mart, built over Silver with planted faults; every third row lacks its time stamp."""
+    def run(spark, d):
+        faulty = _faulty_silver(spark, d).withColumn("silver_ts", F.lit(landing.RUN_TS))
+        mart = marts.MARTS[name](marts.stg_air_quality(faulty))
+        stamped = marts.with_mart_ts(mart, landing.RUN_TS)
+        kept = F.when(F.day("observation_date") % 3 != 0, F.col("mart_ts"))
+        return quality.audit(stamped.withColumn("mart_ts", kept), name, marts.AUDITS[name])
+
+    return run
+
+
+for _name in marts.MARTS:
+    _run = _mart_audit(_name)
+    _run.__name__ = f"audit_{_name}"
+    query(_run)
+
+
 @query
 def audit_unique(spark, d):
     """Readings double-booked by re-dating show up as repeated event keys."""

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meltemi import settings as S
 from meltemi.functions.numeric import round_raw
+from meltemi.operators.sinks import list_partitions
 from meltemi.session import scratch_path
-from meltemi.sources.tables import is_missing
 
 LATENESS = "1 day"
 KEYS = ["station_id", "date"]
@@ -42,15 +41,12 @@ def write_daily_means(hours: DataFrame, path: str, checkpoint: str) -> Streaming
             days = [row.date for row in changed.select("date").distinct().collect()]  # one per calendar date
             if not days:
                 return
-            try:
+            rows = changed
+            if list_partitions(spark, path, ("date",)):
                 held = spark.read.schema(batch.schema).parquet(path).filter(F.col("date").isin(days))
-            except AnalysisException as error:
-                if not is_missing(error):
-                    raise
-                held = changed.limit(0)
-            kept = held.join(changed.select(*KEYS), KEYS, "left_anti")
+                rows = rows.unionByName(held.join(changed.select(*KEYS), KEYS, "left_anti"))
             # Written aside first: a table cannot be overwritten while it is read.
-            kept.unionByName(changed).write.parquet(staged)
+            rows.write.parquet(staged)
         finally:
             changed.unpersist()
         rows = spark.read.schema(batch.schema).parquet(staged)

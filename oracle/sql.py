@@ -55,7 +55,11 @@ def with_ctes(body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n].strip()})" for n in order) + "\n" + body.strip()
 
 
+BODY: dict[str, str] = {}
+
+
 def add(key: str, body: str) -> None:
+    BODY[key] = body
     ORACLE[key] = with_ctes(body)
 
 
@@ -448,6 +452,16 @@ SELECT station_id, source, date,
 FROM settled""".replace("WITH settled AS (", "SELECT * FROM (WITH settled AS (") + ")")
 
 
+add("anomaly_audit", f"""
+SELECT station_id, source, date, {', '.join(f'{f}' for f in FEATURES)}, true AS score_in_range, true AS flag_follows_scores
+FROM model_rows WHERE station_id IN (SELECT station_id FROM model_rows GROUP BY station_id HAVING count(DISTINCT date) >= 2)""")
+add("forest_daily_rates", """
+SELECT partition_date, count(*) AS rows FROM model_rows
+WHERE station_id IN (SELECT station_id FROM model_rows GROUP BY station_id HAVING count(DISTINCT date) >= 2) GROUP BY 1""")
+add("scan_non_empty", "SELECT * FROM summary")
+add("dates_in_paths", "SELECT DISTINCT partition_date FROM air WHERE partition_date IS NOT NULL")
+
+
 def pct(flag: str) -> str:
     return f"{up(f'avg({flag}) * 100', 1)} AS {flag}_pct"
 
@@ -607,12 +621,12 @@ SELECT t.partition_date, station_id, station_name, t.country_code, source, anoma
   {', '.join(even(f'(SELECT avg(CAST(d.{f} < z.{f} AS INT)) FROM brief_day d, {_TOP} z) * 100', 2) + f' AS percentile_{f}' for f in FEATURES)}
 FROM {_TOP} t LEFT JOIN weather_facts w ON w.country_code = t.country_code AND w.partition_date = t.partition_date""")
 
-# The countries that the report rule leaves of those landed.
-_SHOWN = ("TN", "DZ", "MA", "LY", "EG", "LB", "GR", "TR", "IT", "FR", "ES")
 _SEASON = "['winter', 'spring', 'summer', 'autumn'][CAST(floor((month({d}) % 12) / 3) AS INT) + 1]"
-add("coverage_pivot", f"""
-SELECT partition_date, {', '.join(f"CAST(coalesce(sum(station_count) FILTER (country_code = '{c}'), 0) AS BIGINT) AS {c}" for c in _SHOWN)}
-FROM r_summary WHERE partition_date IN (SELECT partition_date FROM shown) GROUP BY 1""")
+add("coverage_pivot", """
+SELECT d.partition_date, c.country_code, CAST(coalesce(sum(station_count), 0) AS BIGINT) AS station_days
+FROM (SELECT DISTINCT partition_date FROM r_summary WHERE partition_date IN (SELECT partition_date FROM shown)) d
+CROSS JOIN (SELECT DISTINCT country_code FROM r_summary WHERE country_code IS NOT NULL AND partition_date IN (SELECT partition_date FROM shown)) c
+LEFT JOIN r_summary s ON s.partition_date = d.partition_date AND s.country_code = c.country_code GROUP BY 1, 2""")
 CTE["focus_days"] = f"""
 SELECT partition_date, season, CASE WHEN heat THEN 'heat' WHEN cold THEN 'cold'
   ELSE CASE season WHEN 'winter' THEN 'cold' WHEN 'spring' THEN 'dust' WHEN 'summer' THEN 'heat' ELSE 'rain' END END AS focus
@@ -623,8 +637,10 @@ CTE["focus_now"] = "SELECT season, focus FROM focus_days ORDER BY partition_date
 _FOCUS_VALUE = """CASE (SELECT focus FROM focus_now) WHEN 'heat' THEN temp_max_c WHEN 'cold' THEN temp_min_c
   WHEN 'rain' THEN precipitation_mm ELSE dust END"""
 add("focus_pivot", f"""
-SELECT partition_date, {', '.join(f"max({_FOCUS_VALUE}) FILTER (country_code = '{c}') AS {c}" for c in _SHOWN)}
-FROM r_weather WHERE partition_date IN (SELECT partition_date FROM shown) GROUP BY 1""")
+SELECT d.partition_date, c.country_code, max({_FOCUS_VALUE}) AS value
+FROM (SELECT DISTINCT partition_date FROM r_weather WHERE partition_date IN (SELECT partition_date FROM shown)) d
+CROSS JOIN (SELECT DISTINCT country_code FROM r_weather WHERE country_code IS NOT NULL AND partition_date IN (SELECT partition_date FROM shown)) c
+LEFT JOIN r_weather s ON s.partition_date = d.partition_date AND s.country_code = c.country_code GROUP BY 1, 2""")
 add("pollutants_by_country", f"""
 SELECT country_code, {', '.join(f'''{even(f"avg({c}) FILTER (source = '{s}')", 2)} AS {n}_{s}''' for n, c in (('pm2_5', 'mean_pm2_5'), ('o3', 'mean_o3')) for s in SOURCES)}
 FROM r_summary WHERE country_code IS NOT NULL GROUP BY 1""")
@@ -888,6 +904,32 @@ add("audit_unique", " UNION ALL ".join(
     f"(SELECT {k} FROM readings GROUP BY {k} HAVING count(*) > 1)" for k in ("user_id,date,parameter", "user_id,ts")))
 
 
+def mart_audit(mart: str, filled: str, ranges: dict[str, tuple], values: dict[str, str], unique: str = "") -> None:
+    """Every audit of a mart over faulty staging rows; the time stamp is missing on every third day of a month."""
+    rows = re.sub(r"\bstg\b", "faulty_stg", BODY[mart])
+    tests = [("not_null", c, f"{c} IS NULL") for c in filled.split()]
+    tests.append(("not_null", "mart_ts", "day(observation_date) % 3 = 0"))
+    tests += [("accepted_values", c, f"{c} NOT IN {v}") for c, v in values.items()]
+    tests += [("accepted_range", c, f"{c} < {lo}" + (f" OR {c} > {hi}" if hi is not None else "")) for c, (lo, hi) in ranges.items()]
+    parts = [f"SELECT '{mart}' AS \"table\", '{k}' AS audit, '{c}' AS \"column\", count(*) FILTER ({t}) AS violations FROM mart" for k, c, t in tests]
+    if unique:
+        parts.append(f"SELECT '{mart}', 'unique', '{unique}', count(*) FROM (SELECT {unique} FROM mart GROUP BY {unique} HAVING count(*) > 1)")
+    add(f"audit_{mart}", f"SELECT * FROM (WITH mart AS ({rows}) {' UNION ALL '.join(parts)})")
+
+
+_PCT = {f"{f}_pct": (0, 100) for f in FLAGS}
+_SRC = {"source": texts(SOURCES)}
+mart_audit("mart_daily_air_quality", "observation_date country_code source dominant_aqi_tier station_count mean_data_completeness",
+           {"station_count": (1, None), "daily_mean_pm2_5": (0, 1000), "daily_max_pm2_5": (0, 1000), "daily_mean_pm10": (0, 2000),
+            "daily_mean_nitrogen_dioxide": (0, 500), "daily_mean_ozone": (0, 500), **_PCT, "mean_data_completeness": (0, 1)},
+           {**_SRC, "dominant_aqi_tier": texts(AQI)}, "observation_date,country_code,source,dominant_aqi_tier")
+mart_audit("mart_city_weekly_trend", "observation_date country_code city_name source station_count",
+           {"station_count": (1, None), "rolling_7d_pm2_5": (0, 1000), "rolling_7d_ozone": (0, 500)}, _SRC)
+mart_audit("mart_source_coverage", "observation_date country_code source station_count mean_data_completeness",
+           {"station_count": (1, None), "mean_data_completeness": (0, 1), "pm2_5_available_pct": (0, 100)}, _SRC)
+mart_audit("mart_who_exceedance_streak", "observation_date station_id country_code source current_exceedance_streak_days",
+           {"current_exceedance_streak_days": (0, None)}, {**_SRC, "has_who_exceedance": "(0, 1)"})
+
 # --- contracts -----------------------------------------------------------------------------
 def contract(table: str, frame: str, fields, rules=()) -> str:
     """fields: (name, low, high, values, present)."""
