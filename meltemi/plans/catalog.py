@@ -294,7 +294,8 @@ def pm25_patch(spark, d):
 
 @query
 def silver_union_sources(spark, d):
-    rows = landing.bronze_air(spark, d)
+    # Bronze as the job finds it: stored by source, so each frame scans its own folder.
+    rows = tables.read_table(spark, stored(spark, d, "bronze-air", landing.bronze_air, ("source",)))
     frames = {s: rows.filter(F.col("source") == s) for s in S.AIR_SOURCES}
     frames["openmeteo"] = frames["openmeteo"].drop("city")
     return silver.union_sources(frames, landing.model_grid(spark, d), landing.RUN_TS)

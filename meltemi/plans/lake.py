@@ -110,11 +110,13 @@ def read_window(
     """The named partitions, or those inside the window; None when there are none."""
     first = tables.cutoff(as_of, days)
 
-    def inside(day: str) -> bool:
-        return day in dates if dates else first is None or day >= first
+    def inside(day: str | None) -> bool:
+        if dates:
+            return day in dates
+        return first is None or (day is not None and day >= first)
 
     held = sinks.list_partitions(spark, path, by)
-    wanted = [p for p in held if inside(p.split("/")[0].split("=", 1)[1])]
+    wanted = [p for p in held if inside(sinks.folder_day(p))]
     return tables.read_days(spark, path, wanted, ddl) if wanted else None
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -48,4 +49,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="meltemi-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def delete_scratch() -> None:
+    """Delete every path scratch_path has handed out; it runs when the process ends."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        if spark.sparkContext._jsc is None:
+            continue
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
