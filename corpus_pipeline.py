@@ -31,13 +31,15 @@ def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id, a null one last.
 
-    Rows are numbered in a written table, so that repeated rows and null ids are told apart.
+    Near copies share 0.8 or more of their five-word shingles. Rows are numbered in a written table,
+    so that repeated rows and null ids are told apart.
     """
     scratch = Scratch(spark)
     rows = scratch.write(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    keyed = rows.withColumn("_key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    groups = simhash.near_duplicates(keyed, key="_key")
-    first = groups.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._row").alias("_row"))
+    groups = simhash.similar_documents(rows, words=5, least=0.8)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    best = rows.select("_row", order.alias("order")).join(groups, "_row").groupBy("root").agg(F.min("order").alias("order"))
+    first = best.select(F.col("order._row").alias("_row"))
     scratch.later()
     return rows.join(first, "_row", "left_semi").select(*COLUMNS)
 

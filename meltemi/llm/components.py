@@ -23,19 +23,18 @@ class Forest:
     def __init__(self, n: int):
         self.root = np.arange(n)
 
-    def unite(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of joined items: in all, one less than the items of each component."""
+    def unite(self, a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
+        """Which of the given edges join something: in all, one less than the items of each component."""
         while True:
             x, y = self.root[a], self.root[b]
-            apart = x != y
-            if not apart.any():
+            apart = np.flatnonzero(x != y)
+            if not len(apart):
                 return
             high, low = np.maximum(x, y)[apart], np.minimum(x, y)[apart]
             order = np.lexsort((low, high))
-            high, low = high[order], low[order]
-            first = np.flatnonzero(np.diff(high, prepend=-1))
+            first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
             high, low = high[first], low[first]
-            yield high, low
+            yield apart[first]
             jump = np.arange(len(self.root))
             jump[high] = low
             while (jump[jump] != jump).any():

@@ -123,8 +123,8 @@ def _cell_links(here: tuple | None, rows: list[tuple], least: float) -> list[tup
             x, y = x[first], y[first]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
-            for p, q in forest.unite(x, y):
-                out += [(m, n, 0) for m, n in zip(node[p].tolist(), node[q].tolist())]
+            for e in forest.unite(x, y):
+                out += [(m, n, 0) for m, n in zip(node[x[e]].tolist(), node[y[e]].tolist())]
     linked = np.flatnonzero(links)
     return out + [(n, None, m) for n, m in zip(node[linked].tolist(), links[linked].tolist())]
 

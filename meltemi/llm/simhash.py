@@ -54,12 +54,29 @@ def fingerprint(text: bytes | None, words: int, bits: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(grams), bitorder="little").view("<i8")[0])
 
 
-def _fingerprint_batches(words: int):
+def vocabulary_fingerprint(text: bytes | None, least: int, bits: np.ndarray) -> int:
+    """SimHash of the distinct words of `least` bytes or more, or of all words if none is that long.
+
+    Near copies differ in few of their words but in several shingles for each, so this fingerprint
+    moves less between them than one of shingles.
+    """
+    import xxhash
+
+    words = set((text or b"").lower().split())
+    words = {w for w in words if len(w) >= least} or words
+    if not words:
+        return 0
+    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype="<u8").view(np.uint8).reshape(-1, 8)
+    counts = np.concatenate([np.bincount(hashes[:, i], minlength=256) @ bits for i in range(8)])
+    return int(np.packbits(2 * counts > len(words), bitorder="little").view("<i8")[0])
+
+
+def _fingerprint_batches(words: int, vocabulary: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
         for batch in batches:
             texts = batch.column("_text")
-            prints = [fingerprint(t.as_py(), words, bits) for t in texts]
+            prints = [(vocabulary_fingerprint if vocabulary else fingerprint)(t.as_py(), words, bits) for t in texts]
             kept = [c for c in batch.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(prints, pa.int64())], names=[*kept, "fp"])
@@ -180,20 +197,26 @@ class Cell:
         self.forest = Forest(len(self.homes))
 
     def meet(self, visitors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if not len(self.homes):
+        """Links of a spanning forest, closest first; visitors are forgotten once their links have joined the homes."""
+        n = len(self.homes)
+        if not n:
             return
-        step = max(1, self.BLOCK // len(self.homes))
+        step = max(1, self.BLOCK // n)
         for lo in range(0, len(visitors), step):
             block = visitors[lo:lo + step]
-            who, home = np.nonzero(np.bitwise_count(block[:, None] ^ self.homes[None, :]) <= self.radius)
-            new = np.flatnonzero(np.diff(who, prepend=-1))
-            if not len(new):
+            apart = np.bitwise_count(block[:, None] ^ self.homes[None, :])
+            who, home = np.nonzero(apart <= self.radius)
+            if not len(who):
                 continue
-            lead = home[new][np.cumsum(np.diff(who, prepend=-1) != 0) - 1]
-            a, b = block[who[new]], self.homes[home[new]]
-            yield a[a != b], b[a != b]
-            for x, y in self.forest.unite(lead, home):
-                yield self.homes[x], self.homes[y]
+            near = apart[who, home]
+            both = Forest(n + len(block))
+            both.root[:n] = self.forest.root
+            for distance in np.unique(near):
+                at = np.flatnonzero(near == distance)
+                for e in both.unite(n + who[at], home[at]):
+                    yield block[who[at[e]]], self.homes[home[at[e]]]
+            # A set that holds a home has a home as its root, homes being numbered first.
+            self.forest.root = both.root[:n]
 
 
 def _compare_batches(radius: int):
@@ -211,7 +234,8 @@ def _compare_batches(radius: int):
                 else:
                     found.extend(cell.meet(prints))
             if found:
-                pairs = [np.concatenate(side).view(np.int64) for side in zip(*found)]
+                x, y = (np.concatenate(side) for side in zip(*found))
+                pairs = [side[x != y].view(np.int64) for side in (x, y)]
                 yield pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"])
 
     return run
@@ -271,3 +295,62 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, key: str =
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
     scratch.later()
     return out
+
+
+# ---- near copies by shingles --------------------------------------------------------------------
+
+def shingles(text: bytes | None, words: int) -> set[bytes]:
+    """Distinct shingles of a text; with fewer words its whole sequence, without any the empty shingle."""
+    tokens = (text or b"").lower().split()
+    return {b" ".join(tokens[i:i + words]) for i in range(max(1, len(tokens) - words + 1))}
+
+
+def _alike_batches(words: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for a, b in zip(batch.column("text_a"), batch.column("text_b")):
+                x, y = shingles(a.as_py(), words), shingles(b.as_py(), words)
+                both = len(x & y)
+                alike.append(both >= least * (len(x) + len(y) - both))
+            yield batch.filter(pa.array(alike, pa.bool_())).select(["a", "b"])
+
+    return run
+
+
+def similar_documents(
+    rows: DataFrame, words: int = 5, least: float = 0.8, radius: int = 7, shortest: int = 5, key: str = "_row", text: str = "text",
+) -> DataFrame:
+    """(key, root): rows whose word shingles are alike share a root, the smallest key of their group.
+
+    Candidates are texts whose vocabulary fingerprints differ in at most `radius` bits, found by
+    anchor covering: of each crowd a spanning forest, closest pairs first, and each text of a
+    fingerprint with the first one. A candidate pair becomes a link if the Jaccard similarity of the
+    distinct shingles is `least` or more, computed exactly; so no unlike texts are linked directly,
+    and equal texts always share a root. The key must be a unique long; null and blank texts are alike.
+    """
+    scratch = Scratch(rows.sparkSession)
+    body = F.coalesce(F.col(text), F.lit(""))
+    named = rows.select(F.col(key).alias("row"), F.sha2(body, 256).alias("t"), body.cast("binary").alias("_text"))
+    prints = named.mapInArrow(_fingerprint_batches(shortest, vocabulary=True), "row long, t string, fp long")
+    prints = scratch.write(prints, "vocabulary")
+    # One row stands for equal texts, and one text for equal fingerprints.
+    nodes = scratch.write(prints.groupBy("t", "fp").agg(F.min("row").alias("node")), "nodes")
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    forest = link_forest(nodes, radius, scratch)
+    ends = first.withColumnsRenamed({"fp": "a", "first": "x"}), first.withColumnsRenamed({"fp": "b", "first": "y"})
+    crossing = forest.join(ends[0], "a").join(ends[1], "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    inside = nodes.join(first, "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    pairs = scratch.write(crossing.unionByName(inside).distinct(), "candidates")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    texts = scratch.write(named.select("row", "_text").join(needed, "row", "left_semi"), "texts")
+    sides = texts.withColumnsRenamed({"row": "a", "_text": "text_a"}), texts.withColumnsRenamed({"row": "b", "_text": "text_b"})
+    links = scratch.write(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b").mapInArrow(
+        _alike_batches(words, least), "a long, b long"), "alike")
+    roots = connected_components(links, "a", "b", scratch)
+    known = nodes.join(roots, nodes.node == roots.node, "left").select("t", F.coalesce("root", nodes.node).alias("root"))
+    known = scratch.write(known, "roots")
+    scratch.drop(forest, pairs, texts, links)
+    out = prints.join(known, "t").select(F.col("row").alias(key), "root")
+    scratch.later()
+    return out

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ import corpus_pipeline
 from meltemi.llm import queries, sql, toxicity
 from meltemi.llm.common import table
 from tests.conftest import SMALL
-from tests.llm.test_dedup import find, slow_fingerprint, slow_groups, slow_lines, slow_suffixes
+from tests.llm.conftest import words
+from tests.llm.test_dedup import LOWER, find, slow_lines, slow_suffixes
 
 
 def stage(name):
@@ -44,19 +46,49 @@ def test_text_stages_match_brute_force(spark):
     assert all(r.n_chars == len(r.text) for r in passages)
 
 
+def slow_similar(texts, words=5, least=0.8):
+    """Group of each text: the first index it reaches over pairs with similar shingles."""
+    sets = []
+    for t in texts:
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
+        sets.append({tuple(tokens[i:i + words]) for i in range(max(1, len(tokens) - words + 1))})
+    parent = list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both >= least * len(sets[i] | sets[j]):
+                a, b = find(parent, i), find(parent, j)
+                parent[max(a, b)] = min(a, b)
+    return [find(parent, i) for i in range(len(texts))]
+
+
 def test_one_of_each_group_stays(spark, odd_docs):
-    docs = odd_docs.select(*corpus_pipeline.COLUMNS)
+    base = [words(k, 300) for k in range(40, 60)]
+    near = [" ".join("changed" if k % 90 == n else w for k, w in enumerate(b.split())) for n, b in enumerate(base)]
+    unlike = [" ".join(w if k % 12 else f"other{k}" for k, w in enumerate(b.split())) for b in base]
+    crowd = [base[0] + f" tail{k}" for k in range(200)]
+    more = [(1000 + k, t, "en", "s", 1) for k, t in enumerate(base + near + unlike + crowd)]
+    docs = odd_docs.select(*corpus_pipeline.COLUMNS).unionByName(spark.createDataFrame(more, odd_docs.select(*corpus_pipeline.COLUMNS).schema))
     rows = docs.collect()
-    prints = [slow_fingerprint(r.text) for r in rows]
-    groups = slow_groups(prints, 4)
-    kept = stage("simhash_neardup")(spark, docs, SMALL).collect()
-    assert len(kept) == len(set(groups))
     by = {}
-    for r, g in zip(rows, groups):
+    for r, g in zip(rows, slow_similar([r.text for r in rows])):
         by.setdefault(g, []).append(r.doc_id)
-    best = [min((i for i in ids if i is not None), default=None) for ids in by.values()]
-    assert sorted(map(str, best)) == sorted(str(r.doc_id) for r in kept)
-    assert find([0, 0], 1) == 0
+    want = sorted(str(min((i for i in ids if i is not None), default=None)) for ids in by.values())
+    kept = Counter(str(r.doc_id) for r in stage("simhash_neardup")(spark, docs, SMALL).collect())
+    # Nothing that is like no other goes, equal texts and the crowd leave one each, and of 20 near copies few are missed.
+    assert not Counter(want) - kept and (kept - Counter(want)).total() <= 3
+    assert all(1020 <= int(i) < 1040 for i in kept - Counter(want))
+
+
+def test_near_copies_of_the_given_documents(spark):
+    docs = table(spark, SMALL.replace("0.001", "0.01"), "documents")
+    rows = docs.collect()
+    groups = slow_similar([r.text for r in rows])
+    kept = {r.doc_id for r in stage("simhash_neardup")(spark, docs, SMALL).collect()}
+    firsts = {rows[g].doc_id for g in set(groups)}
+    # Nothing but near copies goes, and nine in ten of those do.
+    assert firsts <= kept
+    assert len(kept - firsts) <= 0.1 * (len(rows) - len(firsts))
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
