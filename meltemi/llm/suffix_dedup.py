@@ -35,8 +35,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of text in a block, and bytes of one text hashed at a time.
 BLOCK, SEGMENT = 2 << 20, 1 << 20
-#: Buckets per shuffle partition.
-BUCKETS = 4
+#: Buckets per shuffle partition. A block sends a row to every bucket, so more buckets mean more and shorter rows.
+BUCKETS = 1
 PACKED = "bucket int, block long, ranks binary"
 BLOCKS = "block long, keys array<string>, texts array<binary>, copies array<long>"
 RESULT = "key string, n_removed long, n_spans long, kept_sha256 string, kept_text string"
