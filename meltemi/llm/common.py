@@ -16,7 +16,13 @@ from meltemi.session import scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+#: Bytes of rows handed to a Python worker at a time; one longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; from then on texts reach Python in batches bounded by bytes, not only by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
