@@ -22,6 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meltemi.llm import shingle_join
 from meltemi.llm.common import Scratch
 from meltemi.llm.components import Forest, connected_components
 
@@ -308,9 +309,12 @@ def shingles(text: bytes | None, words: int) -> set[bytes]:
 def _alike_batches(words: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = []
+            alike, last, y = [], None, set()
             for a, b in zip(batch.column("text_a"), batch.column("text_b")):
-                x, y = shingles(a.as_py(), words), shingles(b.as_py(), words)
+                # Rows come joined by b, so that one text often follows itself.
+                x, other = shingles(a.as_py(), words), b.as_py()
+                if other != last:
+                    last, y = other, shingles(other, words)
                 both = len(x & y)
                 alike.append(both >= least * (len(x) + len(y) - both))
             yield batch.filter(pa.array(alike, pa.bool_())).select(["a", "b"])
@@ -323,11 +327,12 @@ def similar_documents(
 ) -> DataFrame:
     """(key, root): rows whose word shingles are alike share a root, the smallest key of their group.
 
-    Candidates are texts whose vocabulary fingerprints differ in at most `radius` bits, found by
-    anchor covering: of each crowd a spanning forest, closest pairs first, and each text of a
-    fingerprint with the first one. A candidate pair becomes a link if the Jaccard similarity of the
-    distinct shingles is `least` or more, computed exactly; so no unlike texts are linked directly,
-    and equal texts always share a root. The key must be a unique long; null and blank texts are alike.
+    A pair is a link if the Jaccard similarity of the distinct shingles is `least` or more, computed
+    exactly. Most links come from texts whose vocabulary fingerprints differ in at most `radius`
+    bits: of each crowd a spanning forest is checked, closest pairs first, and each text of a
+    fingerprint with the first one. Of the texts still apart, every pair that can reach `least` is
+    then found by shingle_join and checked, so a root is that of all links, whatever the fingerprints
+    do. Equal texts always share a root. The key must be a unique long; null and blank texts are alike.
     """
     scratch = Scratch(rows.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
@@ -342,15 +347,38 @@ def similar_documents(
     crossing = forest.join(ends[0], "a").join(ends[1], "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     inside = nodes.join(first, "fp").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     pairs = scratch.write(crossing.unionByName(inside).distinct(), "candidates")
+    links = [_alike(named, pairs, words, least, scratch)]
+    groups = _groups(nodes, links, scratch)
+    shared = shingle_join.shared_grams(named, groups, words, least, scratch)
+    some = scratch.write(shingle_join.some_pairs(shared, least), "some")
+    links.append(_alike(named, some, words, least, scratch))
+    groups = _groups(nodes, links, scratch)
+    rest = shingle_join.all_pairs(shared, groups, least).join(some, ["a", "b"], "left_anti")
+    rest = scratch.write(rest, "rest")
+    links.append(_alike(named, rest, words, least, scratch))
+    groups = _groups(nodes, links, scratch)
+    known = scratch.write(nodes.join(groups, "node").select("t", F.col("comp").alias("root")), "roots")
+    scratch.drop(forest, pairs, shared, some, rest, *links)
+    out = prints.join(known, "t").select(F.col("row").alias(key), "root")
+    scratch.later()
+    return out
+
+
+def _alike(named: DataFrame, pairs: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
+    """(a, b): those pairs of rows whose shingles are alike."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     texts = scratch.write(named.select("row", "_text").join(needed, "row", "left_semi"), "texts")
     sides = texts.withColumnsRenamed({"row": "a", "_text": "text_a"}), texts.withColumnsRenamed({"row": "b", "_text": "text_b"})
     links = scratch.write(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b").mapInArrow(
         _alike_batches(words, least), "a long, b long"), "alike")
-    roots = connected_components(links, "a", "b", scratch)
-    known = nodes.join(roots, nodes.node == roots.node, "left").select("t", F.coalesce("root", nodes.node).alias("root"))
-    known = scratch.write(known, "roots")
-    scratch.drop(forest, pairs, texts, links)
-    out = prints.join(known, "t").select(F.col("row").alias(key), "root")
-    scratch.later()
-    return out
+    scratch.drop(texts)
+    return links
+
+
+def _groups(nodes: DataFrame, links: list[DataFrame], scratch: Scratch) -> DataFrame:
+    """(node, comp): the smallest node that each node reaches over the links."""
+    edges = links[0]
+    for more in links[1:]:
+        edges = edges.unionByName(more)
+    roots = connected_components(edges, "a", "b", scratch).withColumnRenamed("node", "at")
+    return scratch.write(nodes.join(roots, nodes.node == roots.at, "left").select("node", F.coalesce("root", "node").alias("comp")), "groups")
