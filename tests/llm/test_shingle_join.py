@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from meltemi.llm import shingle_join, simhash
@@ -27,6 +28,19 @@ def partners():
     return [" ".join(t) for t in texts]
 
 
+def templated():
+    """One vocabulary of long words, so one fingerprint, and short fields that differ or nearly agree."""
+    rng, texts = random.Random(5), []
+    for _ in range(30):
+        fields = [[str(rng.randint(0, 99)) for _ in range(3)] for _ in range(40)]
+        texts.append([f"field{k:02} {' '.join(v)}" for k, v in enumerate(fields)])
+        for _ in range(2):
+            texts.append(list(texts[-1]))
+            at = rng.randint(0, 39)
+            texts[-1][at] = f"field{at:02} {rng.randint(100, 999)} 0 0"
+    return [" ".join(t) for t in texts]
+
+
 def groups_of(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "_row long, text string")
     got = {r._row: r.root for r in simhash.similar_documents(rows).collect()}
@@ -39,6 +53,15 @@ def test_appended_replaced_and_short_copies_are_all_found(spark):
     assert groups_of(spark, texts) == slow_similar(texts)
 
 
+def test_copies_within_one_fingerprint_are_all_found(spark):
+    texts = templated()
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+    assert len({simhash.vocabulary_fingerprint(t.encode(), 5, bits) for t in texts}) == 1
+    want = slow_similar(texts)
+    assert 1 < len(set(want)) < len(texts)
+    assert groups_of(spark, texts) == want
+
+
 @pytest.mark.parametrize("block, few", [(3, 2)])
 def test_crowds_dealt_over_cells(spark, monkeypatch, block, few):
     monkeypatch.setattr(shingle_join, "BLOCK", block)
