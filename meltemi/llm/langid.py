@@ -118,16 +118,19 @@ def train(texts: list[bytes], langs: list[str], steps: int = 300, decay: float =
 def fit(docs: DataFrame, rows_per_lang: int = 400, fold: int = 4, held: int = 2) -> Model | None:
     """Train on at most rows_per_lang documents of each lang, drawn by a hash of doc_id.
 
-    Only rows with a lang and a text, whose crc32 of doc_id, as text, modulo `fold` is not `held`.
+    Only rows with a lang and a text, whose crc32 of doc_id, as text, modulo `fold` is not `held`. Of
+    documents with one doc_id and lang the one with the smallest text teaches.
     """
     from meltemi.llm.common import doc_fold
 
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (doc_fold(fold) != held))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Spark keeps the first rows of each lang in every task before the shuffle.
-    picked = usable.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows_per_lang)
-    picked = F.broadcast(picked.select("doc_id", "lang").distinct())
-    rows = usable.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(picked, ["doc_id", "lang"]).collect()
+    # Repeated keys go before the draw; Spark keeps the first keys of each lang in every task before the shuffle.
+    keys = usable.select("doc_id", "lang").distinct()
+    picked = keys.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows_per_lang)
+    picked = F.broadcast(picked.select("doc_id", "lang"))
+    rows = usable.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(picked, ["doc_id", "lang"])
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.lang, r.text))
     return train([bytes(r.text) for r in rows], [r.lang for r in rows])
 

@@ -41,6 +41,17 @@ def test_toxicity_on_odd_rows(odd_docs, no_docs, monkeypatch):
     assert np.array_equal(toxicity.Responses(model).pool([long, b"", b"awful"]), whole)
 
 
+def test_one_text_of_a_repeated_key_reaches_the_driver(spark, monkeypatch):
+    hot = next(k for k in range(40) if zlib.crc32(str(k).encode()) % 5 and zlib.crc32(str(k).encode()) % 4 != 2)
+    rows = [(k, f"text {k} calm", "en") for k in range(40)] + [(hot, f"copy {k}", "en") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "train", lambda texts, *_: texts)
+    assert len(toxicity.fit(docs, labels)) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(40))
+    monkeypatch.setattr(langid, "train", lambda texts, langs: texts)
+    assert len(langid.fit(docs, rows_per_lang=40)) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(40))
+
+
 def test_toxicity_without_classes(spark, odd_docs):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(odd_docs, empty)
