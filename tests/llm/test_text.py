@@ -41,6 +41,18 @@ def test_toxicity_on_odd_rows(odd_docs, no_docs, monkeypatch):
     assert np.array_equal(toxicity.Responses(model).pool([long, b"", b"awful"]), whole)
 
 
+def test_parts_of_a_long_text_pool_as_the_whole(monkeypatch):
+    texts = [words(k, 30) + (" awful" if k % 3 == 0 else "") for k in range(100)]
+    model = toxicity.train([t.encode() for t in texts], np.array([int(k % 3 == 0) for k in range(100)]), ["en"] * 100, epochs=1)
+    responses = toxicity.Responses(model)
+    for n in (511, 512, 513, 514, 515, 3000):
+        long = words(n, n).encode()
+        whole = responses.pool([long])
+        with monkeypatch.context() as patch:
+            patch.setattr(toxicity, "SEGMENT", 128)
+            assert np.array_equal(responses.pool([long]), whole)
+
+
 def test_one_text_of_a_repeated_key_reaches_the_driver(spark, monkeypatch):
     hot = next(k for k in range(40) if zlib.crc32(str(k).encode()) % 5 and zlib.crc32(str(k).encode()) % 4 != 2)
     rows = [(k, f"text {k} calm", "en") for k in range(40)] + [(hot, f"copy {k}", "en") for k in range(500)]
