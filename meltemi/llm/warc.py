@@ -324,11 +324,18 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataFrame:
-    """Write pages to archives in a folder of the shared scratch, and read all records back, without payloads."""
+    """Write pages to archives in a folder of the shared scratch, and read all records back, without payloads.
+
+    Raises if a record does not come back whole.
+    """
     scratch = Scratch(spark)
     folder = scratch_path(spark, "warc")
     manifest = scratch.write(write(pages, folder, least), "manifest")
     scratch.keep(folder)
-    out = read(manifest, payloads=False)
+    out = scratch.write(read(manifest, payloads=False), "records")
+    written = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    whole, gaps = out.agg(F.count_if(F.col("gap").isNull()), F.count("gap")).first()
+    if gaps or whole != written:
+        raise RuntimeError(f"{written} records were written, {whole} came back whole, with {gaps} gaps")
     scratch.later()
     return out

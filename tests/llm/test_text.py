@@ -301,3 +301,12 @@ def test_salvage(spark, pages, packed, tmp_path):
     # Records and gaps tile the file, and nothing recovered was changed.
     assert got[0].start == 0 and got[-1].stop == len(data) and all(x.stop == y.start for x, y in zip(got, got[1:]))
     assert Counter(data[r.start:r.stop] for r in records) == Counter(p for k, p in enumerate(parts) if k not in (3, 7))
+
+
+def test_round_trip_raises_on_what_does_not_come_back(spark, pages, monkeypatch):
+    read = warc.read
+    assert warc.round_trip(spark, pages).count() == pages.count()
+    for spoil in (lambda out: out.limit(1), lambda out: out.withColumn("gap", out.record_type)):
+        monkeypatch.setattr(warc, "read", lambda manifest, payloads, spoil=spoil: spoil(read(manifest, payloads=payloads)))
+        with pytest.raises(RuntimeError, match="came back whole"):
+            warc.round_trip(spark, pages)
