@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meltemi.llm import embeddings, langid, line_dedup, packing, quality, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
+from meltemi.llm import (
+    embeddings, langid, lexical, line_dedup, negatives, packing, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc,
+)
 from meltemi.llm.common import doc_fold, table, tokenizer_path
 
 
@@ -68,9 +70,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.fit(), texts=False)
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), every=100, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_neardup, op2_toxicity, op3_warc, op4_sentencepiece, op5_quality, op6_language, op7_embedding_neardup,
-        op8_suffix_dedup, op9_line_dedup, op10_packing,
+        op8_suffix_dedup, op9_line_dedup, op10_packing, op11_pii, op12_lexical_search, op13_hard_negatives,
     )
 }

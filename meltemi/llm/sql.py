@@ -2,7 +2,7 @@
 
 The SimHash, classifier, tokenizer and packing queries have none: DuckDB lacks XXH64 and tokenizers,
 and a trained model or a local search is no relation. Suffix dedup would need a 400-byte string for
-every byte of the corpus. They are tested against brute force, an exact round trip or held-out rows.
+every byte of the corpus, and the personal-data field is a trained model. They are tested against brute force, an exact round trip or held-out rows.
 """
 
 WARC = """
@@ -85,6 +85,54 @@ SELECT d.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
 FROM d JOIN l USING (r) LEFT JOIN common c ON c.key = l.key GROUP BY d.r, d.doc_id
 """
 
+LEXICAL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+    FROM documents
+), docs AS (SELECT * FROM d WHERE len(ts) > 0), c AS (
+    SELECT count(*)::HUGEINT AS n_docs, sum(len(ts))::HUGEINT AS n_terms FROM docs
+), items AS (
+    SELECT row_number() OVER () AS q, item_id,
+        list_distinct([translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR t IN
+            regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')]) AS ts FROM benchmark
+), asked AS (SELECT q, unnest(ts) AS term FROM items), tf AS (
+    SELECT r, term, count(*) AS tf FROM (
+        SELECT r, translate(unnest(ts), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), w AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c
+), impact AS (
+    SELECT tf.r, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * len(docs.ts) * c.n_docs) // c.n_terms)))::BIGINT AS v
+    FROM tf JOIN w USING (term) JOIN docs USING (r), c
+), scored AS (SELECT q, r, sum(v)::BIGINT AS score FROM asked JOIN impact USING (term) GROUP BY q, r HAVING sum(v) > 0), ranked AS (
+    SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+    FROM scored JOIN docs USING (r)
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= 10
+"""
+
+NEGATIVES = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND (SELECT coalesce(bool_and(isfinite(x)), true) AND count(x) = count(*) FROM unnest(embedding) AS t(x))
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+    s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": WARC, "op5_quality": QUALITY, "op7_embedding_neardup": EMBEDDING, "op9_line_dedup": LINES,
+    "op12_lexical_search": LEXICAL, "op13_hard_negatives": NEGATIVES,
 }
