@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from meltemi.operators import intervals
+
 
 # --- fixed values: alert limits -------------------------------------------------------
 @dataclass(frozen=True)
@@ -28,6 +32,9 @@ STAGES = {
 # Stages whose age is watched; the two optional sources may stay silent.
 WATCHED_FOR_AGE = ("bronze_openmeteo", "silver", "gold", "quality")
 ROW_DROP_SHARE = 0.5
+# Seconds a condition must last before its alert fires.
+HOLD_SECONDS = {"run_stale": 300, "row_count_drop": 600, "no_rows": 60, "quality_failed": 60, "run_slow": 300}
+SEVERITY = {"quality_failed": "pipeline"}
 DAY_SECONDS = 86400
 
 
@@ -91,6 +98,59 @@ def run_alerts(metrics: DataFrame, as_of: str) -> DataFrame:
     return latest.select("stage", layer.alias("layer"), F.inline(F.array_compact(F.array(*raised))))
 
 
+def _of(stages: list[str]) -> Column:
+    return F.col("stage").isin(stages)
+
+
+def _by_stage(limits: dict[str, int]) -> Column:
+    pairs = [F.lit(x) for pair in limits.items() for x in pair]
+    return F.create_map(*pairs)[F.col("stage")]
+
+
+def conditions(metrics: DataFrame) -> DataFrame:
+    """(alert, stage, begin, until): when each rule's condition held, by the run log.
+
+    A run's figures hold until the stage's next run. The slow rule of the Bronze layer looks at its
+    slowest stage, so its intervals are those of any of them, under the layer's name.
+    """
+    runs = metrics.select("stage", F.unix_seconds("run_ts").alias("at"), "rows", "duration_seconds", "quality_failures")
+    # Two runs logged for one second: the worse figures count.
+    runs = runs.groupBy("stage", "at").agg(F.min("rows").alias("rows"), *[F.max(c).alias(c) for c in ("duration_seconds", "quality_failures")])
+    held = intervals.holding(runs, ["stage"], "at")
+    stale = {s: STAGES[s].stale_seconds for s in WATCHED_FOR_AGE}
+    slow = {s: x.slow_seconds for s, x in STAGES.items() if x.slow_seconds}
+    overdue = held.withColumn("begin", F.col("at") + _by_stage(stale)).filter(
+        _of(list(stale)) & (F.col("until").isNull() | (F.col("begin") < F.col("until"))))
+    drop = intervals.beside_earlier(
+        runs.filter(_of([s for s, x in STAGES.items() if x.alert_on_drop])), ["stage"], "at", "rows", DAY_SECONDS)
+    found = {
+        "run_stale": overdue,
+        "row_count_drop": drop.filter(F.col("now") < F.col("earlier") * ROW_DROP_SHARE),
+        "no_rows": held.filter(_of([s for s, x in STAGES.items() if x.alert_on_zero_rows]) & (F.col("rows") < 1)),
+        "quality_failed": held.filter("quality_failures > 0"),
+        "run_slow": held.filter(_of(list(slow)) & (F.col("duration_seconds") > _by_stage(slow))).withColumn(
+            "stage", F.when(F.col("stage").startswith("bronze_"), "bronze").otherwise(F.col("stage"))),
+    }
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(alert).alias("alert"), "stage", "begin", "until") for alert, df in found.items()])
+
+
+def alert_intervals(metrics: DataFrame, as_of: str) -> DataFrame:
+    """(alert, severity, stage, begin, fired, resolved): every alert up to as_of whose condition lasted its holding time.
+
+    Intervals that follow each other without a gap are one. An alert still firing at as_of has no
+    resolved time; a condition that ended sooner than its holding time, or has not lasted it yet, raised none.
+    """
+    now = F.unix_seconds(F.lit(as_of).cast("timestamp"))
+    hold = F.create_map(*[F.lit(x) for pair in HOLD_SECONDS.items() for x in pair])[F.col("alert")]
+    held = intervals.merged(conditions(metrics), ["alert", "stage"])
+    fired = intervals.lasting(intervals.until_now(held, now), hold, now)
+    severity = F.coalesce(F.create_map(*[F.lit(x) for pair in SEVERITY.items() for x in pair])[F.col("alert")], F.lit("warning"))
+    times = [F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd HH:mm:ss").alias(n) for c, n in (
+        ("begin", "begin"), ("fired", "fired"), ("until", "resolved"))]
+    return fired.select("alert", severity.alias("severity"), "stage", *times)
+
+
 def quality_alerts(failures: DataFrame) -> DataFrame:
     """One alert per failed check and layer, from quality.failures."""
     return failures.filter("failures > 0").select(

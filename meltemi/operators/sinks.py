@@ -1,22 +1,32 @@
-"""Partitioned writes that can be repeated and never touch history outside their range.
-
-Refreshing a range costs the range, not the table: its partitions are overwritten in place
-and partitions of the range that received no row are removed. Spark stages the new files and
-moves them in folder by folder at job commit, so a job that fails before that leaves the table as
-it was. The commit and the removals after it are not one atomic step: a driver lost in between
-leaves some partitions new and some old, each one whole, and running the same refresh again ends
-in the state it would have reached.
+"""Partitioned writes that can be repeated, each of them one step for a reader.
+
+A write that replaces or removes partitions first stages its rows in a folder of its own and then
+publishes a new version of the table: a list of which folders make up each partition, in one file that
+appears under its number whole or not at all. A job or driver lost at any moment leaves the table as it
+was before the write or as it is after it; what was staged in vain is cleaned up later. Refreshing a
+range costs the range: all other partitions go on in the new version by name. Earlier versions stay
+readable and can be restored until clean_up() drops them.
+
+A plain append is one Spark commit and needs no version; a table that has versions gets a new one.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass
+from datetime import datetime, timezone
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
+from meltemi.sources import snapshots
+from meltemi.sources.snapshots import file_system
 from meltemi.sources.tables import check_lead_in, cutoff
 
 DAY = ("partition_date",)
@@ -32,19 +42,22 @@ class Written:
     removed: list[str]
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+class CommitConflict(RuntimeError):
+    """Another write published partitions that this one read or replaces."""
 
 
 def list_partitions(spark: SparkSession, path: str, by: tuple[str, ...] = DAY) -> list[str]:
     """Leaf partition folders, such as partition_date=2024-01-05/source=waqi.
 
-    A directory listing: no data file is opened. A missing table has none; a listing that
-    fails raises, so a caller never mistakes an unreadable table for a new one.
+    A directory listing, or the newest version's list: no data file is opened. A missing table has
+    none; a listing that fails raises, so a caller never mistakes an unreadable table for a new one.
     """
-    root, fs = _file_system(spark, path)
+    found = snapshots.version(spark, path)
+    return sorted(found.partitions) if found else _plain_partitions(spark, path, by)
+
+
+def _plain_partitions(spark: SparkSession, path: str, by: tuple[str, ...]) -> list[str]:
+    root, fs = file_system(spark, path)
     if not fs.exists(root):
         return []
     pattern = spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(f"{c}=*" for c in by))
@@ -86,6 +99,12 @@ def _tracked(df: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, Observation
 
 def append(df: DataFrame, path: str, by: tuple[str, ...] = DAY_SOURCE) -> Written:
     """Append once for the whole batch; readers merge any new column by name."""
+    if snapshots.versions(df.sparkSession, path):
+        return _publish(df, path, by, "append", lambda held, fresh: ({**held, **{p: [*held.get(p, []), *c] for p, c in fresh.items()}}, []))
+    return _plain_append(df, path, by)
+
+
+def _plain_append(df: DataFrame, path: str, by: tuple[str, ...]) -> Written:
     tracked, seen = _tracked(df, by)
     tracked.write.mode("append").partitionBy(*by).parquet(path)
     got = seen.get
@@ -96,19 +115,81 @@ def _folders(spark: SparkSession, partitions: list) -> list[str]:
     return sorted(folder_name(spark, row.asDict()) for row in partitions)
 
 
+def stage(df: DataFrame, path: str, by: tuple[str, ...]) -> tuple[str, Written]:
+    """Rows in a folder of their own, which no reader sees."""
+    commit = uuid.uuid4().hex
+    return commit, _plain_append(df, snapshots.commit_path(path, commit), by)
+
+
+def put_version(spark: SparkSession, path: str, new: snapshots.Version) -> bool:
+    """Publish a version; False when its number is taken. The file is written aside and renamed, which
+    never replaces one that is there."""
+    final = snapshots.version_path(path, new.number)
+    aside, fs = file_system(spark, f"{path.rstrip('/')}/{snapshots.VERSIONS}/.{uuid.uuid4().hex}.json")
+    stream = fs.create(aside, False)
+    try:
+        stream.write(json.dumps(asdict(new)).encode())
+    finally:
+        stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(aside, file_system(spark, final)[0], options)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
+Change = Callable[[dict[str, list[str]], dict[str, list[str]]], tuple[dict[str, list[str]], list[str]]]
+
+
+def _publish(df: DataFrame, path: str, by: tuple[str, ...], operation: str, change: Change) -> Written:
+    """Stage df, then publish what `change` makes of the held and the fresh partitions.
+
+    Of two writes that end at once one takes the number; the other looks again. It goes on if no
+    partition that it changes or removes was changed meanwhile, else it raises and the table stays.
+    """
+    spark = df.sparkSession
+    seen = snapshots.version(spark, path)
+    was = held = seen.partitions if seen else {p: [snapshots.PLAIN] for p in _plain_partitions(spark, path, by)}
+    commit, written = stage(df, path, by)
+    fresh = {p: [commit] for p in written.partitions}
+    while True:
+        after, removed = change(held, fresh)
+        clash = sorted(p for p in set(fresh) | set(removed) if held.get(p) != was.get(p))
+        if clash and operation != "append":
+            raise CommitConflict(f"{path}: {', '.join(clash[:5])} changed while this write ran")
+        new = snapshots.Version(
+            seen.number + 1 if seen else 1, operation, datetime.now(timezone.utc).isoformat(timespec="seconds"), written.rows, after,
+            sorted(fresh), removed)
+        if put_version(spark, path, new):
+            return Written(written.rows, written.partitions, removed)
+        seen = snapshots.version(spark, path)
+        held = seen.partitions
+
+
 def replace_partitions(df: DataFrame, path: str, by: tuple[str, ...] = DAY_SOURCE) -> Written:
     """Overwrite the partitions that df has rows for, and no others."""
-    tracked, seen = _tracked(df, by)
-    tracked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    got = seen.get
-    return Written(got["rows"], _folders(df.sparkSession, got["partitions"]), [])
+    return _publish(df, path, by, "replace partitions", lambda held, fresh: ({**held, **fresh}, []))
+
+
+def exchange(df: DataFrame, path: str, old: list[str], by: tuple[str, ...] = DAY_SOURCE) -> Written:
+    """Put df's partitions in the place of the named ones, in one step."""
+
+    def change(held: dict, fresh: dict) -> tuple[dict, list[str]]:
+        gone = sorted(p for p in old if p in held and p not in fresh)
+        return {**{p: c for p, c in held.items() if p not in gone}, **fresh}, gone
+
+    return _publish(df, path, by, "exchange", change)
 
 
 def replace_range(
-    df: DataFrame, path: str, start: str | None, end: str | None, by: tuple[str, ...] = DAY
+    df: DataFrame, path: str, start: str | None, end: str | None, by: tuple[str, ...] = DAY, operation: str = "replace range",
 ) -> Written:
     """Replace exactly the partition dates in [start, end]; an open end is unbounded."""
-    spark = df.sparkSession
 
     def inside(day: str | None) -> bool:
         # A null date is in no bounded range.
@@ -121,20 +202,59 @@ def replace_range(
         rows = rows.filter(F.col("partition_date") >= start)
     if end is not None:
         rows = rows.filter(F.col("partition_date") <= end)
-    before = list_partitions(spark, path, by)
-    written = replace_partitions(rows, path, by)
-    fresh = set(written.partitions)
-    # Dynamic overwrite leaves a partition without new rows in place; here it must go.
-    stale = [p for p in before if inside(folder_day(p)) and p not in fresh]
-    for p in stale:
-        target, fs = _file_system(spark, f"{path.rstrip('/')}/{p}")
-        fs.delete(target, True)
-    return Written(written.rows, written.partitions, stale)
+
+    def change(held: dict, fresh: dict) -> tuple[dict, list[str]]:
+        removed = sorted(p for p in held if inside(folder_day(p)) and p not in fresh)
+        kept = {p: c for p, c in held.items() if not inside(folder_day(p))}
+        return {**kept, **fresh}, removed
+
+    return _publish(rows, path, by, operation, change)
 
 
 def overwrite(df: DataFrame, path: str, by: tuple[str, ...] = DAY) -> Written:
-    """Whole-table rebuild: old partitions stay readable until the new ones are committed."""
-    return replace_range(df, path, None, None, by)
+    """Whole-table rebuild: readers see the old table until the new one is there."""
+    return replace_range(df, path, None, None, by, "overwrite")
+
+
+def restore(spark: SparkSession, path: str, number: int) -> snapshots.Version:
+    """Make an earlier version the newest again; no data file is read or written."""
+    old = snapshots.version(spark, path, number)
+    while True:
+        last = snapshots.version(spark, path)
+        changed = sorted(p for p, c in old.partitions.items() if last.partitions.get(p) != c)
+        new = snapshots.Version(
+            last.number + 1, f"restore {number}", datetime.now(timezone.utc).isoformat(timespec="seconds"), 0, old.partitions, changed,
+            sorted(set(last.partitions) - set(old.partitions)))
+        if put_version(spark, path, new):
+            return new
+
+
+def clean_up(spark: SparkSession, path: str, keep: int = 10, idle_hours: float = 24.0) -> dict[str, int]:
+    """Drop all but the newest `keep` versions, and the folders none of the kept ones names.
+
+    Folders younger than idle_hours stay: a running write may be about to publish them, and a reader
+    may still be in them.
+    """
+    numbers = snapshots.versions(spark, path)
+    kept = [snapshots.version(spark, path, n) for n in numbers[-keep:]]
+    if not kept:
+        return {"versions": 0, "folders": 0}
+    # Version files go first: a version whose folders are gone must not be read.
+    for n in numbers[:-keep]:
+        target, fs = file_system(spark, snapshots.version_path(path, n))
+        fs.delete(target, False)
+    used = {f"{snapshots.COMMIT}={c}/{p}" for v in kept for p, commits in v.partitions.items() for c in commits if c != snapshots.PLAIN}
+    root, fs = file_system(spark, f"{path.rstrip('/')}/{snapshots.DATA}")
+    depth = len(next((p for v in kept for p in v.partitions), "").split("/"))
+    oldest = (time.time() - 3600 * idle_hours) * 1000
+    dropped = 0
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(root, "/".join([f"{snapshots.COMMIT}=*", *["*=*"] * depth]))
+    for status in fs.globStatus(pattern) or []:
+        name = "/".join(str(status.getPath().toString()).split("/")[-depth - 1:])
+        if name not in used and status.getModificationTime() < oldest:
+            fs.delete(status.getPath(), True)
+            dropped += 1
+    return {"versions": len(numbers[:-keep]), "folders": dropped}
 
 
 def refresh(
@@ -150,4 +270,4 @@ def refresh(
     first = cutoff(as_of, refresh_days)
     if first is None or not list_partitions(fresh.sparkSession, path, by):
         return overwrite(fresh, path, by)
-    return replace_range(fresh, path, first, None, by)
+    return replace_range(fresh, path, first, None, by, "refresh")

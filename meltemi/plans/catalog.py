@@ -14,12 +14,12 @@ from meltemi.functions.dates import season_of
 from meltemi.functions.geo import haversine_km
 from meltemi.functions.numeric import round_even
 from meltemi.operators import (
-    anomaly, bronze, contracts, gold, incremental, marts, monitoring, places, quality, silver, sinks,
+    anomaly, bronze, contracts, distincts, gold, grid, incremental, marts, monitoring, places, quality, silver, sinks,
 )
 from meltemi.operators.quantiles import group_quantiles
 from meltemi.plans import brief, report, season
 from meltemi.session import apply_runtime_conf, scratch_path
-from meltemi.sources import landing, payloads, tables
+from meltemi.sources import landing, payloads, snapshots, tables
 from meltemi.streaming import daily_means
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -465,6 +465,35 @@ def gold_refresh(spark, d):
     return tables.read_table(spark, path)
 
 
+def _versioned(spark, d):
+    """An older run, a refresh, a rebuilt range two of whose dates have no rows any more, and the way back to the refresh."""
+    path = scratch_path(spark, "versions")
+    sinks.overwrite(_older_run(spark, d), path)
+    sinks.refresh(summary(spark, d), path, landing.AS_OF)
+    sinks.replace_range(summary(spark, d).filter("partition_date = '2024-01-21'"), path, "2024-01-20", "2024-01-22")
+    sinks.restore(spark, path, 2)
+    return path
+
+
+@query
+def table_history(spark, d):
+    return snapshots.history(spark, _versioned(spark, d)).drop("written_at")
+
+
+@query
+def table_as_of_version(spark, d):
+    """Every version as it was, read after the last one was written."""
+    path = _versioned(spark, d)
+    return reduce(DataFrame.unionByName, [
+        tables.read_table(spark, path, version=n).select(
+            F.lit(n).alias("version"), "partition_date", "country_code", "source", "mean_pm2_5") for n in (1, 2, 3)])
+
+
+@query
+def table_restore(spark, d):
+    return tables.read_table(spark, _versioned(spark, d))
+
+
 @query
 def readiness_diagnostics(spark, d):
     return report.readiness_diagnostics(report_summary(spark, d), report_anomalies(spark, d))
@@ -490,11 +519,54 @@ def geo_near_city(spark, d):
     return landing.stations(spark, d).select("station_id", near.alias("near"))
 
 
+def _anchor_table(spark, d):
+    """Every fifth station as an anchor of its country."""
+    return landing.stations(spark, d).filter("user_id % 5 = 0").select(
+        F.col("user_id").alias("anchor_id"), F.upper(F.substring_index("station_id", "_", -1)).alias("country_code"), "latitude", "longitude")
+
+
+@query
+def geo_near_anchors(spark, d):
+    """Station-days within 25 km of an anchor of their country, with the anchors as a table."""
+    rows = air(spark, d).select("station_id", "date", "country_code", "latitude", "longitude")
+    return grid.keep_near_anchors(rows, _anchor_table(spark, d), max_km=25.0).select("station_id", "date", "country_code")
+
+
+@query
+def geo_nearest_anchor(spark, d):
+    return grid.nearest_anchor(landing.stations(spark, d), "station_id", _anchor_table(spark, d), max_km=60.0)
+
+
 @query
 def report_filter(spark, d):
     return places.report_countries(air(spark, d)).select("station_id", "source", "date", "country_code")
 
 
+# --- distinct counts that add up ------------------------------------------------------
+def _bitmaps(spark, d):
+    """Stored station bitmaps of all days, a third of which were refreshed after the first build."""
+    key = (spark.sparkContext.applicationId, d, "bitmaps")
+    if key not in _WRITTEN:
+        root, rows = scratch_path(spark, "bitmaps"), stored_silver(spark, d)
+        distincts.refresh(spark, rows.filter("partition_date < '2024-01-25' and station_id not like '%7_%'"), root)
+        distincts.refresh(spark, rows, root, "2024-01-01", "2024-01-20")
+        distincts.refresh(spark, rows.filter("partition_date > '2024-01-20'"), root, "2024-01-21", None)
+        _WRITTEN[key] = root
+    return distincts.stored(spark, _WRITTEN[key])
+
+
+@query
+def stations_by_week(spark, d):
+    return distincts.roll_up(_bitmaps(spark, d), week=distincts.week(), country_code=F.col("country_code"))
+
+
+@query
+def stations_by_month(spark, d):
+    """Per month by country and source, by country, and in all, in one pass over the bitmaps."""
+    columns = {"month": distincts.month(), "country_code": F.col("country_code"), "source": F.col("source")}
+    return distincts.roll_up_sets(_bitmaps(spark, d), [["month", "country_code", "source"], ["month", "country_code"], ["month"]], **columns)
+
+
 # --- report ---------------------------------------------------------------------------
 @query
 def coverage_by_date(spark, d):
@@ -874,20 +946,43 @@ def run_alerts(spark, d):
     return monitoring.run_alerts(landing.run_metrics(spark, d), "2024-02-01 02:00:00")
 
 
+@query
+def alert_intervals(spark, d):
+    return monitoring.alert_intervals(landing.run_metrics(spark, d), "2024-02-01 02:00:00")
+
+
 # --- streaming ------------------------------------------------------------------------
 @query
 def stream_daily_means(spark, d):
     """Event stream to daily means, drained once, open days included."""
     events = landing.table(spark, d, "events")
     stream = spark.readStream.schema(events.schema).parquet(f"{d}/events*.parquet")
+    out = scratch_path(spark, "stream")
+    daily_means.write_daily_means(_hours(stream), out, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return tables.read_table(spark, out)
+
+
+@query
+def stream_late_readings(spark, d):
+    """The same in three batches: the newest days, then the oldest, then the rest, days of which were there before."""
+    events = landing.table(spark, d, "events")
+    newest = F.col("ts") >= F.lit("2024-01-20").cast("timestamp")
+    oldest = F.col("ts") < F.lit("2024-01-08").cast("timestamp")
+    odd = F.col("user_id") % 2 == 1
+    inbox, out, checkpoint = (scratch_path(spark, n) for n in ("late-inbox", "late", "late-checkpoint"))
+    for landed in (newest & odd, oldest, ~oldest & ~(newest & odd)):
+        events.filter(landed).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        daily_means.write_daily_means(_hours(stream), out, checkpoint).awaitTermination()
+    return tables.read_table(spark, out)
+
+
+def _hours(stream):
     value = {
         name: F.when(F.col("event_type") == event, F.col("value"))
         for event, name in landing.EVENT_POLLUTANT.items()
         if name in S.POLLUTANTS
     }
-    hours = stream.select(
+    return stream.select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("station_id"), *[c.alias(n) for n, c in value.items()]
     )
-    out = scratch_path(spark, "stream")
-    daily_means.write_daily_means(hours, out, scratch_path(spark, "stream-checkpoint")).awaitTermination()
-    return tables.read_table(spark, out)

@@ -206,3 +206,8 @@ def record(
 
 def alerts(spark: SparkSession, lake: Lake, as_of: str) -> DataFrame:
     return monitoring.run_alerts(tables.read_or_empty(spark, lake.run_metrics, RUN_METRICS), as_of)
+
+
+def alert_history(spark: SparkSession, lake: Lake, as_of: str) -> DataFrame:
+    """When each alert began, fired and was resolved."""
+    return monitoring.alert_intervals(tables.read_or_empty(spark, lake.run_metrics, RUN_METRICS), as_of)

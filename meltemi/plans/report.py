@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meltemi import settings as S
 from meltemi.functions.numeric import round_even
-from meltemi.plans.season import Focus, season_and_focus
+from meltemi.plans.season import Focus, focus_of
 
 
 # --- coverage and readiness -----------------------------------------------------------
@@ -264,12 +264,19 @@ def attach(df: DataFrame, *figures: DataFrame) -> DataFrame:
     return df.withColumns(rows).select(*kept, *[f"{name}.*" for name in rows])
 
 
-def _leader(df: DataFrame, value: Column, name: str, lowest: bool = False) -> DataFrame:
-    """Country with the highest (or lowest) aggregate; ties go to the first country code."""
-    means = df.filter(F.col("country_code").isNotNull()).groupBy("country_code").agg(value.alias("v"))
-    order = F.col("v") if lowest else -F.col("v")
-    best = F.min(F.when(F.col("v").isNotNull(), F.struct(order.alias("o"), F.col("country_code").alias("c"))))
-    return means.agg(best["c"].alias(name))
+def _leader(value: Column, lowest: bool = False) -> Column:
+    """Over one row per country, the one with the highest (or lowest) value; ties go to the first country code.
+
+    A null country leads nothing.
+    """
+    order = value if lowest else -value
+    shown = value.isNotNull() & F.col("country_code").isNotNull()
+    return F.min(F.when(shown, F.struct(order.alias("o"), F.col("country_code").alias("c"))))["c"]
+
+
+def _names(sets: Column) -> Column:
+    """Sorted distinct names out of one set per row, comma-joined."""
+    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(sets)))), ", ")
 
 
 def report_kpis(
@@ -277,45 +284,66 @@ def report_kpis(
 ) -> DataFrame:
     """One row of run figures, season and focus of the newest weather date among them.
 
-    Each part is a global aggregate with map-side partials.
+    Each table is read once: one aggregate per country (and, by a second grouping set, per date or
+    station), whose few rows are then reduced to the figures.
     """
-
-    def names(column: str) -> Column:
-        return F.array_join(F.array_sort(F.collect_set(column)), ", ")
-
-    newest = weather.agg(F.max("partition_date")).scalar()
-    on_newest = F.col("partition_date") == newest
-
-    def count_if(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("long")
-
+    summary_by = summary.groupBy("country_code").agg(
+        F.min("partition_date").alias("first_date"), F.max("partition_date").alias("last_date"), F.count("*").alias("n"),
+        # As many as the calendar has dates, and as there are sources.
+        F.collect_set("partition_date").alias("days"), F.collect_set("source").alias("sources"),
+        round_even(F.avg("who_pm25_exceed_pct"), 4).alias("exceed"))
+    per_station = F.grouping("station_id") == 0
+    risk_by = risk.groupingSets([["country_code"], ["station_id"]], "country_code", "station_id").agg(
+        per_station.alias("per_station"), F.count("*").alias("n"), round_even(F.avg("risk_index"), 4).alias("mean"))
+    of_station = F.col("per_station")
+    per_day = F.grouping("partition_date") == 0
+    weather_by = weather.groupingSets([["country_code"], ["partition_date"]], "country_code", "partition_date").agg(
+        per_day.alias("per_day"), F.count("*").alias("n"), F.max("temp_max_c").alias("hottest"), F.min("temp_min_c").alias("coldest"),
+        F.count(F.when(F.col("heat_alert").isin(*S.HEATWAVE), 1)).alias("heatwaves"),
+        F.count(F.when(F.col("cold_alert").isin(*S.COLD_WAVE), 1)).alias("cold_waves"),
+        F.count(F.when(F.col("heat_alert") != "none", 1)).alias("hot"), F.count(F.when(F.col("cold_alert") != "none", 1)).alias("cold"))
+    of_day = F.col("per_day")
+
+    def total(column: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0))
+
+    def of_leader(column: str, lowest: bool = False) -> Column:
+        return _leader(F.when(~of_day, F.col(column)), lowest)
+
+    day = F.when(of_day & F.col("partition_date").isNotNull(), F.col("partition_date"))
+    newest = F.max_by(F.struct("hot", "cold", "heatwaves", "cold_waves"), day)
+    last = F.struct(F.max(day).alias("day"), newest.alias("of"))
     parts = [
-        summary.agg(
-            F.min("partition_date").alias("first_date"),
-            F.max("partition_date").alias("last_date"),
-            F.countDistinct("partition_date").alias("dates"),
-            F.countDistinct("country_code").alias("countries"),
-            names("country_code").alias("country_list"),
-            names("source").alias("source_list"),
-            F.count("*").alias("summary_rows"),
+        summary_by.agg(
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("days")))).cast("long").alias("dates"),
+            F.count("country_code").alias("countries"),
+            F.array_join(F.array_sort(F.collect_set("country_code")), ", ").alias("country_list"),
+            _names(F.col("sources")).alias("source_list"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("summary_rows"),
+            _leader(F.col("exceed")).alias("highest_exceedance_country"),
+        ),
+        risk_by.agg(
+            total("n", ~of_station).alias("risk_rows"),
+            F.count(F.when(of_station, F.col("station_id"))).alias("stations"),
+            _leader(F.when(~of_station, F.col("mean"))).alias("highest_risk_country"),
         ),
-        risk.agg(F.count("*").alias("risk_rows"), F.countDistinct("station_id").alias("stations")),
         anomalies.agg(
             F.count("*").alias("anomaly_rows"),
             F.sum("is_anomaly").cast("long").alias("anomalies"),
             round_even(F.avg("is_anomaly") * 100, 1).alias("anomaly_rate_pct"),
         ),
-        weather.agg(
-            F.count("*").alias("weather_rows"),
-            count_if(F.col("heat_alert").isin(*S.HEATWAVE)).alias("heatwave_country_days"),
-            count_if(F.col("cold_alert").isin(*S.COLD_WAVE)).alias("cold_wave_country_days"),
-            count_if(on_newest & (F.col("heat_alert") != "none")).alias("under_heat_alert"),
-            count_if(on_newest & (F.col("cold_alert") != "none")).alias("under_cold_alert"),
-        ),
-        _leader(risk, round_even(F.avg("risk_index"), 4), "highest_risk_country"),
-        _leader(weather, F.max("temp_max_c"), "hottest_country"),
-        _leader(weather, F.min("temp_min_c"), "coldest_country", lowest=True),
-        _leader(summary, round_even(F.avg("who_pm25_exceed_pct"), 4), "highest_exceedance_country"),
-        season_and_focus(weather),
+        weather_by.agg(
+            total("n", ~of_day).alias("weather_rows"),
+            total("heatwaves", ~of_day).alias("heatwave_country_days"),
+            total("cold_waves", ~of_day).alias("cold_wave_country_days"),
+            of_leader("hottest").alias("hottest_country"),
+            of_leader("coldest", lowest=True).alias("coldest_country"),
+            last.alias("last"),
+        ).select(
+            "*", F.coalesce("last.of.hot", F.lit(0)).alias("under_heat_alert"), F.coalesce("last.of.cold", F.lit(0)).alias("under_cold_alert"),
+            *focus_of(F.col("last.day"), F.col("last.of.heatwaves") > 0, F.col("last.of.cold_waves") > 0),
+        ).drop("last"),
     ]
     return attach(parts[0], *parts[1:])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
+from meltemi.sources import snapshots
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -19,16 +20,22 @@ def is_missing(error: AnalysisException) -> bool:
 
 def read_table(
     spark: SparkSession, path: str, where: Column | None = None, ddl: str | None = None,
-    merge: bool = False,
+    merge: bool = False, version: int | None = None,
 ) -> DataFrame:
     """Scan of a partitioned dataset, columns matched by name; partition values stay strings.
 
+    Of a table with versions the newest is read, or the one asked for.
+
     With a declared schema no footer is opened to plan the scan, and a column an older file
     lacks reads as null. merge finds the union of all files' columns instead, at the price of
     opening every footer.
     """
-    reader = spark.read.option("mergeSchema", str(merge).lower())
-    df = (reader.schema(ddl) if ddl else reader).parquet(path)
+    found = snapshots.version(spark, path, version)
+    if found is not None:
+        df = snapshots.read_folders(spark, path, found, None, ddl, merge)
+    else:
+        reader = spark.read.option("mergeSchema", str(merge).lower())
+        df = (reader.schema(ddl) if ddl else reader).parquet(path)
     return df if where is None else df.filter(where)
 
 
@@ -50,6 +57,9 @@ def read_days(
     Planning lists the files of these folders and of no others, so the cost of a window read
     stays flat while the history behind it grows.
     """
+    found = snapshots.version(spark, path)
+    if found is not None:
+        return snapshots.read_folders(spark, path, found, partitions, ddl)
     folders = [f"{path.rstrip('/')}/{p}" for p in partitions]
     reader = spark.read.option("basePath", path)
     return (reader.schema(ddl) if ddl else reader).parquet(*folders)

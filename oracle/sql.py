@@ -515,11 +515,53 @@ FROM summary WHERE partition_date <> '2024-01-08'"""
 add("gold_merge_refreshed", _SPLICE)
 add("gold_refresh", _SPLICE)
 
+_OLD = "SELECT * REPLACE (-1e0 AS mean_pm2_5) FROM summary WHERE partition_date NOT IN ('2024-01-08', '2024-01-28')"
+_CUT = f"SELECT * FROM ({_SPLICE}) WHERE partition_date NOT IN ('2024-01-20', '2024-01-22')"
+add("table_restore", _SPLICE)
+add("table_as_of_version", " UNION ALL ".join(
+    f"SELECT {n}::INTEGER AS version, partition_date, country_code, source, mean_pm2_5 FROM ({q})"
+    for n, q in ((1, _OLD), (2, _SPLICE), (3, _CUT))))
+
+
+def _days(rows: str, where: str = "true") -> str:
+    return f"(SELECT count(DISTINCT partition_date)::INTEGER FROM ({rows}) WHERE {where})"
+
+
+_LOST = "partition_date IN ('2024-01-20', '2024-01-22')"
+add("table_history", f"""
+SELECT 1::INTEGER AS version, 'overwrite' AS operation, (SELECT count(*) FROM ({_OLD})) AS rows, {_days(_OLD)} AS partitions,
+  {_days(_OLD)} AS changed, 0::INTEGER AS removed
+UNION ALL SELECT 2, 'refresh', (SELECT count(*) FROM summary WHERE partition_date >= '2024-01-17'), {_days(_SPLICE)},
+  {_days('SELECT * FROM summary', "partition_date >= '2024-01-17'")}, 0
+UNION ALL SELECT 3, 'replace range', (SELECT count(*) FROM summary WHERE partition_date = '2024-01-21'), {_days(_CUT)},
+  {_days('SELECT * FROM summary', "partition_date = '2024-01-21'")}, {_days(_SPLICE, _LOST)}
+UNION ALL SELECT 4, 'restore 2', 0, {_days(_SPLICE)}, {_days(_SPLICE, "partition_date BETWEEN '2024-01-20' AND '2024-01-22'")}, 0""")
+
 # --- geography -----------------------------------------------------------------------------
 add("geo_haversine", f"SELECT station_id, {even(km('latitude', 'longitude', '36.82e0', '10.17e0'), 4)} AS km FROM stations")
 add("geo_near_city", f"SELECT x.station_id, {near('x')} AS near FROM stations x")
 add("report_filter", f"SELECT x.station_id, x.source, x.date, x.country_code FROM air x WHERE {_KEEP} AND {_NEAR}")
 
+_ANCHORS = "SELECT user_id AS anchor_id, upper(string_split(station_id, '_')[-1]) AS code, latitude AS alat, longitude AS alon FROM stations WHERE user_id % 5 = 0"
+_KM = km("x.latitude", "x.longitude", "a.alat", "a.alon")
+add("geo_near_anchors", f"""
+SELECT x.station_id, x.date, x.country_code FROM air x
+WHERE coalesce(upper(x.country_code), '') NOT IN (SELECT code FROM ({_ANCHORS}))
+  OR EXISTS (SELECT 1 FROM ({_ANCHORS}) a WHERE a.code = upper(x.country_code) AND {_KM} <= 25)""")
+add("geo_nearest_anchor", f"""
+SELECT station_id, anchor_id, km FROM (
+  SELECT x.station_id, a.anchor_id, {even(_KM, 4)} AS km, {_KM} AS d FROM stations x JOIN ({_ANCHORS}) a ON a.code = upper(x.country_code))
+WHERE d <= 60 QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY km, anchor_id) = 1""")
+
+# --- distinct counts -----------------------------------------------------------------------
+_COUNTRY = "coalesce(country_code, upper(string_split(station_id, '_')[-1]))"
+add("stations_by_week", f"""
+SELECT CAST(date_trunc('week', CAST(partition_date AS DATE))::DATE AS VARCHAR) AS week, {_COUNTRY} AS country_code,
+  count(DISTINCT station_id) AS stations FROM air GROUP BY 1, 2""")
+_BY_MONTH = "SELECT {k}::INTEGER AS level, substr(partition_date, 1, 7) AS month, {c} AS country_code, {s} AS source, count(DISTINCT station_id) AS stations FROM air GROUP BY ALL"
+add("stations_by_month", " UNION ALL ".join(_BY_MONTH.format(k=k, c=c, s=s) for k, c, s in (
+    (0, _COUNTRY, "source"), (1, _COUNTRY, "NULL::VARCHAR"), (2, "NULL::VARCHAR", "NULL::VARCHAR"))))
+
 # --- report --------------------------------------------------------------------------------
 CTE["coverage"] = """
 SELECT partition_date, CAST(sum(station_count) AS BIGINT) AS station_days, count(DISTINCT country_code) AS countries,
@@ -1025,6 +1067,38 @@ SELECT stage, string_split(stage, '_')[1] AS layer, alert, severity, CAST(value
   UNION ALL SELECT stage, 'run_slow', 'warning', duration_seconds FROM ({_RUNS}) WHERE recency = 1
     AND duration_seconds > CASE WHEN stage LIKE 'bronze%' THEN 1800 WHEN stage = 'silver' THEN 3600 END)""")
 
+_LOG = f"""
+SELECT stage, epoch(run_ts)::BIGINT AS t, lead(epoch(run_ts)::BIGINT) OVER (PARTITION BY stage ORDER BY run_ts) AS u,
+  rows, duration_seconds AS took, quality_failures AS failed FROM ({_RUNS})"""
+_HELD = f"""
+WITH log AS ({_LOG}), changes AS (
+  SELECT stage, t, max(now) AS now, max(earlier) AS earlier FROM (
+    SELECT stage, t, rows AS now, NULL AS earlier FROM log WHERE stage = 'bronze_openmeteo'
+    UNION ALL SELECT stage, t + 86400, NULL, rows FROM log WHERE stage = 'bronze_openmeteo') GROUP BY 1, 2
+), filled AS (
+  SELECT stage, t, lead(t) OVER w AS u, last_value(now IGNORE NULLS) OVER w AS now, last_value(earlier IGNORE NULLS) OVER w AS earlier
+  FROM changes WINDOW w AS (PARTITION BY stage ORDER BY t)
+), held AS (
+  SELECT 'run_stale' AS alert, 300 AS hold, stage, t + lim AS b, u FROM log JOIN (VALUES ('bronze_openmeteo', 90000), ('silver', 93600),
+    ('gold', 97200), ('quality', 93600)) AS l(stage, lim) USING (stage) WHERE u IS NULL OR t + lim < u
+  UNION ALL SELECT 'row_count_drop', 600, stage, t, u FROM filled WHERE now < earlier * 0.5
+  UNION ALL SELECT 'no_rows', 60, stage, t, u FROM log WHERE stage = 'bronze_openaq' AND rows < 1
+  UNION ALL SELECT 'quality_failed', 60, stage, t, u FROM log WHERE failed > 0
+  UNION ALL SELECT 'run_slow', 300, CASE WHEN stage LIKE 'bronze%' THEN 'bronze' ELSE stage END, t, u FROM log
+    WHERE (stage LIKE 'bronze%' AND took > 1800) OR (stage = 'silver' AND took > 3600)
+), flagged AS (
+  SELECT *, coalesce(u, 9e15::BIGINT) AS e, coalesce(b > max(coalesce(u, 9e15::BIGINT)) OVER (PARTITION BY alert, stage ORDER BY b, u NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)::INT AS fresh FROM held
+), islands AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY alert, stage ORDER BY b, e ROWS UNBOUNDED PRECEDING) AS k FROM flagged
+), whole AS (SELECT alert, hold, stage, min(b) AS b, max(e) AS e, epoch(TIMESTAMP '2024-02-01 02:00:00')::BIGINT AS n FROM islands GROUP BY alert, hold, stage, k)
+"""
+_SHOWN = "strftime(make_timestamp(({}) * 1000000), '%Y-%m-%d %H:%M:%S')"
+add("alert_intervals", f"""SELECT * FROM ({_HELD}
+SELECT alert, CASE WHEN alert = 'quality_failed' THEN 'pipeline' ELSE 'warning' END AS severity, stage, {_SHOWN.format('b')} AS begin,
+  {_SHOWN.format('b + hold')} AS fired, CASE WHEN e <= n THEN {_SHOWN.format('e')} END AS resolved
+FROM whole WHERE b < n AND b + hold <= least(e, n))""")
+
 add("quality_alerts", f"""
 SELECT 'quality_failed' AS alert, 'pipeline' AS severity, check_name, layer, CAST(count(*) AS DOUBLE) AS value
 FROM ({' UNION ALL '.join(f'SELECT check_name, layer, passed FROM ({ORACLE[k]})' for k in ('quality_bronze', 'quality_silver', 'quality_weather'))})
@@ -1036,3 +1110,4 @@ add("stream_daily_means", f"""
 SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
   {', '.join(f'''{even(f"avg(value) FILTER (event_type = '{e}')", 4)} AS {p}''' for p, e in _STREAM.items())}
 FROM events GROUP BY 1, 2""")
+add("stream_late_readings", ORACLE["stream_daily_means"])
