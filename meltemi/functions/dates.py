@@ -31,3 +31,9 @@ def parse_dates(raw: str) -> list[str]:
     """Comma- or space-separated ISO dates, first occurrence kept; a bad one raises."""
     found = [date.fromisoformat(token).isoformat() for token in raw.replace(",", " ").split()]
     return list(dict.fromkeys(found))
+
+
+def date_list(raw: Column) -> Column:
+    """The same over a column: an array of ISO dates; a null text gives none, a bad date fails the query."""
+    tokens = F.filter(F.split(F.coalesce(raw, F.lit("")), r"[,\s]+"), lambda t: t != "")
+    return F.array_distinct(F.transform(tokens, lambda t: t.cast("date").cast("string")))

@@ -16,6 +16,32 @@ def unprocessed_partitions(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return bronze.select(*pair).distinct().join(silver.select(*pair).distinct(), pair, "left_anti")
 
 
+PAIR = ["source", "partition_date"]
+FINGERPRINTS = "n long, fingerprint string, listing string, source string, partition_date string"
+
+
+def fingerprints(rows: DataFrame, by: list[str] = PAIR) -> DataFrame:
+    """(by..., n, fingerprint): row count and sum of row hashes of every partition.
+
+    The sum does not depend on the order of rows, their files or the tasks that read them, and counts a
+    repeated row as often as it comes. A null and an absent value differ from an empty one.
+    """
+    columns = sorted(c for c in rows.columns if c not in by)
+    # Which values are null goes into the hash, which alone would skip them.
+    row = F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+    total = F.sum(row.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), total.cast("string").alias("fingerprint"))
+
+
+def changed_partitions(now: DataFrame, kept: DataFrame, by: list[str] = PAIR) -> DataFrame:
+    """Partitions whose fingerprint is not the one kept of them, or that were never kept; nulls in by match.
+
+    Both sides have one row per partition.
+    """
+    same = [F.col(f"now.{c}").eqNullSafe(F.col(f"kept.{c}")) for c in [*by, "n", "fingerprint"]]
+    return now.alias("now").join(kept.alias("kept"), same, "left_anti").select(*by)
+
+
 def missing_dates(spark: SparkSession, present: DataFrame, start: str, end: str) -> DataFrame:
     """Calendar dates of a closed range absent from a table."""
     days = spark.range(1).select(

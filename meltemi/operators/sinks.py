@@ -12,6 +12,7 @@ A plain append is one Spark commit and needs no version; a table that has versio
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -66,6 +67,22 @@ def _plain_partitions(spark: SparkSession, path: str, by: tuple[str, ...]) -> li
     return sorted("/".join(n.split("/")[-len(by):]) for n in names)
 
 
+def listings(spark: SparkSession, path: str, by: tuple[str, ...] = DAY) -> dict[str, str]:
+    """Per partition, what it is made of: the commits of its version, or names and sizes of its files.
+
+    Equal listings mean equal rows; a partition that was written again has another one, whatever its rows.
+    """
+    found = snapshots.version(spark, path)
+    if found:
+        return {p: ",".join(sorted(commits)) for p, commits in found.partitions.items()}
+    out = {}
+    for p in _plain_partitions(spark, path, by):
+        folder, fs = file_system(spark, f"{path.rstrip('/')}/{p}")
+        files = sorted(f"{s.getPath().getName()}:{s.getLen()}" for s in fs.listStatus(folder))
+        out[p] = hashlib.sha256("|".join(files).encode()).hexdigest()
+    return out
+
+
 def folder_day(folder: str) -> str | None:
     """Date of a partition folder as the table's readers see it; None for a null one."""
     value = folder.split("/")[0].split("=", 1)[1]

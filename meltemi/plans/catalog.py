@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meltemi import schemas
 from meltemi import settings as S
+from meltemi.functions import dates
 from meltemi.functions.dates import season_of
 from meltemi.functions.geo import haversine_km
 from meltemi.functions.numeric import round_even
@@ -20,7 +21,7 @@ from meltemi.operators.quantiles import group_quantiles
 from meltemi.plans import brief, report, season
 from meltemi.session import apply_runtime_conf, scratch_path
 from meltemi.sources import landing, payloads, snapshots, tables
-from meltemi.streaming import daily_means
+from meltemi.streaming import daily_means, series
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -160,6 +161,53 @@ def src_daily_measurements(spark, d):
     return payloads.measurement_rows(docs)
 
 
+@query
+def src_first_measurement(spark, d):
+    docs = payloads.parse_json(landing.measurement_payloads(spark, d), "body", schemas.MEASUREMENTS_PAYLOAD)
+    return payloads.first_measurement(docs)
+
+
+# Where each landed payload names its subject, and the part that is broken in one of seven.
+_LANDED = {
+    "hourly": (landing.hourly_payloads, "$.station_id", "time"), "dust": (landing.dust_payloads, "$.station_id", "time"),
+    "daily": (landing.daily_payloads, "$.station_id", "time"), "locations": (landing.location_payloads, "$.results[0].id", "results"),
+    "measurements": (landing.measurement_payloads, "$.sensor_id", "results"), "feed": (landing.feed_payloads, "$.feed.idx", "feed"),
+    "search": (landing.search_payloads, "$.data[0].uid", "data"),
+}
+
+
+def _broken(bodies, path: str, part: str):
+    """Landed payloads, most of them damaged in a way that their subject decides."""
+    body, n = F.col("body"), F.get_json_object("body", path).cast("long") % 7
+    damaged = (
+        F.when(n == 0, F.substring(body, F.lit(1), F.length(body) - 3)).when(n == 1, F.lit(" "))
+        .when(n == 2, F.concat(F.lit("["), body, F.lit("]")))
+        .when(n == 3, F.replace(body, F.lit(f'"{part}":'), F.lit('"was":')))
+        .when(n == 4, F.replace(body, F.lit(f'"{part}":'), F.lit(f'"{part}":"x","was":')))
+        .when(n == 5, F.replace(body, F.lit('"time":["'), F.lit('"time":["2024-01-01","'))).otherwise(body)
+    )
+    return bodies.select(damaged.alias("body"))
+
+
+@query
+def payload_quarantine(spark, d):
+    """How many payloads of each kind become rows, and how many are set aside for which reason."""
+    parts = []
+    for kind, (landed, path, part) in _LANDED.items():
+        good, bad = payloads.parse_or_quarantine(_broken(landed(spark, d), path, part), "body", payloads.SHAPES[kind])
+        reasons = good.select(F.lit(None).cast("string").alias("reason")).unionByName(bad.select("reason"))
+        parts.append(reasons.groupBy("reason").agg(F.count("*").alias("payloads")).select(F.lit(kind).alias("kind"), "reason", "payloads"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def requested_dates(spark, d):
+    """Dates of a list written by hand, one per customer group, first mention kept."""
+    written = landing.table(spark, d, "orders").groupBy((F.col("o_custkey") % 20).alias("list")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.date_format("o_orderdate", "yyyy-MM-dd"))), ", ").alias("raw"))
+    return written.select("list", F.explode(dates.date_list(F.col("raw"))).alias("partition_date"))
+
+
 @query
 def src_station_feed(spark, d):
     docs = payloads.parse_json(landing.feed_payloads(spark, d), "body", schemas.FEED_PAYLOAD)
@@ -329,6 +377,17 @@ def incremental_partitions(spark, d):
     return incremental.unprocessed_partitions(bronze_air, held)
 
 
+@query
+def changed_partitions(spark, d):
+    """Bronze landed again: every third date with other rows in one source, every other in another order, new dates."""
+    now = landing.bronze_air(spark, d)
+    day = F.day(F.col("partition_date").cast("date"))
+    before = now.filter("partition_date < '2024-01-25'").withColumn(
+        "ozone", F.when((day % 3 == 0) & (F.col("source") == "openaq"), F.col("ozone") + 1).otherwise(F.col("ozone")))
+    again = now.orderBy("station_id").repartition(7).unionByName(now.filter("partition_date = '2024-01-02' and source = 'waqi'"))
+    return incremental.changed_partitions(incremental.fingerprints(again), incremental.fingerprints(before))
+
+
 @query
 def missing_dates(spark, d):
     held = air(spark, d).filter((F.col("partition_date") <= "2024-01-10") | (F.col("partition_date") > "2024-01-15"))
@@ -881,9 +940,8 @@ def audit_unique(spark, d):
     return quality.audit(rows, "readings", keys)
 
 
-@query
-def contract_checks(spark, d):
-    """All four contracts over Gold tables with planted faults."""
+def _faulty_gold(spark, d):
+    """The Gold tables with planted faults."""
     faulty_summary = summary(spark, d).withColumn(
         "mean_pm2_5", F.when(F.col("country_code") == "TN", -F.col("mean_pm2_5")).otherwise(F.col("mean_pm2_5"))
     ).drop("mean_o3")
@@ -906,14 +964,27 @@ def contract_checks(spark, d):
             "is_anomaly": F.when(F.col("pm2_5") > 300, 2).otherwise(F.col("is_anomaly")),
         }
     )
-    frames = {
+    return {
         "daily_country_summary": faulty_summary, "wildfire_risk_index": faulty_risk,
         "daily_country_weather": faulty_weather, "anomaly_alerts": faulty_anomalies,
     }
+
+
+@query
+def contract_checks(spark, d):
+    """All four contracts over Gold tables with planted faults."""
+    frames = _faulty_gold(spark, d)
     parts = [contracts.check_contract(df, contracts.CONTRACTS[name]) for name, df in frames.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def contract_documents(spark, d):
+    """The same by rules as rows, read from the contract documents."""
+    frames = _faulty_gold(spark, d)
+    return contracts.check_rules(frames, contracts.rule_rows(spark, contracts.CONTRACTS))
+
+
 @query
 def contract_missing_partitions(spark, d):
     """Dates of the run log the summary has no partition for."""
@@ -986,3 +1057,35 @@ def _hours(stream):
     return stream.select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("station_id"), *[c.alias(n) for n, c in value.items()]
     )
+
+
+def _in_batches(spark, name, rows, batches, processor):
+    """Rows land in the given batches, and a stream takes each as it comes."""
+    inbox, out, checkpoint = (scratch_path(spark, f"{name}-{n}") for n in ("inbox", "out", "checkpoint"))
+    for landed in batches:
+        rows.filter(landed).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        series.write_judged(stream, processor, out, checkpoint).awaitTermination()
+    return tables.read_table(spark, out)
+
+
+@query
+def stream_heat_events(spark, d):
+    """Hot and cold days from state: most days, the newest ones, then those between that came late."""
+    rows = weather(spark, d).select("station_id", "partition_date", "temp_max_c", "temp_min_c")
+    late = F.col("partition_date").between("2024-01-14", "2024-01-16")
+    newest = F.col("partition_date") > "2024-01-24"
+    days = _in_batches(spark, "heat", rows, (~late & ~newest, newest, late), series.HeatEvents())
+    return days.drop("heat_baseline_c", "cold_baseline_c")
+
+
+@query
+def stream_exceedance_streak(spark, d):
+    """Exceedance streaks from state, of days that land from the newest to the oldest third."""
+    stg = marts.stg_air_quality(air(spark, d))
+    rows = stg.groupBy("observation_date", "station_id", "station_name", "country_code", "source").agg(
+        *[F.max(f).alias(f) for f in S.WHO_FLAGS.values()])
+    date = F.col("observation_date").cast("string")
+    batches = (date > "2024-01-20", date <= "2024-01-10", (date > "2024-01-10") & (date <= "2024-01-20"))
+    days = _in_batches(spark, "exceedance", rows, batches, series.Exceedances())
+    return days.select("observation_date", "station_id", "station_name", "country_code", "source", "current_exceedance_streak_days")

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.operators import anomaly, bronze, contracts, gold, marts, monitoring, quality, silver, sinks
+from meltemi.operators import anomaly, bronze, contracts, gold, incremental, marts, monitoring, quality, silver, sinks
+from meltemi.operators.incremental import FINGERPRINTS
 from meltemi.schemas import BRONZE_AIR, RUN_METRICS, SILVER_AIR, SILVER_WEATHER
+from meltemi.session import scratch_path
 from meltemi.sources import tables
 
 
@@ -33,6 +36,10 @@ class Lake:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    @property
+    def fingerprints(self) -> str:
+        return f"{self.root}/fingerprints"
+
     @property
     def run_metrics(self) -> str:
         return f"{self.root}/run_metrics"
@@ -76,18 +83,62 @@ def ingest_weather_range(
     return sinks.append(days, path, sinks.DAY)
 
 
+@dataclass(frozen=True)
+class Work:
+    """Bronze partitions of a source that Silver has yet to take: their dates, and what to remember of all looked at."""
+
+    days: list[str]
+    seen: DataFrame | None
+
+
+def outdated(spark: SparkSession, lake: Lake, source: str, ddl: str, silver_path: str) -> Work:
+    """Partitions Silver lacks, and those whose rows are no longer the ones it was built from.
+
+    Only partitions whose files are not the ones seen last time are read; one that was landed again
+    with the same rows, in whatever files and order, is not built again.
+    """
+    path = lake.bronze(source)
+    lacking = set(pending(spark, path, silver_path, source))
+    kept = tables.read_or_empty(spark, lake.fingerprints, FINGERPRINTS, F.col("source") == source)
+    known = {r.partition_date: r.listing for r in kept.select("partition_date", "listing").collect()}  # one per date
+    now = {sinks.folder_day(p): listing for p, listing in sinks.listings(spark, path).items()}
+    moved = sorted(d for d, listing in now.items() if d is not None and known.get(d) != listing)
+    if not moved:
+        return Work(sorted(lacking), None)
+    rows = tables.read_days(spark, path, [sinks.folder_name(spark, {"partition_date": d}) for d in moved], ddl).withColumn("source", F.lit(source))
+    listed = spark.createDataFrame([(d, now[d]) for d in moved], "partition_date string, listing string")
+    seen = incremental.fingerprints(rows).join(F.broadcast(listed), "partition_date").select(
+        "n", "fingerprint", "listing", "source", "partition_date")
+    # Written once, as it decides what is built and is kept after that.
+    seen_path = scratch_path(spark, "fingerprints")
+    seen.write.parquet(seen_path)
+    seen = spark.read.schema(seen.schema).parquet(seen_path)
+    changed = {r.partition_date for r in incremental.changed_partitions(seen, kept).collect()}
+    # A partition built before fingerprints were kept counts as built from what is there now.
+    changed -= {d for d in changed if d not in known and d not in lacking}
+    return Work(sorted(lacking | changed), seen)
+
+
+def remember(spark: SparkSession, lake: Lake, work: list[Work]) -> None:
+    """Keep the fingerprints of what was built; called after the build, so that a run that fails builds again."""
+    seen = [w.seen for w in work if w.seen is not None]
+    if seen:
+        sinks.replace_partitions(reduce(DataFrame.unionByName, seen), lake.fingerprints, ("source", "partition_date"))
+
+
 def run_silver_air(spark: SparkSession, lake: Lake, grid: DataFrame, run_ts: str) -> int:
-    """All pending partitions of all sources in one job and one commit."""
+    """All new and changed partitions of all sources in one job and one commit."""
     target = lake.silver("air_quality")
-    frames = {}
+    frames, work = {}, []
     for source in S.AIR_SOURCES:
-        dates = pending(spark, lake.bronze(source), target, source)
-        if dates:
-            folders = [f"partition_date={d}" for d in dates]
+        todo = outdated(spark, lake, source, BRONZE_AIR, target)
+        work.append(todo)
+        if todo.days:
+            folders = [sinks.folder_name(spark, {"partition_date": d}) for d in todo.days]
             frames[source] = tables.read_days(spark, lake.bronze(source), folders, BRONZE_AIR)
-    if not frames:
-        return 0
-    return sinks.append(silver.union_sources(frames, grid, run_ts), target, sinks.DAY_SOURCE).rows
+    rows = sinks.replace_partitions(silver.union_sources(frames, grid, run_ts), target, sinks.DAY_SOURCE).rows if frames else 0
+    remember(spark, lake, work)
+    return rows
 
 
 def run_silver_weather(spark: SparkSession, lake: Lake, run_ts: str, rebuild: bool = False) -> int:
@@ -189,11 +240,13 @@ def run_quality(
     )
 
 
-def run_contracts(spark: SparkSession, lake: Lake, dates: list[str] | None = None) -> DataFrame:
+def run_contracts(
+    spark: SparkSession, lake: Lake, dates: list[str] | None = None, documents: str | None = None
+) -> DataFrame:
     readers = {
         name: (lambda name=name: tables.read_table(spark, lake.gold(name))) for name in contracts.CONTRACTS
     }
-    return contracts.verify_gold(spark, readers, dates)
+    return contracts.verify_gold(spark, readers, dates, documents)
 
 
 def record(

@@ -6,9 +6,14 @@ and flattens them with generators, so one payload file is never held whole in Py
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from meltemi import schemas
 from meltemi import settings as S
 from meltemi.functions.dates import stamp_date
 from meltemi.functions.numeric import to_double
@@ -24,6 +29,64 @@ def parse_json(df: DataFrame, column: str, ddl: str) -> DataFrame:
     return df.select(F.from_json(column, ddl).alias("payload")).select("payload.*")
 
 
+@dataclass(frozen=True)
+class Shape:
+    """What a payload must have to become rows: paths with their kinds, and a block of parallel arrays."""
+
+    ddl: str
+    paths: tuple[tuple[str, str], ...]
+    block: str | None = None
+
+
+# --- fixed values: the parts of each payload its rows cannot do without ------------------
+SHAPES = {
+    "hourly": Shape(schemas.HOURLY_PAYLOAD, (("station_id", "text"), ("hourly", "object"), ("hourly.time", "array")), "hourly"),
+    "dust": Shape(schemas.HOURLY_PAYLOAD, (("station_id", "text"), ("hourly", "object"), ("hourly.time", "array")), "hourly"),
+    "daily": Shape(schemas.DAILY_PAYLOAD, (("station_id", "text"), ("daily", "object"), ("daily.time", "array")), "daily"),
+    "locations": Shape(schemas.LOCATIONS_PAYLOAD, (("queried_country", "text"), ("results", "array"))),
+    "measurements": Shape(schemas.MEASUREMENTS_PAYLOAD, (("sensor_id", "number"), ("results", "array"))),
+    "feed": Shape(schemas.FEED_PAYLOAD, (("target_date", "text"), ("feed", "object"), ("feed.time", "object"), ("feed.time.v", "number"))),
+    "search": Shape(schemas.SEARCH_PAYLOAD, (("country_code", "text"), ("data", "array"))),
+}
+_VARIANT_KINDS = {"text": "STRING", "array": "ARRAY", "object": "OBJECT", "number": "BIGINT|DOUBLE|DECIMAL|FLOAT"}
+
+
+def fault_of(body: Column, shape: Shape) -> Column:
+    """Why a payload cannot become rows; null for one that can.
+
+    Read as VARIANT, so that a part of another kind than it should have is told from one that is missing.
+    """
+    document = F.try_parse_json(body)
+    kind = F.schema_of_variant(document)
+    fault = (
+        F.when(body.isNull() | (F.trim(body) == ""), "empty body")
+        .when(document.isNull(), "not JSON")
+        .when(~kind.startswith("OBJECT"), "not an object")
+    )
+    for path, wanted in shape.paths:
+        found = F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant"))
+        fault = fault.when(found.isNull() | (found == "VOID"), f"no {path}")
+        fault = fault.when(~found.rlike(f"^({_VARIANT_KINDS[wanted]})"), f"{path} is no {wanted}")
+    if shape.block:
+        # Arrays side by side, one value an hour or day: a length of its own leaves no telling which.
+        block = F.from_json(body, shape.ddl)[shape.block]
+        of_block = StructType.fromDDL(shape.ddl)[shape.block].dataType
+        others = [F.size(block[f.name]) for f in of_block.fields if f.name != "time"]
+        unequal = [F.coalesce((n >= 0) & (n != F.size(block["time"])), F.lit(False)) for n in others]
+        fault = fault.when(reduce(lambda a, b: a | b, unequal), "arrays of unequal length")
+    return fault
+
+
+def parse_or_quarantine(df: DataFrame, column: str, shape: Shape) -> tuple[DataFrame, DataFrame]:
+    """Parsed payloads, and beside them those that cannot be: all columns of df and the reason.
+
+    Together they account for every payload.
+    """
+    judged = df.withColumn("reason", fault_of(F.col(column), shape))
+    good = parse_json(judged.filter("reason is null"), column, shape.ddl)
+    return good, judged.filter("reason is not null")
+
+
 def _zip_arrays(block: str, fields: dict[str, str]) -> Column:
     """Parallel arrays of a block to an array of row structs, driven by its time array.
 

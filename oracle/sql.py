@@ -354,6 +354,25 @@ FROM locations, (VALUES (1, 'pm10'), (2, 'pm2_5'), (3, 'ozone'), (5, 'nitrogen_d
 add("src_daily_measurements", """
 SELECT o_custkey AS sensor_id, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice / x AS value
 FROM orders, (VALUES (1000), (2000), (4000)) d(x)""")
+add("src_first_measurement", "SELECT o_custkey AS sensor_id, o_totalprice / 1000 AS value FROM orders")
+add("requested_dates", "SELECT DISTINCT o_custkey % 20 AS list, strftime(o_orderdate, '%Y-%m-%d') AS partition_date FROM orders")
+
+
+def _set_aside(kind: str, table: str, key: str, part: str, wanted: str, block: bool) -> str:
+    """Reasons by the rule the bodies are damaged with."""
+    unequal = "WHEN 5 THEN 'arrays of unequal length'" if block else ""
+    # Of a block whose hours are empty nothing is lengthened, and an absent dust array has no length.
+    keep = {"hourly": "event_type = 'error'", "dust": "event_type = 'view'"}.get(kind, "false")
+    return f"""SELECT '{kind}' AS kind, CASE WHEN {key} % 7 = 5 AND {keep} THEN NULL ELSE CASE {key} % 7 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'empty body'
+      WHEN 2 THEN 'not an object' WHEN 3 THEN 'no {part}' WHEN 4 THEN '{part} is no {wanted}' {unequal} END END AS reason,
+    count(*) AS payloads FROM {table} GROUP BY 2"""
+
+
+add("payload_quarantine", " UNION ALL ".join(_set_aside(*x) for x in (
+    ("hourly", "events", "user_id", "hourly.time", "array", True), ("dust", "events", "user_id", "hourly.time", "array", True),
+    ("daily", "events", "user_id", "daily.time", "array", True), ("locations", "customer", "c_custkey", "results", "array", False),
+    ("measurements", "orders", "o_custkey", "results", "array", False), ("feed", "events", "user_id", "feed", "object", False),
+    ("search", "customer", "c_custkey", "data", "array", False))))
 add("src_station_feed", f"""
 SELECT CAST(user_id AS VARCHAR) AS station_id, 'City ' || (user_id % 25) AS station_name, 'City ' || (user_id % 25) AS city,
   {pick(COUNTRIES, 'user_id')} AS country_code,
@@ -428,6 +447,10 @@ add("incremental_partitions", """
 SELECT DISTINCT source, partition_date FROM bronze_air
 EXCEPT SELECT DISTINCT source, partition_date FROM air
 WHERE partition_date <= CASE source WHEN 'openmeteo' THEN '2024-01-20' WHEN 'openaq' THEN '2024-01-25' ELSE '2024-01-02' END""")
+add("changed_partitions", """
+SELECT DISTINCT source, partition_date FROM bronze_air
+WHERE partition_date >= '2024-01-25' OR (partition_date = '2024-01-02' AND source = 'waqi')
+  OR (source = 'openaq' AND day(CAST(partition_date AS DATE)) % 3 = 0 AND ozone IS NOT NULL)""")
 add("missing_dates", """
 SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS partition_date
 FROM range(DATE '2023-12-28', DATE '2024-02-04', INTERVAL 1 DAY) t(day)
@@ -1111,3 +1134,8 @@ SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(CAST(ts AS DATE) AS VARCHAR)
   {', '.join(f'''{even(f"avg(value) FILTER (event_type = '{e}')", 4)} AS {p}''' for p, e in _STREAM.items())}
 FROM events GROUP BY 1, 2""")
 add("stream_late_readings", ORACLE["stream_daily_means"])
+add("contract_documents", BODY["contract_checks"])
+add("stream_heat_events", BODY["flag_heat_events"])
+add("stream_exceedance_streak", f"""
+SELECT CAST(observation_date AS VARCHAR) AS observation_date, station_id, station_name, country_code, source, current_exceedance_streak_days
+FROM ({BODY["mart_who_exceedance_streak"]})""")

@@ -1,15 +1,21 @@
-"""Late readings, alert intervals, anchors as a table, stored distinct counts, figures by grouping sets."""
+"""Late readings, alert intervals, anchors, stored distinct counts, contracts as data, quarantine, changed partitions."""
 
+import json
 import random
+from importlib import resources
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from meltemi import settings as S
-from meltemi.operators import distincts, grid, intervals, monitoring, sinks
+from meltemi.functions import dates
+from meltemi.operators import contracts, distincts, gold, grid, incremental, intervals, monitoring, sinks
 from meltemi.plans import catalog, report
-from meltemi.sources import tables
-from meltemi.streaming import daily_means
+from meltemi.plans import lake as jobs
+from meltemi.schemas import BRONZE_AIR
+from meltemi.sources import landing, payloads, tables
+from meltemi.streaming import daily_means, series
 from tests.conftest import SMALL, rows_of
 
 # --- late readings --------------------------------------------------------------------
@@ -242,3 +248,161 @@ def test_report_figures_of_empty_tables(spark):
     row = report.report_kpis(*frames).first()
     assert row.summary_rows == row.risk_rows == row.weather_rows == row.under_heat_alert == row.stations == row.dates == 0
     assert row.season is None and row.hottest_country is None and row.country_list == ""
+
+
+# --- contracts as data ----------------------------------------------------------------
+def test_a_changed_document_changes_the_outcome(spark, frame, tmp_path):
+    risk = frame("partition_date string, source string, station_id string, risk_index double, risk_level string",
+                 [("d", "openmeteo", "s", 80.0, "high"), ("d", "openmeteo", "t", None, "extreme")])
+    text = resources.files("meltemi").joinpath("contracts/wildfire_risk_index.json").read_text()
+
+    def outcome(changed):
+        (tmp_path / "docs").mkdir(exist_ok=True)
+        (tmp_path / "docs" / "risk.json").write_text(changed)
+        read = contracts.read_documents(spark, str(tmp_path / "docs"))
+        by_rules = contracts.check_rules({"wildfire_risk_index": risk}, contracts.rule_rows(spark, read)).filter("not passed").drop("passed")
+        one_pass = contracts.verify_gold(spark, {"wildfire_risk_index": lambda: risk}, documents=str(tmp_path / "docs"))
+        assert rows_of(by_rules) == rows_of(one_pass)
+        return [r.reason for r in one_pass.orderBy("check_name").collect()]
+
+    assert outcome(text) == []
+    assert outcome(text.replace('"maximum": 100', '"maximum": 79')) == ["Actual invalid_count(risk_index) was 1, expected = 0"]
+    assert outcome(text.replace('"extreme"', '"severe"')) == ["Actual invalid_count(risk_level) was 1, expected = 0"]
+    assert outcome(text.replace('"mustBeGreaterThan": 0', '"mustBeGreaterThan": 2')) == ["Actual row_count(wildfire_risk_index) was 2, expected > 2"]
+    more = '{"type": "sql", "description": "Scores are whole.", "query": "SELECT COUNT(*) FROM wildfire_risk_index WHERE risk_index < 90", "mustBe": 0}, {"metric"'
+    assert outcome(text.replace('{"metric": "rowCount"', more + ': "rowCount"')) == ["Actual custom_sql(wildfire_risk_index) was 1, expected = 0"]
+    assert outcome(text.replace('"name": "source"', '"name": "origin"')) == ["Required column 'origin' is missing"]
+    with pytest.raises(ValueError, match="no way to check"):
+        outcome(text.replace('"rowCount"', '"freshness"'))
+
+
+def test_yaml_documents_say_the_same(spark, tmp_path):
+    yaml = pytest.importorskip("yaml")
+    text = resources.files("meltemi").joinpath("contracts/anomaly_alerts.json").read_text()
+    (tmp_path / "a.odcs.yaml").write_text(yaml.safe_dump(json.loads(text)))
+    assert contracts.read_documents(spark, str(tmp_path)) == {"anomaly_alerts": contracts.CONTRACTS["anomaly_alerts"]}
+
+
+def test_rules_of_an_empty_table(spark, frame):
+    df = frame("partition_date string, source string, station_id string, risk_index double, risk_level string", [])
+    rules = contracts.rule_rows(spark, {"wildfire_risk_index": contracts.CONTRACTS["wildfire_risk_index"]})
+    failed = contracts.check_rules({"wildfire_risk_index": df}, rules).filter("not passed").collect()
+    assert [r.reason for r in failed] == ["Actual row_count(wildfire_risk_index) was 0, expected > 0"]
+
+
+# --- payloads that do not parse -------------------------------------------------------
+def test_rows_and_quarantine_account_for_every_payload(frame):
+    good = '{"station_id": "a", "hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "pm2_5": [1.5, null]}}'
+    bodies = {
+        None: "empty body", "": "empty body", "  ": "empty body", "{": "not JSON", "nonsense": "not JSON", good[:-2]: "not JSON",
+        "[1]": "not an object", "7": "not an object", "null": "not an object", "{}": "no station_id",
+        '{"station_id": 3, "hourly": {"time": []}}': "station_id is no text", '{"station_id": "a"}': "no hourly",
+        '{"station_id": "a", "hourly": null}': "no hourly", '{"station_id": "a", "hourly": {}}': "no hourly.time",
+        '{"station_id": "a", "hourly": {"time": "now"}}': "hourly.time is no array", good.replace("[1.5, null]", "[1.5]"): "arrays of unequal length",
+        good: None, good.replace("1.5", '"x"'): None, good.replace("}}", "}, \"more\": 1}"): None,
+    }
+    df = frame("id int, body string", list(enumerate(bodies)))
+    rows, aside = payloads.parse_or_quarantine(df, "body", payloads.SHAPES["hourly"])
+    assert {r.id: r.reason for r in aside.collect()} == {k: why for k, why in enumerate(bodies.values()) if why}
+    assert aside.columns == ["id", "body", "reason"] and rows.count() + aside.count() == len(bodies)
+    assert payloads.hourly_rows(rows).count() == 6
+
+
+# --- partitions that changed ----------------------------------------------------------
+def test_fingerprints_see_every_change_and_no_order(frame):
+    ddl = "source string, partition_date string, v int, t string"
+    rows = [("a", "d1", 1, "x"), ("a", "d1", 2, None), ("a", "d1", 2, None), ("a", None, 5, ""), ("b", "d1", 1, "x")]
+    kept = incremental.fingerprints(frame(ddl, rows))
+
+    def changed(new):
+        return rows_of(incremental.changed_partitions(incremental.fingerprints(frame(ddl, new).repartition(3)), kept))
+
+    assert changed(rows[::-1]) == []
+    assert changed(rows[:2] + rows[3:]) == [("a", "d1")]  # one of two equal rows is gone
+    assert changed([*rows[:3], ("a", None, 5, None), rows[4]]) == [("a", None)]  # null is not empty
+    assert changed([("a", "d1", 1, None), ("a", "d1", 2, "x"), *rows[2:]]) == [("a", "d1")]  # values that change places
+    assert changed([*rows, ("c", "d9", 1, "x")]) == [("c", "d9")]
+
+
+def test_a_partition_landed_again_is_built_again_only_if_its_rows_differ(spark, tmp_path):
+    lake = jobs.Lake(str(tmp_path))
+    bronze = landing.bronze_air(spark, SMALL).filter("source = 'openmeteo' and partition_date <= '2024-01-06'").drop("source").withColumn("source", F.lit("openmeteo"))
+    grid_ = landing.model_grid(spark, SMALL)
+    path, target = lake.bronze("openmeteo"), lake.silver("air_quality")
+    sinks.replace_partitions(bronze, path, sinks.DAY)
+    first = jobs.run_silver_air(spark, lake, grid_, "t1")
+    assert 0 < first <= bronze.count() and jobs.run_silver_air(spark, lake, grid_, "t2") == 0
+    of_day = tables.read_table(spark, target).filter("partition_date = '2024-01-04'").count()
+
+    # The same rows in other files: looked at, not built.
+    sinks.replace_partitions(bronze.filter("partition_date = '2024-01-03'").repartition(3), path, sinks.DAY)
+    assert jobs.outdated(spark, lake, "openmeteo", BRONZE_AIR, target).seen.count() == 1
+    assert jobs.run_silver_air(spark, lake, grid_, "t3") == 0
+    assert jobs.outdated(spark, lake, "openmeteo", BRONZE_AIR, target).seen is None
+
+    other = bronze.filter("partition_date = '2024-01-04'").withColumn("ozone", F.lit(123.0))
+    sinks.replace_partitions(other, path, sinks.DAY)
+    assert jobs.run_silver_air(spark, lake, grid_, "t4") >= of_day > 0
+    silver_ = tables.read_table(spark, target)
+    assert {r.partition_date for r in silver_.filter("silver_ts = 't4'").collect()} == {"2024-01-04"}
+    assert silver_.filter("partition_date = '2024-01-04' and ozone <> 123.0").count() == 0 and silver_.count() >= first
+
+
+def test_a_build_that_fails_is_tried_again(spark, tmp_path, monkeypatch):
+    lake = jobs.Lake(str(tmp_path))
+    bronze = landing.bronze_air(spark, SMALL).filter("partition_date = '2024-01-06'").withColumn("source", F.lit("openmeteo"))
+    sinks.replace_partitions(bronze, lake.bronze("openmeteo"), sinks.DAY)
+    grid_ = landing.model_grid(spark, SMALL)
+    with monkeypatch.context() as m:
+        m.setattr(jobs.silver, "union_sources", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            jobs.run_silver_air(spark, lake, grid_, "t1")
+    assert jobs.run_silver_air(spark, lake, grid_, "t2") > 0 and jobs.run_silver_air(spark, lake, grid_, "t3") == 0
+
+
+def test_date_lists_of_a_column(frame):
+    df = frame("raw string", [("2026-06-04 2026-06-05,2026-06-04",), (None,), (" , ",)])
+    assert [r.d for r in df.select(dates.date_list(F.col("raw")).alias("d")).collect()] == [["2026-06-04", "2026-06-05"], [], []]
+    with pytest.raises(Exception, match="2026-13-01"):
+        frame("raw string", [("2026-13-01",)]).select(dates.date_list(F.col("raw"))).collect()
+
+
+# --- series from state ----------------------------------------------------------------
+def station_days(seed, stations, days):
+    rng = random.Random(seed)
+    value = lambda a, b: None if rng.random() < 0.1 else rng.uniform(a, b)
+    return [(f"s{k}", f"2023-{1 + d // 28:02d}-{1 + d % 28:02d}", value(20, 45), value(-10, 12)) for k in range(stations) for d in range(days)]
+
+
+WEATHER = "station_id string, partition_date string, temp_max_c double, temp_min_c double"
+JUDGED = ["station_id", "partition_date", "temp_max_c", "temp_min_c", "is_hot_day", "is_cold_day", "heat_streak_days", "cold_streak_days"]
+
+
+def test_day_by_day_equals_the_batch_and_a_late_day_corrects_all_that_follow(spark, frame, tmp_path):
+    rows = station_days(3, 3, 80)
+    late = [r for r in rows if r[1] == "2023-01-20"]
+    again = [(s, d, None if v is None else v + 30, w) for s, d, v, w in rows if d == "2023-02-10"]
+    parts = [[r for r in rows if r[1] < "2023-03-01" and r not in late], [r for r in rows if r[1] == "2023-03-01"],
+             [r for r in rows if r[1] > "2023-03-01"], late, again, [("new", "2023-01-05", 50.0, -20.0), (None, "2023-01-05", 1.0, 1.0)]]
+    seen = {}
+    for n, part in enumerate(parts):
+        for s, d, v, w in part:
+            if s is not None:
+                seen[s, d] = (s, d, v, w)
+        frame(WEATHER, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(WEATHER).parquet(str(tmp_path / "in"))
+        series.write_judged(stream, series.HeatEvents(), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+        if n in (0, 3, 5):
+            got = tables.read_table(spark, str(tmp_path / "out"))
+            assert rows_of(got, *JUDGED) == rows_of(gold.flag_heat_events(frame(WEATHER, list(seen.values()))), *JUDGED)
+            bars = gold.flag_heat_events(frame(WEATHER, list(seen.values())))
+            close = got.alias("g").join(bars.alias("b"), ["station_id", "partition_date"]).filter("abs(g.heat_baseline_c - b.heat_baseline_c) > 1e-9")
+            assert close.count() == 0
+
+
+def test_interpolated_quantiles():
+    for n in (1, 2, 5, 10, 30):
+        values = [random.Random(n).uniform(-5, 5) for _ in range(n)]
+        for q in (0.0, 0.1, 0.5, 0.9, 1.0):
+            assert abs(series.quantile([*values, None], q, 1) - float(np.quantile(values, q))) < 1e-12
+    assert series.quantile([1.0, None], 0.5, 2) is None
