@@ -57,7 +57,7 @@ def established_rows(features: DataFrame) -> DataFrame:
 def feature_medians(features: DataFrame) -> DataFrame:
     """Median of each feature as (feature, median): exact, and spread over many tasks."""
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])
-    return group_quantiles(features.select(F.inline(pairs)), ["feature"], "value", 0.5, "median", *VALUE_SPAN)
+    return group_quantiles(features.select(F.inline(pairs)), ["feature"], "value", 0.5, "median", *VALUE_SPAN, few_groups=True)
 
 
 def impute(features: DataFrame) -> DataFrame:
@@ -86,23 +86,40 @@ def draw_trees(
     """Exactly min(sample, n) rows for each tree, without replacement, by tickets drawn from all n rows.
 
     Equal rows are counted first, with map-side partials, so a group of copies is one row. Each
-    copy has a ticket per tree, uniform in [0, 1); the tickets of c copies are drawn as order
-    statistics, smallest first: one minus the k-th is the product of (1 - h_i) ** (1 / (c - i + 1))
-    for i up to k. Of a group, the `sample` smallest are all a tree can take. Only tickets below a
-    bar that about overdraw * sample rows pass leave their task.
+    copy has a ticket per tree, uniform in [0, 1), of which only those below a bar that about
+    overdraw * sample rows pass leave their task. Which trees a group enters is drawn by the gaps
+    between them, which are geometric: one hash says for most rows of a large table that no tree takes
+    them. The tickets of c copies are drawn as order statistics, smallest first: one minus the k-th is
+    the product of (1 - h_i) ** (1 / (c - i + 1)) for i up to k, the first of them given that it is
+    below the bar. Of a group, the `sample` smallest are all a tree can take.
     """
     # xxhash64 of row content, so neither partitioning nor a repeated task changes a draw.
     copies = rows.groupBy(*KEY).agg(F.count("*").alias("_copies"))
     bar = min(1.0, overdraw * sample / max(n, 1))
+    # Logarithm of the chance that all tickets of a group miss one tree's bar.
+    miss = F.lit(math.log1p(-bar) if bar < 1 else -math.inf) * F.col("_copies")
+
+    def trees_passed(turn: Column) -> Column:
+        gap = F.floor(F.log1p(-_uniform(F.lit(seed), F.lit("gap"), *KEY, turn)) / miss)
+        return F.least(gap, F.lit(trees)).cast("int")
+
+    met = copies.withColumn("_first", trees_passed(F.lit(0))).filter(F.col("_first") < trees)
+    start = F.struct(F.col("_first").alias("at"), F.array("_first").alias("trees"))
+
+    def further(held: Column, turn: Column) -> Column:
+        at = held["at"] + 1 + trees_passed(turn)
+        return F.struct(at.alias("at"), F.when(at < trees, F.concat(held["trees"], F.array(at))).otherwise(held["trees"]).alias("trees"))
+
+    later = F.sequence(F.lit(1), F.lit(trees))
+    entered = met.withColumn("tree", F.explode(F.aggregate(later, start, further, lambda held: held["trees"]))).drop("_first")
 
     def step(tree: Column, k: Column) -> Column:
         left = (F.col("_copies") - k + 1).cast("double")
-        return F.pow(1 - _uniform(F.lit(seed), tree, *KEY, k), 1 / left)
+        # The first ticket is below the bar, with the chance -expm1(miss) that one is.
+        under = F.when(k == 1, -F.expm1(miss)).otherwise(1.0)
+        return F.pow(1 - under * _uniform(F.lit(seed), tree, *KEY, k), 1 / left)
 
     first = F.lit(1)
-    entered = copies.withColumn(
-        "tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: 1 - step(t, first) < bar))
-    )
     taken = F.sequence(first, F.least("_copies", F.lit(sample)).cast("int"))
     tickets = F.transform(
         taken, lambda k: 1 - F.aggregate(F.sequence(first, k), F.lit(1.0), lambda held, i: held * step(F.col("tree"), i))
@@ -252,7 +269,7 @@ def anomaly_alerts(
     scored_path = scratch_path(spark, "anomaly-scores")
     score(prepared, model, min(sample, n)).write.parquet(scored_path)
     scored = spark.read.parquet(scored_path)
-    bar = group_quantiles(scored, [], "_score", contamination, "bar", *SCORE_SPAN).scalar()
+    bar = group_quantiles(scored, [], "_score", contamination, "bar", *SCORE_SPAN, few_groups=True).scalar()
     return scored.select(
         *OUTPUT,
         round_even(F.col("_score"), 6).alias("anomaly_score"),

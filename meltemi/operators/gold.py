@@ -65,6 +65,14 @@ def one_per_day(weather: DataFrame) -> DataFrame:
     return weather.groupBy(*keys).agg(F.min(rest).alias("_rest")).select("*", "_rest.*").drop("_rest").select(*weather.columns)
 
 
+def repeated_days(weather: DataFrame) -> DataFrame:
+    """(station_id, partition_date, rows, distinct_rows) of station-days that came more than once."""
+    values = F.struct(*[c for c in weather.columns if c not in ("station_id", "partition_date")])
+    days = weather.groupBy("station_id", "partition_date").agg(
+        F.count("*").alias("rows"), F.countDistinct(F.xxhash64(values, *[F.col(c).isNull() for c in weather.columns])).alias("distinct_rows"))
+    return days.filter("rows > 1")
+
+
 def flag_heat_events(weather: DataFrame) -> DataFrame:
     """Unusually hot or cold station-days against the station's own previous 30 rows.
 

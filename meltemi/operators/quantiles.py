@@ -15,11 +15,13 @@ CELLS = 4096
 
 def group_quantiles(
     df: DataFrame, keys: list[str], value: str, q: float, name: str,
-    low: float, high: float, cells: int = CELLS,
+    low: float, high: float, cells: int = CELLS, few_groups: bool = False,
 ) -> DataFrame:
     """Quantile q of a column per group, null values left out; linear interpolation.
 
-    For a few groups of any size: at most two cells per group are broadcast.
+    Groups may have any size. The one or two cells wanted of each are broadcast where the caller knows
+    that there are few groups (few_groups: one for each of a fixed list of columns, or one in all);
+    else Spark decides by their size.
 
     low and high say where most values lie. They only shape the cells: values beyond them
     fall in the first or last cell and the result stays exact.
@@ -56,7 +58,7 @@ def group_quantiles(
         | F.col("_high_rank").between(F.col("_before"), last)
     ).drop("_in_cell")
 
-    inside = _broadcast_null_safe(counts, wanted, [*ks, "_cell"])
+    inside = _join_null_safe(counts, F.broadcast(wanted) if few_groups else wanted, [*ks, "_cell"])
     upto = Window.partitionBy(*ks, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("_stop", F.col("_before") + F.sum("_n").over(upto)).withColumn(
         "_start", F.col("_stop") - F.col("_n")
@@ -71,8 +73,8 @@ def group_quantiles(
     return out.select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], name)
 
 
-def _broadcast_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on keys where null equals null; the left side's keys are kept."""
     match = [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys]
-    renamed = F.broadcast(right.withColumnsRenamed({k: f"_r{k}" for k in keys}))
+    renamed = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
     return left.join(renamed, match).drop(*[f"_r{k}" for k in keys])

@@ -123,30 +123,29 @@ def top_anomaly_facts(anomalies: DataFrame, weather: DataFrame, newest: str | No
     and its percentile among the day's readings; nothing if the date has no reading.
 
     The date is the summary's newest, so an anomaly table that lags behind gives no row. The
-    reading itself is a take-ordered of one row; the medians are exact and distributed.
+    reading itself is the smallest of one aggregate; the medians are exact and distributed.
     """
     day = anomalies.filter(F.col("partition_date") == newest)
     features = list(S.ANOMALY_FEATURES)
-    top = day.orderBy("anomaly_score", "station_id", "source").limit(1)
+    order, shown = ("anomaly_score", "station_id", "source"), ("partition_date", "station_name", "country_code", "is_anomaly")
+    # The smallest struct is the first row in this order; every row of the day then meets it as one scalar.
+    top = day.agg(F.min(F.struct(*order, *shown, *features))).scalar()
+    against = day.withColumn("_top", top).agg(
+        F.max("_top").alias("top"),
+        F.countDistinct("station_id").alias("stations"),
+        *[round_even(F.avg((F.col(f) < F.col(f"_top.{f}")).cast("int")) * 100, 2).alias(f"percentile_{f}") for f in features],
+    )
+    facts = against.filter("top is not null").select(
+        *[f"top.{c}" for c in ("partition_date", "station_id", "station_name", "country_code", "source", "anomaly_score", "is_anomaly")],
+        *[round_even(f"top.{f}", 1).alias(f) for f in features], "stations", *[f"percentile_{f}" for f in features],
+    )
     pairs = F.array(*[F.struct(F.lit(f).alias("pollutant"), F.col(f).alias("value")) for f in features])
-    medians = group_quantiles(day.select(F.inline(pairs)), ["pollutant"], "value", 0.5, "median", *VALUE_SPAN)
+    medians = group_quantiles(day.select(F.inline(pairs)), ["pollutant"], "value", 0.5, "median", *VALUE_SPAN, few_groups=True)
     median_row = medians.agg(
         *[round_even(F.max(F.when(F.col("pollutant") == f, F.col("median"))), 1).alias(f"median_{f}") for f in features]
     )
-    top_values = top.agg(F.max(F.struct(*features))).scalar()
-    below = day.agg(
-        F.countDistinct("station_id").alias("stations"),
-        *[
-            round_even(F.avg((F.col(f) < top_values[f]).cast("int")) * 100, 2).alias(f"percentile_{f}")
-            for f in features
-        ],
-    )
-    facts = top.select(
-        "partition_date", "station_id", "station_name", "country_code", "source", "anomaly_score", "is_anomaly",
-        *[round_even(f, 1).alias(f) for f in features],
-    )
     today = weather_facts(weather.filter(F.col("partition_date") == newest))
-    return attach(facts.join(today, "country_code", "left"), median_row, below)
+    return attach(facts.join(today, "country_code", "left"), median_row)
 
 
 def spotlight(history: DataFrame, day: str) -> DataFrame:

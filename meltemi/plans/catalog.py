@@ -433,6 +433,14 @@ def flag_heat_events(spark, d):
     )
 
 
+@query
+def repeated_station_days(spark, d):
+    """Station-days of the weather that came more than once, of which the baselines see one."""
+    rows = weather(spark, d)
+    again = rows.filter("substring(station_id, 3, 1) = '7'").withColumn("temp_max_c", F.col("temp_max_c") + 1)
+    return gold.repeated_days(rows.unionByName(again).unionByName(rows.filter("partition_date = '2024-01-09'")))
+
+
 @query
 def daily_country_weather(spark, d):
     return country_weather(spark, d)
@@ -686,7 +694,7 @@ def anomaly_audit(spark, d):
     as stored; a score that rounds to the percentile itself may have either.
     """
     scored = tables.read_table(spark, stored(spark, d, "forest", lambda s, e: anomaly.anomaly_alerts(air(s, e)), sinks.DAY))
-    bar = group_quantiles(scored, [], "anomaly_score", S.CONTAMINATION, "bar", *anomaly.SCORE_SPAN).scalar()
+    bar = group_quantiles(scored, [], "anomaly_score", S.CONTAMINATION, "bar", *anomaly.SCORE_SPAN, few_groups=True).scalar()
     score = F.col("anomaly_score")
     follows = ((F.col("is_anomaly") == 1) == (score < bar)) | (F.abs(score - bar) < 2e-6)
     return scored.select(

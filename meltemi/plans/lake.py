@@ -201,6 +201,12 @@ def run_gold(
     }
 
 
+def repeated_weather(spark: SparkSession, lake: Lake, as_of: str, window_days: int | None = S.WINDOW_DAYS) -> DataFrame:
+    """Station-days of the window that Silver holds more than once; a refresh uses the smallest row of each."""
+    rows = read_window(spark, lake.silver("weather"), as_of, window_days, SILVER_WEATHER)
+    return gold.repeated_days(spark.createDataFrame([], SILVER_WEATHER) if rows is None else rows)
+
+
 def run_marts(spark: SparkSession, lake: Lake, run_ts: str) -> dict[str, sinks.Written]:
     """Rebuild the four marts from all of Silver.
 
@@ -264,3 +270,13 @@ def alerts(spark: SparkSession, lake: Lake, as_of: str) -> DataFrame:
 def alert_history(spark: SparkSession, lake: Lake, as_of: str) -> DataFrame:
     """When each alert began, fired and was resolved."""
     return monitoring.alert_intervals(tables.read_or_empty(spark, lake.run_metrics, RUN_METRICS), as_of)
+
+
+def tidy(spark: SparkSession, lake: Lake, keep: int = 30) -> dict[str, dict[str, int]]:
+    """Drop all but the newest versions of every table that has any, and the folders only those used."""
+    names = ["daily_country_summary", "wildfire_risk_index", "daily_country_weather", "anomaly_alerts"]
+    paths = [
+        *(lake.bronze(s) for s in (*S.AIR_SOURCES, S.WEATHER_SOURCE)), *(lake.silver(n) for n in ("air_quality", "weather")),
+        *(lake.gold(n) for n in names), *(lake.mart(n) for n in marts.MARTS), lake.fingerprints,
+    ]
+    return {p: sinks.clean_up(spark, p, keep) for p in paths}

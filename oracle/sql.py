@@ -1139,3 +1139,8 @@ add("stream_heat_events", BODY["flag_heat_events"])
 add("stream_exceedance_streak", f"""
 SELECT CAST(observation_date AS VARCHAR) AS observation_date, station_id, station_name, country_code, source, current_exceedance_streak_days
 FROM ({BODY["mart_who_exceedance_streak"]})""")
+_TWICE = """SELECT * FROM weather UNION ALL SELECT * REPLACE (temp_max_c + 1 AS temp_max_c) FROM weather WHERE substr(station_id, 3, 1) = '7'
+  UNION ALL SELECT * FROM weather WHERE partition_date = '2024-01-09'"""
+add("repeated_station_days", f"""
+SELECT station_id, partition_date, count(*) AS rows, count(DISTINCT temp_max_c) AS distinct_rows
+FROM ({_TWICE}) GROUP BY 1, 2 HAVING count(*) > 1""")

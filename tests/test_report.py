@@ -3,8 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from meltemi.plans import brief, report, season
-from tests.conftest import rows_of
+from meltemi.plans import brief, catalog, report, season
+from tests.conftest import SMALL, rows_of
 
 COVERAGE = "partition_date string, station_days long"
 
@@ -136,3 +136,8 @@ def test_written_diagnostics_and_brief(spark, frame, tmp_path):
 def test_spotlight_names_the_leader(frame):
     got = brief.spotlight(frame(WEATHER, history()), "2026-08-20").collect()
     assert [(r.country_code, r.focus, r.value) for r in got] == [("TN", "heat", 41.5)]
+
+
+def test_top_anomaly_facts_read_the_day_a_few_times(spark):
+    plan = catalog.REGISTRY["top_anomaly_facts"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 9
