@@ -87,6 +87,23 @@ def _clean() -> None:
             delete(spark, path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of df has it; Spark does not tell capitals apart."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def ddl_of(df: DataFrame, *leave_out: str) -> str:
+    """The columns of df as DDL, but for those left out."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in leave_out)
+
+
 def doc_fold(modulus: int):
     """crc32 of doc_id as text, modulo; null for a null doc_id."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus

@@ -17,6 +17,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meltemi.llm.common import ddl_of, doc_fold, unused
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS, ORDERS = 1 << 14, (1, 2, 3)
@@ -53,8 +55,10 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
     size = 8 * int(np.ceil(np.log2(n)))
     for _ in range(200):
         code = rng.choice([-1, 1], (n, size))
+        # A bit that parts no two languages has nothing to learn: one of them is turned.
+        code[0, np.abs(code.sum(axis=0)) == n] *= -1
         apart = ((code[:, None] != code[None]).sum(axis=2) + size * np.eye(n, dtype=int)).min()
-        if (best is None or apart > best[0]) and (np.abs(code.sum(axis=0)) < n).all():
+        if best is None or apart > best[0]:
             best = (apart, code)
     return best[1]
 
@@ -121,12 +125,14 @@ def fit(docs: DataFrame, rows_per_lang: int = 400, fold: int = 4, held: int = 2)
     Only rows with a lang and a text, whose crc32 of doc_id, as text, modulo `fold` is not `held`. Of
     documents with one doc_id and lang the one with the smallest text teaches.
     """
-    from meltemi.llm.common import doc_fold
-
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (doc_fold(fold) != held))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Repeated keys go before the draw; Spark keeps the first keys of each lang in every task before the shuffle.
+    # Repeated keys go before the draw. Only those below a bar of the hash are ranked, so that a lang with most
+    # of the rows sends a few times rows_per_lang keys to one task, however many tasks there are.
     keys = usable.select("doc_id", "lang").distinct()
+    counts = keys.groupBy("lang").agg(F.count("*").alias("_count"))
+    share = 2.0**32 * 4 * rows_per_lang / F.col("_count")
+    keys = keys.join(counts, "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit("bar")), F.lit(2**32)) < share).drop("_count")
     picked = keys.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows_per_lang)
     picked = F.broadcast(picked.select("doc_id", "lang"))
     rows = usable.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(picked, ["doc_id", "lang"])
@@ -135,18 +141,18 @@ def fit(docs: DataFrame, rows_per_lang: int = 400, fold: int = 4, held: int = 2)
     return train([bytes(r.text) for r in rows], [r.lang for r in rows])
 
 
-def _predict_batches(shared):
+def _predict_batches(shared, body: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = cloudpickle.loads(shared.value)
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("_lang_text")]
+            texts = [t.as_py() for t in batch.column(body)]
             langs, scores, flags = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
             told = [i for i, t in enumerate(texts) if t and model and any(map(str.isalpha, t.decode("utf-8", "replace")))]
             if told:
                 margins = np.concatenate([model.margins(histogram(texts[i])[None]) for i in told])
                 for i, which, score, near in zip(told, *(x.tolist() for x in model.decode(margins))):
                     langs[i], scores[i], flags[i] = model.langs[which], score, near
-            kept = [c for c in batch.schema.names if c != "_lang_text"]
+            kept = [c for c in batch.schema.names if c != body]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())],
                 names=[*kept, "lang_pred", "score", "ambiguous"])
@@ -162,6 +168,6 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     Other columns are kept, save those named as an output.
     """
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
-    rows = docs.drop("lang_pred", "score", "ambiguous").withColumn("_lang_text", F.col(text).cast("binary"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_lang_text")
-    return rows.mapInArrow(_predict_batches(shared), f"{kinds}, lang_pred string, score double, ambiguous boolean")
+    (body,) = unused(docs, "_text")
+    rows = docs.withColumn(body, F.col(text).cast("binary")).drop("lang_pred", "score", "ambiguous")
+    return rows.mapInArrow(_predict_batches(shared, body), f"{ddl_of(rows, body)}, lang_pred string, score double, ambiguous boolean")

@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meltemi.llm.common import ddl_of, unused
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Text bytes whose suffixes are sorted together; a longer text is sorted alone.
@@ -50,7 +52,8 @@ def longest_repeats(words: np.ndarray) -> np.ndarray:
     start = np.flatnonzero(np.diff(words[line], prepend=words[line[0]] - 1))
     rank = np.empty(n, np.int64)
     rank[line] = np.repeat(start, np.diff([*start, n]))
-    levels, step = [rank], 1
+    # Levels are kept at half the width; n words take about log2 of the longest repeat of them.
+    levels, step = [rank.astype(np.int32)], 1
     size = np.bincount(rank, minlength=n)
     tied = np.flatnonzero(size[rank] > 1)
     while len(tied):
@@ -65,7 +68,7 @@ def longest_repeats(words: np.ndarray) -> np.ndarray:
         part = np.maximum.accumulate(np.where(new_part, at, 0))
         rank = rank.copy()
         rank[own] = base + part - first
-        levels.append(rank)
+        levels.append(rank.astype(np.int32))
         step *= 2
         size = np.bincount(rank[tied], minlength=n)
         tied = tied[size[rank[tied]] > 1]
@@ -127,13 +130,13 @@ def measure(texts: list[bytes], rules: Rules) -> list[tuple]:
     return out
 
 
-def _measure_batches(rules: Rules):
+def _measure_batches(rules: Rules, body: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             group: list[bytes] = []
             size = 0
-            for text in batch.column("_quality_text"):
+            for text in batch.column(body):
                 own = text.as_py() or b""
                 if group and size + len(own) > GROUP:
                     rows += measure(group, rules)
@@ -141,7 +144,7 @@ def _measure_batches(rules: Rules):
                 group.append(own)
                 size += len(own)
             rows += measure(group, rules)
-            kept = [c for c in batch.schema.names if c != "_quality_text"]
+            kept = [c for c in batch.schema.names if c != body]
             columns = list(zip(*rows)) or [()] * 7
             kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -160,9 +163,9 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFr
     columns are kept, save those named as an output.
     """
     names = [c.split()[0] for c in COLUMNS.split(", ")]
-    rows = docs.drop(*names, "base_failed", "kept").withColumn("_quality_text", F.col(text).cast("binary"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_quality_text")
-    out = rows.mapInArrow(_measure_batches(rules), f"{kinds}, {COLUMNS}")
+    (body,) = unused(docs, "_text")
+    rows = docs.withColumn(body, F.col(text).cast("binary")).drop(*names, "base_failed", "kept")
+    out = rows.mapInArrow(_measure_batches(rules, body), f"{ddl_of(rows, body)}, {COLUMNS}")
     failed = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
     fine = (F.col("covered") <= rules.max_covered) & (F.col("longest") <= rules.max_longest)
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & fine)

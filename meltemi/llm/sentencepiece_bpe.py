@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meltemi.llm.common import Recent, worker_state
+from meltemi.llm.common import Recent, unused, worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -266,14 +266,14 @@ def _coder(path: str) -> Coder:
     return state.get(path) or state.setdefault(path, Coder(path))
 
 
-def _encode_batches(path: str, digest: bool):
+def _encode_batches(path: str, digest: bool, body: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         coder = _coder(path)
         for batch in batches:
-            texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in batch.column("_piece_text")]
-            kept = [c for c in batch.schema.names if c != "_piece_text"]
+            texts = [(t.as_py() or b"").decode("utf-8", "replace") for t in batch.column(body)]
+            kept = [c for c in batch.schema.names if c != body]
             columns = [batch.column(c) for c in kept]
             if digest:
                 rows = []
@@ -310,14 +310,16 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     A null or empty text has no ids. Other columns are kept, save `ids`.
     """
-    rows = docs.drop("ids").withColumn("_piece_text", F.col(text).cast("binary"))
-    return rows.mapInArrow(_encode_batches(path, False), _kinds(rows, "_piece_text") + "ids array<int>")
+    (body,) = unused(docs, "_text")
+    rows = docs.withColumn(body, F.col(text).cast("binary")).drop("ids")
+    return rows.mapInArrow(_encode_batches(path, False, body), _kinds(rows, body) + "ids array<int>")
 
 
 def digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_crc32, round_trip): count and CRC of the ids, and whether they decode to the text."""
-    rows = docs.select(key, F.col(text).cast("binary").alias("_piece_text"))
-    return rows.mapInArrow(_encode_batches(path, True), _kinds(rows, "_piece_text") + "n_tokens long, ids_crc32 long, round_trip boolean")
+    (body,) = unused(docs, "_text")
+    rows = docs.select(key, F.col(text).cast("binary").alias(body))
+    return rows.mapInArrow(_encode_batches(path, True, body), _kinds(rows, body) + "n_tokens long, ids_crc32 long, round_trip boolean")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
