@@ -2,9 +2,10 @@
 
 Pieces are dealt into shards of bounded size by a hash of their row; a shard is packed best-fit
 decreasing, then the emptiest sequence gives its pieces away, by moves, one-for-one and two-for-one
-exchanges that each raise the sum of squared fills, until it is empty. Only piece lengths and keys
-are shuffled, never tokens. A shard ends at most a sequence or so above its lower bound, so what
-sharding costs is about one sequence in several thousand, at any input size.
+exchanges that each raise the sum of squared fills, until it is empty. The search ends at the least
+possible number or when no underfull sequence can give any more. The emptiest sequence of every shard
+is then taken apart, and those pieces are packed once more together. Only piece lengths and keys are
+shuffled, never tokens.
 """
 
 from __future__ import annotations
@@ -18,16 +19,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meltemi.llm.common import Recent, Scratch, worker_state
+from meltemi.llm.common import Scratch, ddl_of, unused, worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pieces packed together in one task.
 SHARD = 16384
-#: Sources tried in a row without one running empty before the search ends.
-PATIENCE = 48
-#: Words and pretokens a worker remembers in each of two generations, and text bytes taken at a time.
-WORDS, PRETOKENS, SEGMENT = 250_000, 150_000, 1 << 20
+#: Odd words and pretokens a worker remembers before it starts anew, and text bytes taken at a time.
+WORDS, PRETOKENS, SEGMENT = 200_000, 400_000, 1 << 20
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -39,7 +38,8 @@ class WordIds:
 
     The vocabulary's own normalizer and splitter never reach across ASCII white space, and its
     merges never leave a pretoken; so a text's ids are its words' ids, and a word's its pretokens'.
-    Words of ASCII and Latin-1 letters are split here, all others by the tokenizer's own rules.
+    Texts of ASCII and Latin-1 letters are split into pretokens here. Of any other text the words are
+    taken one by one, and those with other characters split by the tokenizer's own rules.
     """
 
     def __init__(self, path: str):
@@ -55,9 +55,10 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         letters = "A-Za-zÀ-ÖØ-öø-ÿ"
-        self.simple = re.compile(rf"[!-;=?-~{letters}]+").fullmatch
-        self.pretokens = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+").findall
-        self.words, self.parts = Recent(WORDS), Recent(PRETOKENS)
+        self.odd = re.compile(rf"[^!-;=?-~{letters}\t-\r ]").search
+        self.pretokens = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9\t-\r ]+").findall
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
         if not parts:
@@ -70,26 +71,27 @@ class WordIds:
         raw, cuts = ids.tobytes(), (4 * stops).tolist()
         return {p: raw[a:b] for p, a, b in zip(parts, [0, *cuts], cuts)}
 
-    def table(self, words: set[bytes]) -> dict[bytes, bytes]:
-        known, unknown = self.words.take(words)
+    def _known(self, parts: set[str]) -> dict[str, bytes]:
+        """A table that has the ids of these pretokens."""
+        if len(self.parts) > PRETOKENS:
+            self.parts = {}
+        self.parts.update(self._encode_parts(list(parts - self.parts.keys())))
+        return self.parts
+
+    def _learn(self, unknown: set[bytes]) -> None:
+        """Put words into the table of words."""
         split, odd = {}, []
         for w in unknown:
             s = w.decode("utf-8", "replace")
-            if self.simple(s):
-                split[w] = self.pretokens(s.lower())
-            else:
+            if self.odd(s):
                 odd.append((w, s))
-        have, lack = self.parts.take({p for parts in split.values() for p in parts})
-        fresh = self._encode_parts(lack)
-        self.parts.new.update(fresh)
-        have.update(fresh)
-        new = {w: b"".join([have[p] for p in parts]) for w, parts in split.items()}
+            else:
+                split[w] = self.pretokens(s.lower())
+        have = self._known({p for parts in split.values() for p in parts})
+        self.words.update({w: b"".join([have[p] for p in parts]) for w, parts in split.items()})
         if odd:
             codes = self.whole.encode_batch_fast([s for _, s in odd], add_special_tokens=False)
-            new.update({w: np.array(e.ids, "<u4").tobytes() for (w, _), e in zip(odd, codes)})
-        self.words.new.update(new)
-        known.update(new)
-        return known
+            self.words.update({w: np.array(e.ids, "<u4").tobytes() for (w, _), e in zip(odd, codes)})
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text; about SEGMENT bytes of text are split into words at a time."""
@@ -106,10 +108,20 @@ class WordIds:
         if len(texts) == 1 and len(texts[0]) > SEGMENT:
             yield b"".join(x for s in segments(texts[0], SEGMENT) for x in self._group([s]))
             return
-        split = [t.split() for t in texts]
-        known = self.table({w for words in split for w in words})
-        for words in split:
-            yield b"".join([known[w] for w in words])
+        split: list[tuple[bool, list]] = []
+        for t in texts:
+            s = t.decode("utf-8", "replace")
+            odd = self.odd(s) is not None
+            split.append((odd, t.split() if odd else self.pretokens(s.lower())))
+        parts = self._known(set().union(*(x for odd, x in split if not odd)))
+        if len(self.words) > WORDS:
+            self.words = {}
+        unknown = set().union(*(x for odd, x in split if odd)) - self.words.keys()
+        ready = [b"".join(map(parts.__getitem__, x)) if not odd else None for odd, x in split]
+        if unknown:
+            self._learn(unknown)
+        for (_, x), raw in zip(split, ready):
+            yield b"".join(map(self.words.__getitem__, x)) if raw is None else raw
 
 
 def segments(text: bytes, size: int) -> Iterator[bytes]:
@@ -197,9 +209,9 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, used: int, capacity: int
     """
     fill = np.bincount(bins, lengths, minlength=used).astype(np.int64)
     stuck = np.zeros(used, dtype=bool)
-    least, failed = -(-int(fill.sum()) // capacity), 0
+    least = -(-int(fill.sum()) // capacity)
     alive = int((fill > 0).sum())
-    while alive > least and failed < PATIENCE:
+    while alive > least:
         free = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
         if len(free) < 2:
             break
@@ -242,11 +254,10 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, used: int, capacity: int
             take = np.concatenate([lengths[items], np.zeros(len(holes), np.int64)])
             home = np.concatenate([bins[items], holes])
         if fill[source] == 0:
-            alive, failed = alive - 1, 0
+            alive -= 1
             stuck[:] = False
         else:
             stuck[source] = True
-            failed += 1
     return bins
 
 
@@ -259,21 +270,25 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _pack_shard(capacity: int):
+def _pack_shard(capacity: int, row: str, shard: str, last: str):
+    """Packs a shard; `last` marks the pieces of its emptiest sequence."""
     def run(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy().astype(np.int64)
         # One order whatever order the shuffle brought the rows in.
-        order = np.lexsort((table.column("_row").to_numpy(), -lengths))
+        order = np.lexsort((table.column(row).to_numpy(), -lengths))
         lengths = lengths[order]
         bins = pack_lengths(lengths, capacity)
         line = np.argsort(bins, kind="stable")
         ends = np.cumsum(lengths[line])
         first = np.concatenate([[True], np.diff(bins[line]) != 0])
         base = np.maximum.accumulate(np.where(first, ends - lengths[line], 0))
-        shard = table.column("_shard")[0].as_py()
-        placed = table.drop_columns(["_row", "_shard"]).take(pa.array(order[line]))
-        return placed.append_column("sequence_id", pa.array((shard << 32) + bins[line], pa.int64())).append_column(
-            "offset", pa.array(ends - lengths[line] - base, pa.int64()))
+        fill = np.bincount(bins, lengths)
+        emptiest = np.where(fill > 0, fill, capacity + 1).argmin()
+        number = table.column(shard)[0].as_py()
+        placed = table.drop_columns([shard]).take(pa.array(order[line]))
+        for name, value in ((last, bins[line] == emptiest), ("sequence_id", (number << 32) + bins[line]), ("offset", ends - lengths[line] - base)):
+            placed = placed.append_column(name, pa.array(value))
+        return placed
 
     return run
 
@@ -281,17 +296,27 @@ def _pack_shard(capacity: int):
 def pack(pieces: DataFrame, capacity: int = 2048, shard: int = SHARD) -> DataFrame:
     """Every row with sequence_id and offset: rows of one sequence lie gapless from offset 0, at most `capacity` long.
 
-    Needs a `length` of 1 to `capacity`; all other columns are kept, whatever they hold. Repeated
-    rows are packed each on its own. An empty table gives an empty result.
+    Needs a `length` of 1 to `capacity`; all other columns are kept, whatever they hold, save those
+    named as an output. Repeated rows are packed each on its own. An empty table gives an empty result.
     """
     scratch = Scratch(pieces.sparkSession)
-    rows = scratch.write(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    pieces = pieces.drop("sequence_id", "offset")
+    row, dealt, last = unused(pieces, "_row", "_shard", "_last")
+    rows = scratch.write(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    kinds = f"{ddl_of(rows)}, `{last}` boolean, sequence_id long, offset long"
+
+    def packed(of: DataFrame, shards: int, before: int) -> DataFrame:
+        numbered = of.withColumn(dealt, F.pmod(F.xxhash64(row), F.lit(shards)) + before)
+        return numbered.groupBy(dealt).applyInArrow(_pack_shard(capacity, row, dealt, last), kinds)
+
     shards = max(1, -(-rows.count() // shard))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_row")
-    dealt = rows.withColumn("_shard", F.pmod(F.xxhash64("_row"), F.lit(shards)))
-    out = dealt.groupBy("_shard").applyInArrow(_pack_shard(capacity), f"{kinds}, sequence_id long, offset long")
+    out = packed(rows, shards, 0)
+    if shards > 1:
+        out = scratch.write(out, "packed")
+        again = out.filter(last).drop(last, "sequence_id", "offset")
+        out = out.filter(~F.col(last)).unionByName(packed(again, -(-again.count() // shard), shards))
     scratch.later()
-    return out
+    return out.drop(row, last)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -53,6 +53,28 @@ def test_parts_of_a_long_text_pool_as_the_whole(monkeypatch):
             assert np.array_equal(responses.pool([long]), whole)
 
 
+def slow_score(model, text):
+    """Every window of every filter, word by word."""
+    vectors = [sum(model.embedding[f] for f in toxicity.features(w, len(model.embedding))) for w in toxicity.words_of(text)]
+    vectors += [np.zeros(model.embedding.shape[1])] * 3
+    raw = []
+    for w in toxicity.WIDTHS:
+        windows = [sum(vectors[t + j] @ model.filters[w][j] for j in range(w)) for t in range(len(vectors) - 2)]
+        raw += (np.max(windows, axis=0) + model.shift[w]).tolist()
+    logit = sum(max(r, 0.0) * o for r, o in zip(raw, model.out)) + model.bias
+    return 1 / (1 + np.exp(-min(30.0, max(-30.0, model.scale * (logit - model.centre)))))
+
+
+def test_scores_equal_brute_force_whatever_texts_stand_beside():
+    texts = [words(k, 3 + k % 40) + (" awful" if k % 3 == 0 else "") for k in range(120)]
+    model = toxicity.train([t.encode() for t in texts], np.array([int(k % 3 == 0) for k in range(120)]), ["en"] * 120, epochs=3)
+    raw = [t.encode() for t in [*texts[:30], "", "awful", "Awful, AWFUL!", "ünï"]]
+    together = model.score(toxicity.Responses(model).pool(raw))
+    alone = [float(model.score(toxicity.Responses(model).pool([t]))[0]) for t in raw]
+    assert np.allclose(together, alone, rtol=0, atol=1e-12)
+    assert np.allclose(alone, [slow_score(model, t) for t in raw], atol=1e-5)
+
+
 def test_one_text_of_a_repeated_key_reaches_the_driver(spark, monkeypatch):
     hot = next(k for k in range(40) if zlib.crc32(str(k).encode()) % 5 and zlib.crc32(str(k).encode()) % 4 != 2)
     rows = [(k, f"text {k} calm", "en") for k in range(40)] + [(hot, f"copy {k}", "en") for k in range(500)]
@@ -233,11 +255,59 @@ def test_local_search_empties_bins():
         bins = packing.local_search(lengths, first.copy(), used, capacity)
         fill = np.bincount(bins, lengths)
         assert fill.max() <= capacity and len(np.unique(bins)) <= used and len(bins) == n
+        # Every underfull bin was tried: another search finds nothing more.
+        again = packing.local_search(lengths, np.unique(bins, return_inverse=True)[1], len(np.unique(bins)), capacity)
+        assert len(np.unique(again)) == len(np.unique(bins))
     # Best fit decreasing takes three bins here; one exchange makes two of them.
     lengths = np.array([6, 5, 5, 4, 4, 4, 3, 3, 3, 3])
     assert len(np.unique(packing.pack_lengths(lengths, 20))) == 2
 
 
+def test_the_emptiest_sequences_of_all_shards_are_packed_together(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.randint(300, 1200), "x") for k in range(900)]
+    pieces = spark.createDataFrame(rows, "doc_id long, length long, _row string")
+    whole, parts = (packing.pack(pieces, 2048, shard) for shard in (10**6, 30))
+    assert {r._row for r in parts.collect()} == {"x"} and parts.columns == whole.columns
+    used = [len({r.sequence_id for r in p.collect()}) for p in (whole, parts)]
+    alone = packing.pack(pieces.filter("doc_id < 0"), 2048, 30)
+    assert alone.collect() == [] and used[0] <= used[1] <= used[0] + 12
+    assert sorted((r.doc_id, r.length) for r in parts.collect()) == sorted((k, n) for k, n, _ in rows)
+
+
+def slow_language(model, text):
+    """Counts n-grams one by one, then decodes by a plain loop over codewords and bits."""
+    line = b" " + bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in text.lower().encode()) + b" "
+    counts = Counter()
+    for n in langid.ORDERS:
+        for i in range(len(line) - n + 1):
+            gram = n
+            for c in line[i:i + n]:
+                gram = (gram * 257 + c) % 2**32
+            counts[gram * 0x9E3779B1 % 2**32 >> 18] += 1
+    total = sum(counts.values())
+    margins = [sum(k * model.weights[g, b] for g, k in counts.items()) / total + model.bias[b] for b in range(model.code.shape[1])]
+    losses = [sum(np.log1p(np.exp(-m * c)) * t for m, c, t in zip(margins, code, model.trust)) for code in model.code]
+    near = sorted(losses)
+    return model.langs[int(np.argmin(losses))], 1 / sum(np.exp(near[0] - x) for x in losses), near[1] - near[0] < model.margin
+
+
+def test_languages_equal_brute_force(spark):
+    docs = table(spark, SMALL, "documents")
+    model = langid.fit(docs)
+    rows = [("Ünïcödé WORDS, 123 and Straße\n",), ("a",), ("日本語 text",), *((r.text,) for r in docs.select("text").limit(40).collect() if r.text)]
+    got = {r.text: r for r in langid.predict(spark.createDataFrame(rows, "text string"), model).collect()}
+    for (text,) in rows:
+        lang, score, near = slow_language(model, text)
+        assert got[text].lang_pred == lang and abs(got[text].score - score) < 1e-6 and got[text].ambiguous == near
+
+
+def test_every_bit_parts_some_languages():
+    for n in (2, 3, 6, 7, 8, 30):
+        code = langid.codewords(n)
+        assert (np.abs(code.sum(axis=0)) < n).all() and len({tuple(c) for c in code.tolist()}) == n
+
+
 def test_packing_query_is_near_its_bound(spark):
     got = queries.QUERIES["op10_packing"](spark, BIGGER).collect()
     assert assert_gapless(got, 2048) <= 1.01 * sum(r.length for r in got) / 2048 + 1
@@ -303,6 +373,35 @@ def test_salvage(spark, pages, packed, tmp_path):
     assert Counter(data[r.start:r.stop] for r in records) == Counter(p for k, p in enumerate(parts) if k not in (3, 7))
 
 
+def test_sha1_archives_and_folded_headers(spark, tmp_path):
+    import base64
+
+    def made(n, body, digest, fold=b""):
+        http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+        b32 = lambda x: base64.b32encode(hashlib.sha1(x).digest())
+        head = [b"WARC/1.0", b"WARC-Type: response", b"WARC-Record-ID: <urn:page:%d>" % n, b"WARC-Target-URI: http://x/" + fold,
+                b"Content-Type: application/http", b"WARC-Block-Digest: sha1:" + b32(http), b"WARC-Payload-Digest: sha1:" + b32(digest),
+                b"Content-Length: %d" % len(http)]
+        return b"\r\n".join(head) + b"\r\n\r\n" + http + b"\r\n\r\n"
+
+    good = [made(k, b"<p>page %d</p>" % k, b"<p>page %d</p>" % k, b"a\r\n\tb" if k == 2 else b"") for k in range(5)]
+    spoiled = good[1].replace(b"<p>page 1", b"<p>pagf 1")
+    other = made(7, b"<p>one</p>", b"<p>another</p>")
+    data = b"".join([good[0], spoiled, *good[2:], other])
+    (tmp_path / "a.warc").write_bytes(data)
+    for uri in (str(tmp_path / "a.warc"), f"file:{tmp_path}/a.warc", f"file://{tmp_path}/a.warc"):
+        got = sorted(warc.read(spark.createDataFrame([(uri,)], "path string")).collect(), key=lambda r: r.start)
+        assert [r.page_id for r in got if r.gap is None] == [0, 2, 3, 4] and got[2].uri == "http://x/a b"
+        assert {r.gap for r in got if r.gap} == {"wrong block digest", "wrong payload digest"}
+        assert [b"".join(data[r.start:r.stop] for r in got)] == [data]
+
+
+def test_digests_of_all_kinds():
+    assert warc.digest_fits("sha256:" + hashlib.sha256(b"x").hexdigest().upper(), b"x") and warc.digest_fits("", b"x")
+    assert warc.digest_fits("SHA-512:" + hashlib.sha512(b"x").hexdigest(), b"x") and not warc.digest_fits("md5:" + hashlib.md5(b"y").hexdigest(), b"x")
+    assert warc.digest_fits("blake3:whatever", b"x") and not warc.digest_fits("sha1:", b"x")
+
+
 def test_round_trip_raises_on_what_does_not_come_back(spark, pages, monkeypatch):
     read = warc.read
     assert warc.round_trip(spark, pages).count() == pages.count()
