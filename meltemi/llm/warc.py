@@ -68,15 +68,41 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, fi
     return "\r\n".join(head).encode() + BREAK + block + BREAK
 
 
+#: Names that Hadoop has for schemes Arrow knows by others.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs"}
+
+
+def open_system(uri: str):
+    """The file system of a URI and the path in it."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition(":")
+    if scheme == "file":
+        rest = "///" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}" if colon else uri)
+
+
+def digest_fits(said: str, data: bytes) -> bool:
+    """Whether data has the digest said, such as sha1:<Base32> or sha256:<hex>; one of an unknown kind is not checked."""
+    import base64
+    import hashlib
+
+    name, _, value = said.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    raw = hashlib.new(name, data).digest()
+    return value.strip().lower() == raw.hex() or value.strip().upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=")
+
+
 def _write_batches(folder: str, date: str, roll: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        from pyarrow import fs
         from pyspark import TaskContext
 
         task, count = TaskContext.get(), 0
-        system, base = fs.FileSystem.from_uri(folder)
+        system, base = open_system(folder)
         out = path = None
         records = size = 0
         for batch in batches:
@@ -114,8 +140,10 @@ def write(pages: DataFrame, folder: str, least: int = 100, date: str = "1970-01-
     """
     spark = pages.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
-    uri = folder if ":" in folder else f"file://{folder}"
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop)
+    # A path without a scheme lies in the cluster's default file system, not on an executor's own disk.
+    uri = str(system.makeQualified(hadoop).toString())
     return typed(pages, least).mapInArrow(_write_batches(uri, date, roll, level), MANIFEST)
 
 
@@ -130,7 +158,14 @@ def _fields(head: bytes) -> dict[str, str]:
     if not lines[0].startswith(VERSION.decode()):
         raise Damaged("no version line")
     fields = {}
+    unfolded: list[str] = []
     for line in lines[1:]:
+        if line[:1] in (" ", "\t") and unfolded:
+            # A folded line goes on with the field before it.
+            unfolded[-1] += " " + line.strip()
+        else:
+            unfolded.append(line)
+    for line in unfolded:
         name, colon, value = line.partition(":")
         if not colon:
             raise Damaged("bad header line")
@@ -144,8 +179,6 @@ def _fields(head: bytes) -> dict[str, str]:
 
 def check(data: bytes) -> tuple[dict[str, str], bytes]:
     """Fields and block of the bytes of one whole record; Damaged if any check fails."""
-    import hashlib
-
     head, found, rest = data.partition(BREAK)
     if not found:
         raise Damaged("header not ended")
@@ -157,7 +190,7 @@ def check(data: bytes) -> tuple[dict[str, str], bytes]:
     if rest[int(length):] != BREAK or len(block) != int(length):
         raise Damaged("wrong content length")
     said = fields.get("warc-block-digest", "")
-    if said.startswith("sha256:") and said[7:] != hashlib.sha256(block).hexdigest():
+    if not digest_fits(said, block):
         raise Damaged("wrong block digest")
     return fields, block
 
@@ -266,27 +299,28 @@ def described(fields: dict[str, str], block: bytes) -> tuple:
     import hashlib
 
     kind = fields.get("warc-type", "")
-    payload = block.partition(BREAK)[2] if fields.get("content-type", "").startswith("application/http") else block
+    head, payload = b"", block
+    if fields.get("content-type", "").startswith("application/http"):
+        head, _, payload = block.partition(BREAK)
     said, length = fields.get("warc-payload-digest", ""), fields.get("x-payload-length", "")
     digest, size = hashlib.sha256(payload).hexdigest(), len(payload)
     if kind == "revisit":
         digest, size = said.removeprefix("sha256:") or None, int(length) if length.isdigit() else None
-    elif said.startswith("sha256:") and said[7:] != digest:
+    elif b"transfer-encoding:" not in head.lower() and not digest_fits(said, payload):
+        # Archives differ in what they take the digest of where a transfer encoding lies over the payload.
         raise Damaged("wrong payload digest")
     return kind, _number(fields.get("warc-record-id")), _number(fields.get("warc-refers-to")), fields.get("warc-target-uri"), digest, size, payload
 
 
 def _read_batches(payloads: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         schema = pa.schema([
             ("path", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("gap", pa.string()), ("record_type", pa.string()),
             ("page_id", pa.int64()), ("refers_to", pa.int64()), ("uri", pa.string()), ("payload_digest", pa.string()),
             ("payload_bytes", pa.int64()), ("payload", pa.binary())])
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                system, name = fs.FileSystem.from_uri(path)
+                system, name = open_system(path)
                 rows, held = [], 0
                 with system.open_input_file(name) as file:
                     for start, stop, gap, fields, block in Archive(file, file.size()):
