@@ -171,6 +171,45 @@ def test_runs_are_compacted_by_level(spark):
         runs.add(line_dedup.line_hashes(docs))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert runs.common().count() == 2
+    runs.drop()
+    assert runs.common().count() == 0
+
+
+def test_batches_meet_the_runs_as_they_lie(spark):
+    """One shuffle deals a batch, whatever the number of runs; runs are merged without any, and are read as sorted."""
+    runs = line_dedup.LineRuns(spark, 3, fan_out=9)
+    docs = spark.createDataFrame([(f"line {k}\nline {k % 7}",) for k in range(60)], "text string")
+    for _ in range(3):
+        runs.add(line_dedup.line_hashes(docs))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    batch = plan(runs.unsettled(line_dedup.line_hashes(docs)))
+    assert batch.count("Exchange hashpartitioning") == 1 and batch.count("SortMergeJoin") == 3 and "Broadcast" not in batch
+    assert batch.count("Sort [") == 1  # of the batch; the runs are sorted
+    assert "Exchange" not in plan(runs.counts())
+    held = Counter(x for k in range(60) for x in {f"line {k}", f"line {k % 7}"})
+    # A line that one run has often enough is not counted again.
+    assert sorted(r.n_docs for r in runs.counts().collect()) == sorted(n if n >= 3 else 3 * n for n in held.values())
+    runs.drop()
+
+
+@pytest.mark.parametrize("low, high, least", [(0.93, 0.94, 0.93), (0.94, 0.95, 0.96), (0.95, 0.99, 0.985)])
+def test_recall_of_embedding_links_by_cosine(spark, low, high, least):
+    """Pairs planted at a cosine of low to high are found with the chance the hashing gives; none below 0.93 is linked."""
+    rng = np.random.default_rng(17)
+    rows, n = [], 1500
+    for k in range(n):
+        a, b = rng.normal(size=(2, 64))
+        a /= np.linalg.norm(a)
+        b -= (b @ a) * a
+        b /= np.linalg.norm(b)
+        c = rng.uniform(low, high)
+        rows += [(2 * k, a.tolist(), k), (2 * k + 1, (c * a + np.sqrt(1 - c * c) * b).tolist(), k)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    found = sum(r.n_links for r in got) / 2
+    assert least * n <= found <= n and all(r.component_id in (r.vec_id, r.vec_id - 1) for r in got)
 
 
 def slow_suffixes(rows, depth):
