@@ -1,7 +1,8 @@
 """Repeated byte strings by blockwise suffix sorting with a difference cover.
 
 A byte is removed if a string of `depth` bytes that covers it also starts somewhere else. That asks
-which suffixes agree on their first `depth` bytes, so suffixes are sorted only that far:
+which suffixes agree on their first `depth` bytes, so suffixes are sorted only that far. The same goes
+for words in the place of bytes, with suffixes that start at words, which finds shorter passages:
 
 1. Cover sample. Positions whose residue modulo v is in a difference cover are ranked by their first
    depth - v + 1 bytes. Whatever the offsets of two equal strings, some shift below v puts both on
@@ -29,7 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meltemi.llm.common import Scratch
+from meltemi.llm.common import Scratch, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,7 +40,7 @@ BLOCK, SEGMENT = 2 << 20, 1 << 20
 BUCKETS = 1
 PACKED = "bucket int, block long, ranks binary"
 BLOCKS = "block long, keys array<string>, texts array<binary>, copies array<long>"
-RESULT = "key string, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+RESULT = "name string, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 
 def difference_cover(depth: int) -> tuple[np.ndarray, int]:
@@ -53,7 +54,10 @@ def difference_cover(depth: int) -> tuple[np.ndarray, int]:
 
 
 class Windows:
-    """Fingerprints of all n-byte strings of a text: differences of running sums, shifted to a common power."""
+    """Fingerprints of all n-byte strings of a text: differences of running sums, shifted to a common power.
+
+    A text may also be an array of 64-bit word fingerprints, whose strings are of n words.
+    """
 
     def __init__(self, n: int, seed: int):
         rng = np.random.default_rng([seed, 77])
@@ -73,7 +77,8 @@ class Windows:
         for lo in range(0, last, SEGMENT):
             part = text[lo:lo + SEGMENT + self.n - 1]
             total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(self.value[part] * self.power[:len(part)], out=total[1:])
+            own = self.value[part] if part.dtype == np.uint8 else part
+            np.cumsum(own * self.power[:len(part)], out=total[1:])
             if places is None:
                 own = slice(0, len(part) - self.n + 1)
                 sums = total[self.n:] - total[:-self.n]
@@ -85,6 +90,35 @@ class Windows:
         return np.concatenate(out)
 
 
+class Words:
+    """Words of a text, which are runs without ASCII white space: their fingerprints, and where each begins and ends."""
+
+    def __init__(self, seed: int = 4):
+        self.bytes = Windows(1, seed)
+
+    def of(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        space = (text == 32) | ((text >= 9) & (text <= 13))
+        edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+        starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        out, lo = [np.zeros(0, np.uint64)], 0
+        while lo < len(starts):
+            # Words whose bytes fit the table of powers together; a longer one is hashed by parts of itself.
+            hi = max(lo + 1, int(np.searchsorted(stops, starts[lo] + SEGMENT, "right")))
+            a, b = int(starts[lo]), int(stops[hi - 1])
+            if b - a > SEGMENT:
+                import xxhash
+
+                out.append(np.array([xxhash.xxh3_64_intdigest(text[a:b].tobytes())], np.uint64) | np.uint64(1))
+            else:
+                part = text[a:b]
+                total = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(self.bytes.value[part] * self.bytes.power[:len(part)], out=total[1:])
+                s, e = starts[lo:hi] - a, stops[lo:hi] - a
+                out.append(_mix((total[e] - total[s]) * self.bytes.inverse[s]) | np.uint64(1))
+            lo = hi
+        return np.concatenate(out), starts, stops
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -121,12 +155,25 @@ class Ranks:
 class Sorter:
     """What both passes over the blocks need: cover, fingerprints, buckets."""
 
-    def __init__(self, depth: int, buckets: int):
+    def __init__(self, depth: int, buckets: int, words: bool = False):
         self.depth, self.buckets = depth, np.uint64(buckets)
+        self.words = Words() if words else None
         self.cover, self.modulus = difference_cover(depth)
         self.head = Windows(depth - self.modulus + 1, 1)
         self.full, self.other = Windows(depth, 2), Windows(depth, 3)
 
+    def symbols(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """What suffixes are made of: bytes or words."""
+        return [self.words.of(t)[0] for t in texts] if self.words else texts
+
+    def span(self, text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+        """Bytes that go with the symbols that go; with a word goes the white space behind it."""
+        if not self.words:
+            return gone
+        _, starts, stops = self.words.of(text)
+        ends = np.append(starts[1:], len(text)) if len(starts) else starts
+        return union(starts[gone], ends[gone], len(text))
+
     def sample(self, texts: list[np.ndarray]) -> tuple[list[np.ndarray], Ranks]:
         places, values = [], [np.zeros(0, np.uint64)]
         for text in texts:
@@ -149,7 +196,7 @@ class Sorter:
             done += len(at)
             near = np.zeros(0, np.int64)
             if len(own):
-                near = np.flatnonzero(union(np.maximum(0, own - self.modulus + 1), own + 1, len(text) - self.depth + 1))
+                near = np.flatnonzero(union(np.maximum(0, own - self.modulus + 1), own + 1, max(0, len(text) - self.depth + 1)))
                 keys.append(self.full.at(text, near))
                 buckets.append(self.other.at(text, near))
             out.append(near)
@@ -198,13 +245,13 @@ def _bits(told: pa.Scalar) -> dict[int, bytes]:
     return {x["bucket"]: x["bits"] for x in told.as_py()} if told.is_valid else {}
 
 
-def _pack_batches(depth: int, buckets: int, second: bool):
+def _pack_batches(depth: int, buckets: int, words: bool, second: bool):
     """Ranks of the cover sample of each block or, once its ties are known, keys of the suffixes near them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sorter = Sorter(depth, buckets)
+        sorter = Sorter(depth, buckets, words)
         for batch in batches:
             for i in range(batch.num_rows):
-                texts = _arrays(batch.column("texts")[i])
+                texts = sorter.symbols(_arrays(batch.column("texts")[i]))
                 ranks = (sorter.suffixes(texts, _bits(batch.column("told")[i])) if second else sorter.sample(texts))[1]
                 rows = [(b, (own if second else own.astype(np.uint32)).tobytes()) for b, own in ranks.packed()]
                 if rows:
@@ -239,30 +286,31 @@ def _sort_bucket(kind: str):
     return run
 
 
-def _cut_batches(depth: int, buckets: int, kept: bool):
+def _cut_batches(depth: int, buckets: int, words: bool, kept: bool):
     """Rows of RESULT for the texts that lose something."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sorter = Sorter(depth, buckets)
+        sorter = Sorter(depth, buckets, words)
         for batch in batches:
             for i in range(batch.num_rows):
                 texts = _arrays(batch.column("texts")[i])
-                places, ranks = sorter.suffixes(texts, _bits(batch.column("told")[i]))
+                symbols = sorter.symbols(texts)
+                places, ranks = sorter.suffixes(symbols, _bits(batch.column("told")[i]))
                 tied, done, rows = ranks.tied(_bits(batch.column("repeats")[i])), 0, []
-                for key, text, copies, at in zip(batch.column("keys")[i].as_py(), texts, batch.column("copies")[i].as_py(), places):
-                    own = at[tied[done:done + len(at)]]
+                for key, text, own, copies, at in zip(batch.column("keys")[i].as_py(), texts, symbols, batch.column("copies")[i].as_py(), places):
+                    repeated = at[tied[done:done + len(at)]]
                     done += len(at)
-                    if copies > 1:
-                        gone = np.ones(len(text), bool)
-                    elif len(own):
-                        gone = union(own, own + depth, len(text))
+                    if copies > 1 and len(own) >= depth:
+                        gone = np.ones(len(own), bool)
+                    elif len(repeated):
+                        gone = union(repeated, repeated + depth, len(own))
                     else:
                         continue
-                    rows.append((key, *_cut(text, gone, kept)))
+                    rows.append((key, *_cut(text, sorter.span(text, gone), kept)))
                 if rows:
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                        names=["key", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                        names=["name", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     return run
 
@@ -308,7 +356,7 @@ class _Blocks:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts: bool = True, unit: str = "bytes") -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (null unless `texts`).
 
     Texts are taken as UTF-8 bytes, a null one as empty; no string reaches from one row into another.
@@ -318,27 +366,40 @@ def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts:
     Equal texts, repeated rows too, of `depth` bytes or more go entirely. Other columns are kept, save
     those named as an output. An empty table gives an empty result.
 
+    With unit="words", strings are of `depth` words (runs without ASCII white space), whatever stands
+    between them; each word covered by one that also starts at another place is removed, with the white
+    space behind it. Counts stay in bytes.
+
     A task holds one block of texts, or one longer text, and one bucket.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    named = docs.withColumns({"_key": F.sha2(body, 256), "_body": body, "n_bytes": F.octet_length(body).cast("long")})
-    long = named.filter(F.col("n_bytes") >= depth).groupBy("_key").agg(F.first("_body").alias("text"), F.count("*").alias("copies"))
-    blocks = _Blocks(spark, long.withColumnRenamed("_key", "key").mapInArrow(_block_batches, BLOCKS), scratch)
+    if unit not in ("bytes", "words"):
+        raise ValueError("unit is bytes or words")
+    words = unit == "words"
+    # So many words have so many bytes at least.
+    least = 2 * depth - 1 if words else depth
+    long = docs.select(F.sha2(body, 256).alias("key"), body.alias("text")).filter(F.octet_length("text") >= least).groupBy("key").agg(
+        F.first("text").alias("text"), F.count("*").alias("copies"))
+    blocks = _Blocks(spark, long.mapInArrow(_block_batches, BLOCKS), scratch)
     tie = "block long, bucket int, bits binary"
-    sample = spark.table(blocks.name).select("block", "texts").mapInArrow(_pack_batches(depth, buckets, False), PACKED)
+    sample = spark.table(blocks.name).select("block", "texts").mapInArrow(_pack_batches(depth, buckets, words, False), PACKED)
     told = scratch.write(sample.groupBy("bucket").applyInArrow(_sort_bucket("<u4"), tie), "sample-ties")
-    near = blocks.told(told=told).select("block", "texts", "told").mapInArrow(_pack_batches(depth, buckets, True), PACKED)
+    near = blocks.told(told=told).select("block", "texts", "told").mapInArrow(_pack_batches(depth, buckets, words, True), PACKED)
     repeats = scratch.write(near.groupBy("bucket").applyInArrow(_sort_bucket("<u8"), tie), "suffix-ties")
-    cut = blocks.told(told=told, repeats=repeats).mapInArrow(_cut_batches(depth, buckets, texts), RESULT)
+    cut = blocks.told(told=told, repeats=repeats).mapInArrow(_cut_batches(depth, buckets, words, texts), RESULT)
     cut = scratch.write(cut, "cut")
     blocks.drop()
-    outputs = ["n_removed", "n_spans", "kept_sha256", "kept_text"]
-    rows = named.drop("_body", *outputs)
-    out = rows.join(cut, rows["_key"] == cut["key"], "left").withColumns({
-        "n_removed": F.coalesce("n_removed", F.lit(0)), "n_spans": F.coalesce("n_spans", F.lit(0)),
-        "kept_text": F.when(F.col("key").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.col("kept_text")) if texts else F.lit(None).cast("string"),
-        "kept_sha256": F.coalesce("kept_sha256", "_key")})
+    outputs = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in outputs]
+    name, whole = unused(docs, "_name", "_whole")
+    rows = docs.select(*kept, F.sha2(body, 256).alias(name), F.octet_length(body).cast("long").alias("n_bytes"),
+                       *([F.coalesce(F.col(text), F.lit("")).alias(whole)] if texts else []))
+    found = cut.select(F.col("name").alias(name), *outputs[1:])
+    untouched = F.when(F.col("n_removed").isNull(), F.col(whole)).otherwise(F.col("kept_text")) if texts else F.lit(None).cast("string")
+    out = rows.join(found, name, "left").withColumns({
+        "kept_text": untouched, "n_removed": F.coalesce("n_removed", F.lit(0)), "n_spans": F.coalesce("n_spans", F.lit(0)),
+        "kept_sha256": F.coalesce("kept_sha256", name)})
     scratch.later()
-    return out.drop("_key", "key")
+    return out.drop(name, whole)
