@@ -45,8 +45,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unique_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy of a passage of 400 bytes that stands anywhere else too is removed; every document stays."""
-    return _with_text(suffix_dedup.remove_repeats(docs.select(*COLUMNS), depth=400), "kept_text")
+    """Every copy of a passage of over 50 words that stands anywhere else too is removed.
+
+    A document of which nothing but white space is left goes; one that lost nothing stays, if empty.
+    """
+    cut = suffix_dedup.remove_repeats(docs.select(*COLUMNS), depth=51, unit="words")
+    return _with_text(cut.filter((F.col("n_removed") == 0) | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")), "kept_text")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
