@@ -7,7 +7,6 @@ and flattens them with generators, so one payload file is never held whole in Py
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,40 +50,37 @@ SHAPES = {
 _VARIANT_KINDS = {"text": "STRING", "array": "ARRAY", "object": "OBJECT", "number": "BIGINT|DOUBLE|DECIMAL|FLOAT"}
 
 
-def fault_of(body: Column, shape: Shape) -> Column:
-    """Why a payload cannot become rows; null for one that can.
+def parse_or_quarantine(df: DataFrame, column: str, shape: Shape) -> tuple[DataFrame, DataFrame]:
+    """Parsed payloads, and beside them those that cannot become rows: all columns of df and the reason.
 
-    Read as VARIANT, so that a part of another kind than it should have is told from one that is missing.
+    Together they account for every payload. A body is read as VARIANT once, so that a part of another
+    kind than it should have is told from one that is missing.
     """
-    document = F.try_parse_json(body)
-    kind = F.schema_of_variant(document)
+    body, document = F.col(column), F.col("_document")
+    # Each step is a column of its own: conditions that repeated the parsing would be more code than a stage can hold.
+    read = df.withColumn("_document", F.try_parse_json(body))
+    kinds = {f"_kind{k}": F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant")) for k, (path, _) in enumerate(shape.paths)}
+    read = read.withColumns({"_kind": F.schema_of_variant(document), **kinds})
     fault = (
         F.when(body.isNull() | (F.trim(body) == ""), "empty body")
         .when(document.isNull(), "not JSON")
-        .when(~kind.startswith("OBJECT"), "not an object")
+        .when(~F.col("_kind").startswith("OBJECT"), "not an object")
     )
-    for path, wanted in shape.paths:
-        found = F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant"))
+    for k, (path, wanted) in enumerate(shape.paths):
+        found = F.col(f"_kind{k}")
         fault = fault.when(found.isNull() | (found == "VOID"), f"no {path}")
         fault = fault.when(~found.rlike(f"^({_VARIANT_KINDS[wanted]})"), f"{path} is no {wanted}")
+    used = ["_document", "_kind", *kinds]
     if shape.block:
         # Arrays side by side, one value an hour or day: a length of its own leaves no telling which.
-        block = F.from_json(body, shape.ddl)[shape.block]
         of_block = StructType.fromDDL(shape.ddl)[shape.block].dataType
-        others = [F.size(block[f.name]) for f in of_block.fields if f.name != "time"]
-        unequal = [F.coalesce((n >= 0) & (n != F.size(block["time"])), F.lit(False)) for n in others]
-        fault = fault.when(reduce(lambda a, b: a | b, unequal), "arrays of unequal length")
-    return fault
-
-
-def parse_or_quarantine(df: DataFrame, column: str, shape: Shape) -> tuple[DataFrame, DataFrame]:
-    """Parsed payloads, and beside them those that cannot be: all columns of df and the reason.
-
-    Together they account for every payload.
-    """
-    judged = df.withColumn("reason", fault_of(F.col(column), shape))
-    good = parse_json(judged.filter("reason is null"), column, shape.ddl)
-    return good, judged.filter("reason is not null")
+        read = read.withColumn("_block", F.from_json(body, shape.ddl)[shape.block])
+        sizes = F.array(*[F.size(f"_block.{f.name}") for f in of_block.fields if f.name != "time"])
+        read = read.withColumns({"_sizes": sizes, "_time": F.size("_block.time")})
+        fault = fault.when(F.exists("_sizes", lambda n: (n >= 0) & (n != F.col("_time"))), "arrays of unequal length")
+        used += ["_block", "_sizes", "_time"]
+    judged = read.withColumn("reason", fault).drop(*used)
+    return parse_json(judged.filter("reason is null"), column, shape.ddl), judged.filter("reason is not null")
 
 
 def _zip_arrays(block: str, fields: dict[str, str]) -> Column:
