@@ -28,6 +28,11 @@ def parse_json(df: DataFrame, column: str, ddl: str) -> DataFrame:
     return df.select(F.from_json(column, ddl).alias("payload")).select("payload.*")
 
 
+def _once(struct: Column) -> Column:
+    """The fields of a struct as columns, evaluated once a row however often they are read."""
+    return F.inline(F.array(struct))
+
+
 @dataclass(frozen=True)
 class Shape:
     """What a payload must have to become rows: paths with their kinds, and a block of parallel arrays."""
@@ -57,10 +62,10 @@ def parse_or_quarantine(df: DataFrame, column: str, shape: Shape) -> tuple[DataF
     kind than it should have is told from one that is missing.
     """
     body, document = F.col(column), F.col("_document")
-    # Each step is a column of its own: conditions that repeated the parsing would be more code than a stage can hold.
-    read = df.withColumn("_document", F.try_parse_json(body))
+    # Each step is a generator: a filter on the reason that reached below would parse the body once for each condition.
+    read = df.select("*", _once(F.struct(F.try_parse_json(body).alias("_document"))))
     kinds = {f"_kind{k}": F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant")) for k, (path, _) in enumerate(shape.paths)}
-    read = read.withColumns({"_kind": F.schema_of_variant(document), **kinds})
+    read = read.select("*", _once(F.struct(F.schema_of_variant(document).alias("_kind"), *[kind.alias(name) for name, kind in kinds.items()])))
     fault = (
         F.when(body.isNull() | (F.trim(body) == ""), "empty body")
         .when(document.isNull(), "not JSON")
@@ -74,13 +79,16 @@ def parse_or_quarantine(df: DataFrame, column: str, shape: Shape) -> tuple[DataF
     if shape.block:
         # Arrays side by side, one value an hour or day: a length of its own leaves no telling which.
         of_block = StructType.fromDDL(shape.ddl)[shape.block].dataType
-        read = read.withColumn("_block", F.from_json(body, shape.ddl)[shape.block])
-        sizes = F.array(*[F.size(f"_block.{f.name}") for f in of_block.fields if f.name != "time"])
-        read = read.withColumns({"_sizes": sizes, "_time": F.size("_block.time")})
+        read = read.select("*", _once(F.struct(F.from_json(body, shape.ddl).alias("_parsed"))))
+        block = f"_parsed.{shape.block}"
+        sizes = F.array(*[F.size(f"{block}.{f.name}") for f in of_block.fields if f.name != "time"])
+        read = read.withColumns({"_sizes": sizes, "_time": F.size(f"{block}.time")})
         fault = fault.when(F.exists("_sizes", lambda n: (n >= 0) & (n != F.col("_time"))), "arrays of unequal length")
-        used += ["_block", "_sizes", "_time"]
-    judged = read.withColumn("reason", fault).drop(*used)
-    return parse_json(judged.filter("reason is null"), column, shape.ddl), judged.filter("reason is not null")
+        used += ["_parsed", "_sizes", "_time"]
+    judged = read.withColumn("reason", fault)
+    good = judged.filter("reason is null")
+    parsed = good.select("_parsed.*") if shape.block else parse_json(good, column, shape.ddl)
+    return parsed, judged.drop(*used).filter("reason is not null")
 
 
 def _zip_arrays(block: str, fields: dict[str, str]) -> Column:

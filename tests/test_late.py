@@ -406,3 +406,16 @@ def test_interpolated_quantiles():
         for q in (0.0, 0.1, 0.5, 0.9, 1.0):
             assert abs(series.quantile([*values, None], q, 1) - float(np.quantile(values, q))) < 1e-12
     assert series.quantile([1.0, None], 0.5, 2) is None
+
+
+# --- payloads are parsed once -----------------------------------------------------------
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_body_is_parsed_once_however_many_conditions_judge_it(frame):
+    df = frame("id int, body string", [(1, "{")])
+    for kind, shape in payloads.SHAPES.items():
+        rows, aside = payloads.parse_or_quarantine(df, "body", shape)
+        assert [_plan(x).count("parseJson(") for x in (rows, aside)] == [1, 1], kind
+        assert _plan(rows).count("from_json(") == 1 and _plan(aside).count("from_json(") == (1 if shape.block else 0), kind
