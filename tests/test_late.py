@@ -419,3 +419,11 @@ def test_a_body_is_parsed_once_however_many_conditions_judge_it(frame):
         rows, aside = payloads.parse_or_quarantine(df, "body", shape)
         assert [_plan(x).count("parseJson(") for x in (rows, aside)] == [1, 1], kind
         assert _plan(rows).count("from_json(") == 1 and _plan(aside).count("from_json(") == (1 if shape.block else 0), kind
+
+
+def test_filters_on_payload_fields_do_not_parse_again(frame):
+    bodies = frame("body string", [('{"queried_country": "FR", "results": [{"id": 1, "country": {"code": "FR"}, "sensors": [{"id": 5, "parameter": {"id": 2}}]}]}',), (None,), ("{",), ("{}",)])
+    parsed = payloads.parse_json(bodies, "body", payloads.schemas.LOCATIONS_PAYLOAD)
+    sensors = payloads.sensor_rows(payloads.location_rows(parsed)).select("station_id", "sensor_id", "parameter")
+    assert _plan(sensors).count("from_json(") == 1 and parsed.count() == 4
+    assert rows_of(sensors) == [("1", 5, "pm2_5")]
