@@ -162,6 +162,15 @@ def weather_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- payload documents, one per source row --------------------------------------------
+def _subjects(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table that payloads are made of, dealt over all tasks.
+
+    A row is a few bytes in its file and a document that takes a hundred times as long to build and
+    to parse: the one split that a file of megabytes gives would be the whole job in one task.
+    """
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _absent_unless(kind: Column, events: tuple[str, ...], values: list[Column]) -> Column:
     return F.when(kind.isin(*events), F.array(*[v.cast("double") for v in values]))
 
@@ -180,7 +189,7 @@ def hourly_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _absent_unless(kind, ("view", "click", "purchase", "signup"), [v * 2, none, none]).alias("ozone"),
     )
     document = F.struct(F.col("user_id").cast("string").alias("station_id"), block.alias("hourly"))
-    return table(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
 
 
 def dust_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +202,7 @@ def dust_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _absent_unless(kind, ("click", "purchase", "signup", "error"), [v, none, v * 2]).alias("dust"),
     )
     document = F.struct(F.col("user_id").cast("string").alias("station_id"), block.alias("hourly"))
-    return table(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
 
 
 def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +224,7 @@ def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _absent_unless(kind, every, [code, none]).alias("weather_code"),
     )
     document = F.struct(F.col("user_id").cast("string").alias("station_id"), block.alias("daily"))
-    return table(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
 
 
 def location_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,7 +255,7 @@ def location_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("queried_country"),
         F.array(place(user, own), place(user + 1000000, F.lit(None).cast("string"))).alias("results"),
     )
-    return table(spark, sf_dir, "customer").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "customer").select(F.to_json(document).alias("body"))
 
 
 def measurement_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +282,7 @@ def measurement_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             result(F.lit(None), stamp, no_text),
         ).alias("results"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "orders").select(F.to_json(document).alias("body"))
 
 
 def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +304,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     target = F.date_add(F.to_date("ts"), (F.col("event_id") % 5 - 2).cast("int"))
     document = F.struct(F.expr(country_of("user_id")).alias("country_code"), target.cast("string").alias("target_date"), feed.alias("feed"))
-    return table(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
 
 
 def search_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +328,7 @@ def search_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             hit(user + 2000000, lat + 5, lon), hit(user % 500, lat, lon),
         ).alias("data"),
     )
-    return table(spark, sf_dir, "customer").select(F.to_json(document).alias("body"))
+    return _subjects(spark, sf_dir, "customer").select(F.to_json(document).alias("body"))
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

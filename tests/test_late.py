@@ -427,3 +427,8 @@ def test_filters_on_payload_fields_do_not_parse_again(frame):
     sensors = payloads.sensor_rows(payloads.location_rows(parsed)).select("station_id", "sensor_id", "parameter")
     assert _plan(sensors).count("from_json(") == 1 and parsed.count() == 4
     assert rows_of(sensors) == [("1", 5, "pm2_5")]
+
+
+def test_payload_rows_are_dealt_over_all_tasks(spark):
+    for landed in (landing.search_payloads, landing.location_payloads, landing.feed_payloads, landing.measurement_payloads):
+        assert landed(spark, SMALL).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
