@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from meltemi import settings as S
 from meltemi.functions.geo import haversine_km
 from meltemi.functions.numeric import round_even, to_double
+from meltemi.session import scratch_path
 
 #: Rows of a cell from which it is split.
 SPLIT_ROWS = 1_000_000
 #: At most so many cells can hold more than this share of all rows, which bounds the list of split cells.
 MOST_SPLIT = 4096
 CELL = ["_x", "_y", "_z"]
+#: Cells for the nearest anchor: how much wider each size is than the one before, how many sizes, and anchors a cell of the first.
+STEP, LEVELS, CROWD = 4, 10, 4
 
 
 def chord(km: float) -> float:
@@ -98,9 +101,40 @@ def nearest_anchor(
 ) -> DataFrame:
     """(key, anchor_id, km): the nearest anchor of the row's country within max_km; ties go to the smaller id.
 
-    Distances are compared at a tenth of a metre. A pair leaves its task only as the best of its key there.
+    Distances are compared at a tenth of a metre. Cells are tried from small to large: an anchor nearer
+    than a cell's edge is among the neighbours of that cell, so a row that finds one is done, and only
+    the others go on to cells four times as wide, up to max_km. The first cells are so small that an
+    anchor shares its own with few others.
     """
-    placed, entered, keys = _sides(rows, anchors, max_km, split_rows)
-    pairs = placed.join(entered, keys).withColumn("km", _km()).filter(F.col("km") <= max_km)
-    best = F.min(F.struct(round_even("km", 4).alias("km"), F.col("_anchor").alias("anchor_id")))
-    return pairs.groupBy(key).agg(best.alias("_best")).select(key, "_best.anchor_id", "_best.km")
+    spots = _stored(anchors.groupBy(F.upper("country_code").alias("country_code"), *[F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")]).agg(
+        F.min(F.struct("anchor_id")).alias("_first")).select("_first.anchor_id", "country_code", "latitude", "longitude"), "anchors")
+    rest, done = rows, None
+    for level in range(_finest(spots, max_km), -1, -1):
+        reach = max_km / STEP ** level
+        placed, entered, keys = _sides(rest, spots, reach, split_rows)
+        near = placed.join(entered, keys, "left").withColumn("km", _km())
+        best = F.min(F.when(F.col("_alat").isNotNull() & (F.col("km") <= max_km), F.struct(round_even("km", 4).alias("km"), F.col("_anchor").alias("anchor_id"))))
+        tried = _stored(near.groupBy(F.col(key), F.col("_country").alias("country_code"), F.col("_lat").alias("latitude"), F.col("_lon").alias("longitude")).agg(
+            best.alias("_best")), "nearest")
+        # Whatever is as near as the best at a tenth of a metre must be inside as well.
+        sure = F.col("_best").isNotNull() if level == 0 else F.coalesce(F.col("_best.km") <= reach - 0.001, F.lit(False))
+        found = tried.filter(sure).select(key, "_best")
+        done = found if done is None else done.unionByName(found)
+        rest = tried.filter(~sure).drop("_best")
+    return done.groupBy(key).agg(F.min("_best").alias("_best")).select(key, "_best.anchor_id", "_best.km")
+
+
+def _finest(spots: DataFrame, max_km: float) -> int:
+    """How often cells are made smaller: until an anchor shares its cell with CROWD others or fewer on average."""
+    lat, lon = F.col("latitude"), F.col("longitude")
+    cells = [F.struct(F.lit(k).alias("_k"), *cell_of(lat, lon, max(chord(max_km / STEP ** k), 1e-9))) for k in range(LEVELS)]
+    counts = spots.filter(_usable(lat, lon)).select("country_code", F.inline(F.array(*cells))).groupBy("country_code", "_k", *CELL).agg(F.count("*").alias("_n"))
+    # One row per level.
+    shared = {r["_k"]: r["shared"] for r in counts.groupBy("_k").agg((F.sum(F.col("_n") * F.col("_n")) / F.sum("_n")).alias("shared")).collect()}
+    return next((k for k in range(LEVELS) if shared.get(k, 0) <= CROWD), LEVELS - 1)
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -432,3 +432,22 @@ def test_filters_on_payload_fields_do_not_parse_again(frame):
 def test_payload_rows_are_dealt_over_all_tasks(spark):
     for landed in (landing.search_payloads, landing.location_payloads, landing.feed_payloads, landing.measurement_payloads):
         assert landed(spark, SMALL).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_nearest_anchors_cost_few_pairs_however_many_are_in_reach(frame, monkeypatch):
+    rng = random.Random(8)
+    place = lambda: (rng.uniform(30, 31), rng.uniform(9, 10))
+    rows, anchors = [(k, "TN", *place()) for k in range(300)], [(k, "TN", *place()) for k in range(600)]
+    rows += [(1000, "TN", 31.4, 10.0), (1001, "TN", 45.0, 10.0)]
+    compared, sides = [], grid._sides
+
+    def watched(*args):
+        placed, entered, keys = sides(*args)
+        compared.append(placed.join(entered, keys).count())
+        return placed, entered, keys
+
+    monkeypatch.setattr(grid, "_sides", watched)
+    got = rows_of(grid.nearest_anchor(frame(ROWS, rows), "id", frame(ANCHORS, anchors), 60.0))
+    best = near_by_hand(rows, anchors, 60.0)[1]
+    assert [(i, a) for i, a, _ in got] == [(i, a) for i, a, _ in best]
+    assert sum(compared) < 40 * len(rows)
