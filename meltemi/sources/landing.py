@@ -175,6 +175,11 @@ def _absent_unless(kind: Column, events: tuple[str, ...], values: list[Column])
     return F.when(kind.isin(*events), F.array(*[v.cast("double") for v in values]))
 
 
+def _known(text: str, key: str) -> Column:
+    """What is picked by a key; null for a null one, which element_at takes for the last place where it counts as never null."""
+    return F.when(F.col(key).isNotNull(), F.expr(text))
+
+
 def hourly_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly air-quality documents from events; some variables are absent, some blocks empty."""
     kind, v, none = F.col("event_type"), F.col("value"), F.lit(None).cast("double")
@@ -230,9 +235,9 @@ def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def location_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location documents from customers; every seventh answers with a foreign country."""
     user, nation = F.col("c_custkey"), F.col("c_nationkey")
-    code = F.expr(country_of("c_nationkey"))
-    lat = F.expr(latitude_of("c_custkey", "c_nationkey"))
-    lon = F.expr(longitude_of("c_custkey", "c_nationkey"))
+    code = _known(country_of("c_nationkey"), "c_nationkey")
+    lat = _known(latitude_of("c_custkey", "c_nationkey"), "c_nationkey")
+    lon = _known(longitude_of("c_custkey", "c_nationkey"), "c_nationkey")
     sensors = F.array(
         *[
             F.struct((user * 10 + i).alias("id"), F.struct(F.lit(i).alias("id")).alias("parameter"))
@@ -250,7 +255,7 @@ def location_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             sensors.alias("sensors"),
         )
 
-    own = F.when(user % 7 == 0, F.expr(country_of("(c_nationkey + 1)"))).otherwise(code)
+    own = F.when(user % 7 == 0, _known(country_of("(c_nationkey + 1)"), "c_nationkey")).otherwise(code)
     document = F.struct(
         code.alias("queried_country"),
         F.array(place(user, own), place(user + 1000000, F.lit(None).cast("string"))).alias("results"),
@@ -303,7 +308,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("iaqi"),
     )
     target = F.date_add(F.to_date("ts"), (F.col("event_id") % 5 - 2).cast("int"))
-    document = F.struct(F.expr(country_of("user_id")).alias("country_code"), target.cast("string").alias("target_date"), feed.alias("feed"))
+    document = F.struct(_known(country_of("user_id"), "user_id").alias("country_code"), target.cast("string").alias("target_date"), feed.alias("feed"))
     return _subjects(spark, sf_dir, "events").select(F.to_json(document).alias("body"))
 
 
@@ -311,8 +316,8 @@ def search_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search documents from customers: a good hit, one without a full position, one without
     a uid, one far away."""
     user, nation = F.col("c_custkey"), F.col("c_nationkey")
-    lat = F.expr(latitude_of("c_custkey", "c_nationkey"))
-    lon = F.expr(longitude_of("c_custkey", "c_nationkey"))
+    lat = _known(latitude_of("c_custkey", "c_nationkey"), "c_nationkey")
+    lon = _known(longitude_of("c_custkey", "c_nationkey"), "c_nationkey")
 
     def hit(uid: Column, *geo: Column) -> Column:
         return F.struct(
@@ -322,7 +327,7 @@ def search_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     document = F.struct(
         nation.cast("int").alias("query_order"),
-        F.expr(country_of("c_nationkey")).alias("country_code"),
+        _known(country_of("c_nationkey"), "c_nationkey").alias("country_code"),
         F.array(
             hit(user, lat, lon), hit(user + 1000000, lat), hit(F.lit(None), lat, lon),
             hit(user + 2000000, lat + 5, lon), hit(user % 500, lat, lon),

@@ -451,3 +451,11 @@ def test_nearest_anchors_cost_few_pairs_however_many_are_in_reach(frame, monkeyp
     best = near_by_hand(rows, anchors, 60.0)[1]
     assert [(i, a) for i, a, _ in got] == [(i, a) for i, a, _ in best]
     assert sum(compared) < 40 * len(rows)
+
+
+def test_a_null_key_picks_no_country_for_a_payload(spark, tmp_path):
+    rows = [(k, "c", None if k % 2 else 13) for k in range(1, 9)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
+    for landed, path in ((landing.search_payloads, "$.country_code"), (landing.location_payloads, "$.queried_country")):
+        codes = landed(spark, str(tmp_path)).select(F.get_json_object("body", path)).collect()
+        assert sorted(c or "" for (c,) in codes) == [""] * 4 + ["NL"] * 4
