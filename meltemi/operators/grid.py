@@ -106,7 +106,8 @@ def nearest_anchor(
     the others go on to cells four times as wide, up to max_km. The first cells are so small that an
     anchor shares its own with few others.
     """
-    spots = _stored(anchors.groupBy(F.upper("country_code").alias("country_code"), *[F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")]).agg(
+    placed = anchors.filter(_usable(F.col("latitude").cast("double"), F.col("longitude").cast("double")))
+    spots = _stored(placed.groupBy(F.upper("country_code").alias("country_code"), *[F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")]).agg(
         F.min(F.struct("anchor_id")).alias("_first")).select("_first.anchor_id", "country_code", "latitude", "longitude"), "anchors")
     rest, done = rows, None
     for level in range(_finest(spots, max_km), -1, -1):

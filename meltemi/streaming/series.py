@@ -2,8 +2,8 @@
 
 A batch window reads a lead-in before every day it judges. Here each station keeps its last 30 days and
 running streaks as state, so a new day costs itself. All days stay in a keyed map beside that, one small
-entry per day of the calendar: when a day comes late, or comes again, it is put in its place, and it and
-every day after it is judged anew and sent out.
+entry per month of the calendar, so that a batch reads and writes state by the month and not by the day: when a
+day comes late, or comes again, it is put in its place, and it and every day after it is judged anew and sent out.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ BASELINE_ROWS, BASELINE_MIN_ROWS = S.BASELINE_ROWS, S.BASELINE_MIN_ROWS
 HEAT_QUANTILE, COLD_QUANTILE = S.HEAT_QUANTILE, S.COLD_QUANTILE
 HEAT_FLOOR_C, COLD_CEILING_C = S.HEAT_FLOOR_C, S.COLD_CEILING_C
 FLAGS = tuple(S.WHO_FLAGS.values())
+#: Length of a place up to its month: a mark, year, month.
+MONTH = len("\x012024-01")
 
 
 def quantile(values: list[float | None], q: float, least: int) -> float | None:
@@ -41,6 +43,10 @@ def quantile(values: list[float | None], q: float, least: int) -> float | None:
     return low + (high - low) * (rank - int(rank))
 
 
+def _entries(month) -> dict[str, tuple[list, list]]:
+    return {day: (list(values), list(streaks)) for day, values, streaks in zip(*month)}
+
+
 class Series(StatefulProcessor):
     """Judges the days of a key in order. A subclass names its columns, how many days a judgement looks
     back, and the judgement: figures and flags of a day, from its values and those of the days before.
@@ -63,12 +69,16 @@ class Series(StatefulProcessor):
     def init(self, handle) -> None:
         # The newest day, the values of the last `back` days, oldest first, and the streaks up to it.
         self.last = handle.getValueState("last", "day string, before array<array<double>>, streaks array<bigint>")
-        self.days = handle.getMapState("days", "day string", "vals array<double>, streaks array<bigint>")
+        self.months = handle.getMapState("months", "month string", "days array<string>, vals array<array<double>>, streaks array<array<bigint>>")
 
     def place(self, row) -> str:
         """Orders days as Spark orders their columns: nulls first."""
         return "\x1f".join("" if row[c] is None else "\x01" + str(row[c]) for c in self.day)
 
+    def held(self, month: str) -> dict[str, tuple[list, list]]:
+        """Values and streaks of the days of a month."""
+        return _entries(self.months.getValue((month,))) if self.months.containsKey((month,)) else {}
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         fresh: dict[str, list] = {}
         for row in rows:
@@ -84,16 +94,21 @@ class Series(StatefulProcessor):
         todo = sorted(fresh.items())
         if newest is not None and todo[0][0] <= newest:
             # A late day: go on from the day before it, through all that follow.
-            held = sorted((k[0], v) for k, v in self.days.iterator())
+            held = sorted(item for _, month in self.months.iterator() for item in _entries(month).items())
             earlier = [v for d, v in held if d < todo[0][0]]
             todo = sorted({**{d: list(v[0]) for d, v in held if d >= todo[0][0]}, **fresh}.items())
             before = [list(v[0]) for v in earlier[-self.back:]] if self.back else []
             streaks = list(earlier[-1][1]) if earlier else [0] * len(self.flags)
+        months: dict[str, dict] = {}
         for at, values in todo:
             figures, flags = self.judge(before, values)
             streaks = [n + 1 if f else 0 for n, f in zip(streaks, flags)]
             before = [*before, values][-self.back:] if self.back else []
-            self.days.updateValue((at,), (values, streaks))
+            month = at[:MONTH]
+            if month not in months:
+                # Only days of a month that the state has days of can stand beside these.
+                months[month] = self.held(month) if newest is not None else {}
+            months[month][at] = values, streaks
             named = dict(zip(self.keys, key))
             named.update(zip(self.day, [p[1:] if p else None for p in at.split("\x1f")]))
             named.update(zip(self.values, values))
@@ -101,6 +116,8 @@ class Series(StatefulProcessor):
             named.update(zip(self.flags, flags))
             named.update(zip(self.streaks, streaks))
             yield Row(**named)
+        for month, entries in months.items():
+            self.months.updateValue((month,), (list(entries), [v for v, _ in entries.values()], [n for _, n in entries.values()]))
         self.last.update((todo[-1][0], before, streaks))
 
     def close(self) -> None:
