@@ -459,3 +459,34 @@ def test_a_null_key_picks_no_country_for_a_payload(spark, tmp_path):
     for landed, path in ((landing.search_payloads, "$.country_code"), (landing.location_payloads, "$.queried_country")):
         codes = landed(spark, str(tmp_path)).select(F.get_json_object("body", path)).collect()
         assert sorted(c or "" for (c,) in codes) == [""] * 4 + ["NL"] * 4
+
+
+class _State:
+    """Value and map states of one key, which count how often they are written."""
+
+    def __init__(self):
+        self.map, self.value, self.writes = {}, None, 0
+
+    getValueState = getMapState = lambda self, *_: self  # noqa: E731, N815
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    containsKey = lambda self, k: k in self.map  # noqa: E731, N815
+    getValue = lambda self, k: self.map[k]  # noqa: E731, N815
+    iterator = lambda self: iter(list(self.map.items()))
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def updateValue(self, k, v):  # noqa: N802
+        self.map[k], self.writes = v, self.writes + 1
+
+
+def test_state_is_written_by_the_month():
+    def batch(days):
+        rows = [{"observation_date": f"2024-01-{n:02d}", "station_name": None, "country_code": "TN", **dict.fromkeys(series.FLAGS, 1.0)} for n in days]
+        return [r.current_exceedance_streak_days for r in judge.handleInputRows(("s", "x"), rows, None)]
+
+    state, judge = _State(), series.Exceedances()
+    judge.init(state)
+    assert batch(range(11, 31)) == list(range(1, 21)) and state.writes == 2
+    assert batch(range(1, 11)) == list(range(1, 31)) and batch([31]) == [31] and state.writes == 6 and len(state.map) == 1
