@@ -86,6 +86,65 @@ def test_one_text_of_a_repeated_key_reaches_the_driver(spark, monkeypatch):
     assert len(langid.fit(docs, rows_per_lang=40)) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(40))
 
 
+def test_every_labelled_row_teaches(spark, monkeypatch):
+    rows = [(k, words(k, 4) + (" awful" if k % 2 else ""), "en") for k in range(7000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(7000)], "doc_id long, quality int, toxic int")
+    for name, value in (("BATCH", 1), ("EPOCHS", 1), ("LEAST_EPOCHS", 1)):
+        monkeypatch.setattr(toxicity, name, value)
+    taught, kept_back, calibrate = [], [], toxicity._calibrate_counts
+    monkeypatch.setattr(toxicity.Learner, "done", lambda self: taught.append(self.step) or toxicity.Model(self.table[:-1], self.model.filters, self.model.shift, self.model.out, self.model.bias))
+    monkeypatch.setattr(toxicity, "_calibrate_counts", lambda model, counts: kept_back.append(sum(c[2] + c[3] for c in counts)) or calibrate(model, counts))
+    model = toxicity.fit(docs, labels)
+    assert taught[0] + kept_back[0] == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(7000)) > toxicity.LOCAL_ROWS
+    got = toxicity.score(docs, model).filter("crc32(cast(doc_id as string)) % 5 = 0").select("doc_id", "score").collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got) > 0.99 * len(got)
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    rows = [(k, words(k, 20) + (" awful" if k % 3 == 0 else ""), "ende"[k % 2 * 2:][:2]) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(900)], "doc_id long, quality int, toxic int")
+    for name, value in (("LOCAL_ROWS", 100), ("SHARD_ROWS", 150), ("LEAST_EPOCHS", 10)):
+        monkeypatch.setattr(toxicity, name, value)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        model = toxicity.fit(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = toxicity.score(docs, model).filter("crc32(cast(doc_id as string)) % 5 = 0").collect()
+    assert sum((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in got) > 0.97 * len(got) and set(model.thresholds) == {None, "en", "de"}
+
+
+def test_cuts_from_counts_are_those_from_rows():
+    rng = np.random.default_rng(5)
+    labels, langs = rng.integers(0, 2, 500), [["en", "de", None][k % 3] for k in range(500)]
+    step = np.floor((rng.normal(0, 1, 500) + labels) * toxicity.STEPS).astype(int)
+    model = toxicity._fresh(8, 2, 1, rng)
+    counts = Counter(zip(langs, step.tolist(), labels.tolist()))
+    keys = {(a, s) for a, s, _ in counts}
+    toxicity._calibrate_counts(model, [(a, s, counts[a, s, 1], counts[a, s, 0]) for a, s in keys])
+    logit = (step + 0.5) / toxicity.STEPS
+    assert ((logit >= model.centre) != labels).sum() == ((logit >= toxicity.best_cut(logit, labels)) != labels).sum()
+    for lang in ("en", "de"):
+        own = np.array([x == lang for x in langs])
+        score = 1 / (1 + np.exp(-(logit[own] - model.centre)))
+        errors = [((score >= cut) != labels[own]).sum() for cut in (model.thresholds[lang], toxicity.best_cut(score, labels[own]))]
+        assert errors[0] == errors[1]
+
+
+def test_features_of_many_words_and_texts_in_parts(monkeypatch):
+    many = [w for k in range(30) for w in toxicity.words_of((words(k, 60) + " aé日本語漢字です é 日本 日 abcdefgh 😀😀😀😀").encode())]
+    assert toxicity.all_features(many, 1 << 15).tolist() == [toxicity.features(w, 1 << 15) for w in many]
+    learner = toxicity.Learner(toxicity._fresh(64, 4, 3, np.random.default_rng(1)))
+    docs, hashed = learner.words([words(k, n).encode() for k, n in enumerate((0, 1, 2, 7, 8, 9, 40, 3))])
+    whole = learner._tops(docs, hashed)
+    for line in (1, 2, 8, 30):
+        monkeypatch.setattr(toxicity, "LINE", line)
+        parts = learner._tops(docs, hashed)
+        assert all(np.allclose(a, b) for side in (0, 1) for a, b in zip(whole[side], parts[side])), line
+
+
 def test_toxicity_without_classes(spark, odd_docs):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(odd_docs, empty)
