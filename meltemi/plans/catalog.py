@@ -1069,7 +1069,10 @@ def _hours(stream):
 
 def _in_batches(spark, name, rows, batches, processor):
     """Rows land in the given batches, and a stream takes each as it comes."""
-    inbox, out, checkpoint = (scratch_path(spark, f"{name}-{n}") for n in ("inbox", "out", "checkpoint"))
+    staged, inbox, out, checkpoint = (scratch_path(spark, f"{name}-{n}") for n in ("staged", "inbox", "out", "checkpoint"))
+    # Made once, and not for each batch.
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
     for landed in batches:
         rows.filter(landed).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(rows.schema).parquet(inbox)

@@ -8,6 +8,7 @@ day comes late, or comes again, it is put in its place, and it and every day aft
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -43,10 +44,6 @@ def quantile(values: list[float | None], q: float, least: int) -> float | None:
     return low + (high - low) * (rank - int(rank))
 
 
-def _entries(month) -> dict[str, tuple[list, list]]:
-    return {day: (list(values), list(streaks)) for day, values, streaks in zip(*month)}
-
-
 class Series(StatefulProcessor):
     """Judges the days of a key in order. A subclass names its columns, how many days a judgement looks
     back, and the judgement: figures and flags of a day, from its values and those of the days before.
@@ -67,18 +64,16 @@ class Series(StatefulProcessor):
         raise NotImplementedError
 
     def init(self, handle) -> None:
-        # The newest day, the values of the last `back` days, oldest first, and the streaks up to it.
-        self.last = handle.getValueState("last", "day string, before array<array<double>>, streaks array<bigint>")
-        self.months = handle.getMapState("months", "month string", "days array<string>, vals array<array<double>>, streaks array<array<bigint>>")
+        # JSON texts, since Spark converts a state value by value. Of `last`: the newest day, the values of the last
+        # `back` days, oldest first, and the streaks up to it. Of a month: values and streaks by day.
+        self.last = handle.getValueState("last", "state string")
+        self.months = handle.getMapState("months", "month string", "days string")
+        self.row = Row(*self.keys, *self.day, *self.values, *self.figures, *self.flags, *self.streaks)
 
     def place(self, row) -> str:
         """Orders days as Spark orders their columns: nulls first."""
         return "\x1f".join("" if row[c] is None else "\x01" + str(row[c]) for c in self.day)
 
-    def held(self, month: str) -> dict[str, tuple[list, list]]:
-        """Values and streaks of the days of a month."""
-        return _entries(self.months.getValue((month,))) if self.months.containsKey((month,)) else {}
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         fresh: dict[str, list] = {}
         for row in rows:
@@ -88,37 +83,36 @@ class Series(StatefulProcessor):
             if at not in fresh or order < [(v is not None, v) for v in fresh[at]]:
                 fresh[at] = values
         newest, before, streaks = None, [], [0] * len(self.flags)
-        if self.last.exists():
-            newest, before, streaks = self.last.get()
-            before, streaks = [list(v) for v in before], list(streaks)
+        # Months that the state has and that days may be put into. Each call on a state is a message to the JVM.
+        months: dict[str, dict] = {}
+        last = self.last.get()
+        if last is not None:
+            newest, before, streaks = json.loads(last[0])
         todo = sorted(fresh.items())
         if newest is not None and todo[0][0] <= newest:
             # A late day: go on from the day before it, through all that follow.
-            held = sorted(item for _, month in self.months.iterator() for item in _entries(month).items())
+            months = {month: json.loads(days) for (month,), (days,) in self.months.iterator()}
+            held = sorted(item for days in months.values() for item in days.items())
             earlier = [v for d, v in held if d < todo[0][0]]
-            todo = sorted({**{d: list(v[0]) for d, v in held if d >= todo[0][0]}, **fresh}.items())
-            before = [list(v[0]) for v in earlier[-self.back:]] if self.back else []
-            streaks = list(earlier[-1][1]) if earlier else [0] * len(self.flags)
-        months: dict[str, dict] = {}
+            todo = sorted({**{d: v[0] for d, v in held if d >= todo[0][0]}, **fresh}.items())
+            before = [v[0] for v in earlier[-self.back:]] if self.back else []
+            streaks = earlier[-1][1] if earlier else [0] * len(self.flags)
+        elif newest is not None and todo[0][0][:MONTH] == newest[:MONTH]:
+            # Of the months that days later than the newest one are in, the state has at most the first.
+            months[newest[:MONTH]] = json.loads(self.months.getValue((newest[:MONTH],))[0])
+        changed: dict[str, dict] = {}
         for at, values in todo:
             figures, flags = self.judge(before, values)
             streaks = [n + 1 if f else 0 for n, f in zip(streaks, flags)]
             before = [*before, values][-self.back:] if self.back else []
             month = at[:MONTH]
-            if month not in months:
-                # Only days of a month that the state has days of can stand beside these.
-                months[month] = self.held(month) if newest is not None else {}
-            months[month][at] = values, streaks
-            named = dict(zip(self.keys, key))
-            named.update(zip(self.day, [p[1:] if p else None for p in at.split("\x1f")]))
-            named.update(zip(self.values, values))
-            named.update(zip(self.figures, figures))
-            named.update(zip(self.flags, flags))
-            named.update(zip(self.streaks, streaks))
-            yield Row(**named)
-        for month, entries in months.items():
-            self.months.updateValue((month,), (list(entries), [v for v, _ in entries.values()], [n for _, n in entries.values()]))
-        self.last.update((todo[-1][0], before, streaks))
+            if month not in changed:
+                changed[month] = months.get(month, {})
+            changed[month][at] = values, streaks
+            yield self.row(*key, *[p[1:] if p else None for p in at.split("\x1f")], *values, *figures, *flags, *streaks)
+        for month, days in changed.items():
+            self.months.updateValue((month,), (json.dumps(days),))
+        self.last.update((json.dumps((todo[-1][0], before, streaks)),))
 
     def close(self) -> None:
         pass

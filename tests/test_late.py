@@ -490,3 +490,30 @@ def test_state_is_written_by_the_month():
     judge.init(state)
     assert batch(range(11, 31)) == list(range(1, 21)) and state.writes == 2
     assert batch(range(1, 11)) == list(range(1, 31)) and batch([31]) == [31] and state.writes == 6 and len(state.map) == 1
+
+
+def test_few_messages_to_the_state_and_exact_values(monkeypatch):
+    class Counted(_State):
+        def __init__(self):
+            super().__init__()
+            self.calls = 0
+
+        def __getattribute__(self, name):
+            if name in ("exists", "get", "containsKey", "getValue", "iterator", "update", "updateValue"):
+                self.calls += 1
+            return super().__getattribute__(name)
+
+    def batch(days):
+        rows = [{"observation_date": d, "station_name": "n\x01\u00e9", "country_code": None, **dict.fromkeys(series.FLAGS, v)} for d, v in days]
+        before = state.calls
+        return [(r.observation_date, r.station_name, r.who_o3_exceed, r.current_exceedance_streak_days) for r in judge.handleInputRows(("s", "x"), rows, None)], state.calls - before
+
+    state, judge = Counted(), series.Exceedances()
+    judge.init(state)
+    name = "n\x01\u00e9"
+    assert batch([("2024-01-20", 1.0), ("2024-01-21", None)]) == ([("2024-01-20", name, 1.0, 1), ("2024-01-21", name, None, 0)], 3)
+    assert batch([("2024-01-10", 1.0)])[1] == 4
+    assert batch([("2024-01-22", 1.0)]) == ([("2024-01-22", name, 1.0, 1)], 4)
+    assert batch([("2024-02-01", 0.1)]) == ([("2024-02-01", name, 0.1, 0)], 3)
+    days, calls = batch([("2024-01-21", 1.0)])
+    assert days == [("2024-01-21", name, 1.0, 3), ("2024-01-22", name, 1.0, 4), ("2024-02-01", name, 0.1, 0)] and calls == 5
