@@ -55,9 +55,10 @@ def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=400)
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=400, passage=51)
     return out.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("changed"), "kept_text")
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("changed"), "kept_text",
+        "n_passage_bytes", "has_passage")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,7 +164,12 @@ class Sorter:
 
     def symbols(self, texts: list[np.ndarray]) -> list[np.ndarray]:
         """What suffixes are made of: bytes or words."""
-        return [self.words.of(t)[0] for t in texts] if self.words else texts
+        if not self.words or not texts:
+            return texts
+        # All at once, with a space between.
+        gap = np.full(1, 32, np.uint8)
+        values, starts, _ = self.words.of(np.concatenate([part for t in texts for part in (t, gap)]))
+        return np.split(values, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])[:-1]))
 
     def span(self, text: np.ndarray, gone: np.ndarray) -> np.ndarray:
         """Bytes that go with the symbols that go; with a word goes the white space behind it."""
@@ -356,7 +361,19 @@ class _Blocks:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts: bool = True, unit: str = "bytes") -> DataFrame:
+def _repeats(blocks: _Blocks, scratch: Scratch, depth: int, buckets: int, words: bool, texts: bool) -> DataFrame:
+    """Rows of RESULT for the texts that have a repeat, written."""
+    tie = "block long, bucket int, bits binary"
+    sample = blocks.told().select("block", "texts").mapInArrow(_pack_batches(depth, buckets, words, False), PACKED)
+    told = scratch.write(sample.groupBy("bucket").applyInArrow(_sort_bucket("<u4"), tie), "sample-ties")
+    near = blocks.told(told=told).select("block", "texts", "told").mapInArrow(_pack_batches(depth, buckets, words, True), PACKED)
+    repeats = scratch.write(near.groupBy("bucket").applyInArrow(_sort_bucket("<u8"), tie), "suffix-ties")
+    return scratch.write(blocks.told(told=told, repeats=repeats).mapInArrow(_cut_batches(depth, buckets, words, texts), RESULT), "cut")
+
+
+def remove_repeats(
+    docs: DataFrame, depth: int = 400, text: str = "text", texts: bool = True, unit: str = "bytes", passage: int | None = None,
+) -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans, kept_sha256 and kept_text (null unless `texts`).
 
     Texts are taken as UTF-8 bytes, a null one as empty; no string reaches from one row into another.
@@ -370,6 +387,9 @@ def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts:
     between them; each word covered by one that also starts at another place is removed, with the white
     space behind it. Counts stay in bytes.
 
+    With `passage`, n_passage_bytes tells how much unit="words" would remove at a depth of so many words, and
+    has_passage whether it is anything; the other columns are as without it.
+
     A task holds one block of texts, or one longer text, and one bucket.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
@@ -379,20 +399,16 @@ def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts:
         raise ValueError("unit is bytes or words")
     words = unit == "words"
     # So many words have so many bytes at least.
-    least = 2 * depth - 1 if words else depth
+    least = min([2 * depth - 1 if words else depth, *([2 * passage - 1] if passage else [])])
     long = docs.select(F.sha2(body, 256).alias("key"), body.alias("text")).filter(F.octet_length("text") >= least).groupBy("key").agg(
         F.first("text").alias("text"), F.count("*").alias("copies"))
     blocks = _Blocks(spark, long.mapInArrow(_block_batches, BLOCKS), scratch)
-    tie = "block long, bucket int, bits binary"
-    sample = spark.table(blocks.name).select("block", "texts").mapInArrow(_pack_batches(depth, buckets, words, False), PACKED)
-    told = scratch.write(sample.groupBy("bucket").applyInArrow(_sort_bucket("<u4"), tie), "sample-ties")
-    near = blocks.told(told=told).select("block", "texts", "told").mapInArrow(_pack_batches(depth, buckets, words, True), PACKED)
-    repeats = scratch.write(near.groupBy("bucket").applyInArrow(_sort_bucket("<u8"), tie), "suffix-ties")
-    cut = blocks.told(told=told, repeats=repeats).mapInArrow(_cut_batches(depth, buckets, words, texts), RESULT)
-    cut = scratch.write(cut, "cut")
+    cut = _repeats(blocks, scratch, depth, buckets, words, texts)
+    passages = _repeats(blocks, scratch, passage, buckets, True, False) if passage else None
     blocks.drop()
     outputs = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in outputs]
+    more = ["n_passage_bytes", "has_passage"] if passage else []
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*outputs, *more)]
     name, whole = unused(docs, "_name", "_whole")
     rows = docs.select(*kept, F.sha2(body, 256).alias(name), F.octet_length(body).cast("long").alias("n_bytes"),
                        *([F.coalesce(F.col(text), F.lit("")).alias(whole)] if texts else []))
@@ -401,5 +417,8 @@ def remove_repeats(docs: DataFrame, depth: int = 400, text: str = "text", texts:
     out = rows.join(found, name, "left").withColumns({
         "kept_text": untouched, "n_removed": F.coalesce("n_removed", F.lit(0)), "n_spans": F.coalesce("n_spans", F.lit(0)),
         "kept_sha256": F.coalesce("kept_sha256", name)})
+    if passage:
+        out = out.join(passages.select(F.col("name").alias(name), F.col("n_removed").alias("n_passage_bytes")), name, "left")
+        out = out.withColumn("n_passage_bytes", F.coalesce("n_passage_bytes", F.lit(0))).withColumn("has_passage", F.col("n_passage_bytes") > 0)
     scratch.later()
     return out.drop(name, whole)

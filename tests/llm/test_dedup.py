@@ -253,3 +253,21 @@ def test_difference_covers():
     for depth in (2, 13, 50, 400, 1000):
         cover, v = suffix_dedup.difference_cover(depth)
         assert v < max(depth, 2) and {(a - b) % v for a in cover.tolist() for b in cover.tolist()} == set(range(v))
+
+
+def test_short_passages_are_told_beside_the_bytes(spark, odd_docs):
+    passage = " ".join(f"w{k}" for k in range(55))
+    assert len(passage) < 400
+    rows = [(1, f"a b {passage} c"), (2, f"d {passage}"), (3, "other words"), (4, None), (5, passage[:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs, 400, passage=51).collect()}
+    assert {k: (r.n_removed, r.n_passage_bytes, r.has_passage) for k, r in got.items()} == {
+        1: (0, len(passage) + 1, True), 2: (0, len(passage), True), 3: (0, 0, False), 4: (0, 0, False), 5: (0, 0, False)}
+    with_, without = suffix_dedup.remove_repeats(odd_docs, 400, passage=51), suffix_dedup.remove_repeats(odd_docs, 400)
+    assert set(with_.columns) - set(without.columns) == {"n_passage_bytes", "has_passage"}
+    assert Counter(with_.select(*without.columns).collect()) == Counter(without.collect())
+    alone = suffix_dedup.remove_repeats(odd_docs, 51, unit="words")
+    assert Counter(with_.select("doc_id", "n_passage_bytes").collect()) == Counter(alone.select("doc_id", "n_removed").collect())
+    assert with_.filter("has_passage").count() > 0
+    query = queries.QUERIES["op8_suffix_dedup"](spark, SMALL)
+    assert query.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and "has_passage" in query.columns
